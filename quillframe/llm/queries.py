@@ -31,7 +31,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"""
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
 OP10_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
