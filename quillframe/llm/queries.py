@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import decontaminate, simhash
+from quillframe.llm import decontaminate, language, secret_scan, simhash, toxicity
 from quillframe.llm.common import table
 
 
@@ -30,6 +30,44 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spans_text(spans: str):
+    """Column: kind:start:end of each span, comma-joined."""
+    return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["first"].cast("string"), x["end"].cast("string"))))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: the fixed patterns, and what compression finds new."""
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    of = {kind: F.filter("spans", lambda x, kind=kind: x["kind"] == kind) for kind in secret_scan.KINDS}
+    return found.withColumn("base", F.filter("spans", lambda x: x["kind"] != "novel")).select(
+        "doc_id",
+        *(F.size(of[kind]).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(_spans_text("base"), 256).alias("base_sha256"),
+        _spans_text("spans").alias("spans"),
+        F.size(of["novel"]).cast("long").alias("n_novel"),
+    )
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those whose crc32 mod 4 isn't 2."""
+    docs = table(spark, sf_dir, "documents")
+    training = language.is_training(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(training))
+    return language.identify(docs, model).select(
+        "doc_id", (~training).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels whose crc32 mod 5 isn't 0."""
+    docs = table(spark, sf_dir, "documents")
+    training = language.is_training(F.col("doc_id"), 5, 0)
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(training))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", (~training).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 _WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
@@ -54,7 +92,13 @@ FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN it ON d.doc_id = it.doc_
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op10_decontaminate": op10_decontaminate}
+    return {
+        "op1_simhash": op1_simhash,
+        "op5_secrets": op5_secrets,
+        "op7_language": op7_language,
+        "op8_toxicity": op8_toxicity,
+        "op10_decontaminate": op10_decontaminate,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
