@@ -38,13 +38,18 @@ def _spans_text(spans: str):
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: the fixed patterns, and what compression finds new."""
     found = secret_scan.secrets(table(spark, sf_dir, "documents"))
-    of = {kind: F.filter("spans", lambda x, kind=kind: x["kind"] == kind) for kind in secret_scan.KINDS}
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.withColumn("base", F.filter("spans", lambda x: x["kind"] != "novel")).select(
         "doc_id",
-        *(F.size(of[kind]).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        of("assign"),
+        of("access"),
+        of("hex"),
         F.sha2(_spans_text("base"), 256).alias("base_sha256"),
         _spans_text("spans").alias("spans"),
-        F.size(of["novel"]).cast("long").alias("n_novel"),
+        of("novel"),
     )
 
 
