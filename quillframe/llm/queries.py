@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import decontaminate, language, secret_scan, simhash, toxicity
+from quillframe.llm import decontaminate, embedding_dedup, language, secret_scan, simhash, toxicity
 from quillframe.llm.common import table
 
 
@@ -73,6 +73,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings linked within their label at a cosine of 0.93 or more."""
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 _WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
@@ -102,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secrets": op5_secrets,
         "op7_language": op7_language,
         "op8_toxicity": op8_toxicity,
+        "op9_embedding_dedup": op9_embedding_dedup,
         "op10_decontaminate": op10_decontaminate,
     }
 

@@ -39,8 +39,8 @@ REACH = 48
 #: Characters around a candidate that it is compared with.
 AROUND = 256
 #: Marginal compressed bytes per character from which a candidate is reported. A random base-64
-#: string needs 0.75, a random hex string 0.5; known identifiers need less than 0.3.
-MIN_NOVELTY = 0.5
+#: string needs 0.75 or more; names made of known identifiers need 0.5 at most.
+MIN_NOVELTY = 0.65
 #: Identifiers, words of configuration files and common placeholders.
 DICTIONARY = """
 import export return function class const static public private protected final void string integer boolean
