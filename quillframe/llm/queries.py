@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import decontaminate, embedding_dedup, language, secret_scan, simhash, toxicity
+from quillframe.llm import (
+    decontaminate,
+    embedding_dedup,
+    html_text,
+    language,
+    secret_scan,
+    sentence_pieces,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from quillframe.llm.common import table
 
 
@@ -30,6 +40,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded into pieces and decoded again."""
+    return sentence_pieces.encode(table(spark, sf_dir, "documents"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    found = html_text.extract(table(spark, sf_dir, "pages"), html_text.train(), keep=["url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and model verdicts on the URLs of all pages."""
+    labelled = spark.createDataFrame(list(url_filter.LABELLED), "url string, label int")
+    found = url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(labelled))
+    return found.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 def _spans_text(spans: str):
     """Column: kind:start:end of each span, comma-joined."""
     return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["first"].cast("string"), x["end"].cast("string"))))
@@ -105,6 +133,9 @@ FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN it ON d.doc_id = it.doc_
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_sentence_pieces": op2_sentence_pieces,
+        "op3_html_text": op3_html_text,
+        "op4_url_filter": op4_url_filter,
         "op5_secrets": op5_secrets,
         "op7_language": op7_language,
         "op8_toxicity": op8_toxicity,
