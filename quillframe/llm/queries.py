@@ -12,6 +12,7 @@ from quillframe.llm import (
     embedding_dedup,
     html_text,
     language,
+    lm_score,
     secret_scan,
     sentence_pieces,
     simhash,
@@ -81,6 +82,13 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a suffix tree learned from those whose crc32 mod 10 isn't 0."""
+    training = F.coalesce(language.is_training(F.col("doc_id"), 10, 0), F.lit(True))
+    found = lm_score.score(table(spark, sf_dir, "documents"), training)
+    return found.select("doc_id", (~training).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents, learned from those whose crc32 mod 4 isn't 2."""
     docs = table(spark, sf_dir, "documents")
@@ -137,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_html_text": op3_html_text,
         "op4_url_filter": op4_url_filter,
         "op5_secrets": op5_secrets,
+        "op6_lm_score": op6_lm_score,
         "op7_language": op7_language,
         "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": op9_embedding_dedup,
