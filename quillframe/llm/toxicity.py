@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillframe.llm.common import written
+
 #: The bound of the training sample, in texts of each class.
 PER_CLASS = 3000
 #: Lengths of word starts that may become entries.
@@ -185,7 +187,9 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     sizes = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, min(1.0, per_class / max(1, sizes.get(1, 0)))).otherwise(min(1.0, per_class / max(1, sizes.get(0, 0))))
     known = known.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < F.ceil(share * 1_000_000))
-    return docs.select(id_col, F.col(text_col).cast("string").alias("t")).join(known, id_col).select("t", "y").distinct()
+    # About 2 * per_class ids, whatever the table: small enough to broadcast, so no text is shuffled to find them.
+    found = docs.select(id_col, F.col(text_col).cast("string").alias("t")).join(F.broadcast(known), id_col)
+    return found.select("t", "y").distinct()
 
 
 def fit(
@@ -199,7 +203,7 @@ def fit(
 ) -> Lexicon:
     """The lexicon learned from ``labels`` (rows of ``docs`` by ``id_col``; 1 toxic, 0 not; the
     larger label of a repeated id; others ignored). Without both classes it is empty."""
-    chosen = sample(docs, labels, id_col, text_col, label_col, per_class)
+    chosen = written(sample(docs, labels, id_col, text_col, label_col, per_class))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: tuple[Counter, Counter] = (Counter(), Counter())
