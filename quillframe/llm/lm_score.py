@@ -33,7 +33,7 @@ from quillframe.llm.common import written
 DEPTH = 6
 P_MIN = 5e-7
 MIN_COUNT = 2
-MIN_GAIN = 8.0
+MIN_GAIN = 4.0
 DISCOUNT = 0.75
 END = b"\n"
 #: Bytes handled at once, and counts that a task keeps before it passes them on.
