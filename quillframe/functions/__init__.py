@@ -1 +1 @@
-
+"""Column functions used by the operators."""
