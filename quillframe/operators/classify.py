@@ -49,7 +49,7 @@ def dependency_class(endpoint: Column, gateway_hosts: tuple[str, ...] = GATEWAY_
         (low.rlike(r"[?&]wsdl|\.asmx([?#]|$)"), "soap"),
         (low.rlike(r"[?&]service=wms|/wms([?#]|$)"), "wms"),
         (url_is_root(F.trim(endpoint)), "service_root"),
-        (host.isin(*gateway_hosts), "data_go_kr_gateway"),
+        (host.isin(*gateway_hosts), "gateway"),
         otherwise="external_endpoint",
     )
 
@@ -81,7 +81,7 @@ def adapter_status(cls: Column, adapter: Column) -> Column:
     """builtin for the gateway; adapter or missing where calls need one; else not_applicable."""
     needs = cls.isin("external_endpoint", "service_root")
     return first_true(
-        (cls == "data_go_kr_gateway", "builtin"), (needs & adapter.isNotNull(), "adapter"), (needs, "missing"), otherwise="not_applicable"
+        (cls == "gateway", "builtin"), (needs & adapter.isNotNull(), "adapter"), (needs, "missing"), otherwise="not_applicable"
     )
 
 

@@ -26,7 +26,7 @@ ADAPTERS = "name string, status string, hosts array<string>, capabilities array<
 EVIDENCE_KEY = ("dataset_id", "operation", "endpoint_host", "dependency_class")
 
 DEPENDENCY_CLASSES = (
-    "data_go_kr_gateway", "external_endpoint", "service_root", "no_endpoint", "malformed_endpoint", "soap", "wms",
+    "gateway", "external_endpoint", "service_root", "no_endpoint", "malformed_endpoint", "soap", "wms",
 )
 ADAPTER_STATUSES = ("builtin", "missing", "adapter", "not_applicable")
 EVIDENCE_STATUSES = ("verified", "failed", "skipped", "unknown")
