@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from quillframe.plans import report_queries
+
 
 def queries() -> dict:
-    return {}
+    """Every query by name."""
+    return dict(report_queries.QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL by query name."""
+    return dict(report_queries.SQL)
