@@ -146,9 +146,12 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
 
     All rows and columns stay; a null text stays null.
     """
+    # Columns get names of their own meanwhile, so that they may have any names.
     columns = docs.columns
-    found = secrets(docs, id_col, text_col, keep=[c for c in columns if c != id_col], **options)
-    text = F.col(text_col)
+    at = {c: f"c{k}" for k, c in enumerate(columns)}
+    own = docs.select(*(F.col(c).alias(at[c]) for c in columns))
+    found = secrets(own, at[id_col], at[text_col], keep=[at[c] for c in columns if c != id_col], **options)
+    text = F.col(at[text_col])
     acc = F.aggregate(
         "spans",
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
@@ -163,4 +166,5 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
         ),
     )
     clean = F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, clean).otherwise(text)).select(*columns)
+    out = found.withColumn(at[text_col], F.when(F.size("spans") > 0, clean).otherwise(text))
+    return out.select(*(F.col(at[c]).alias(c) for c in columns))
