@@ -47,7 +47,8 @@ def read_source_reports(spark: SparkSession, pattern: str, array_field: str, rec
 
 
 def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """(path, bytes, sha256) of all files below ``root``. A file must fit into a task's memory."""
+    """(path, bytes, sha256) of all files below ``root``. Spark lists no empty files; a file must fit
+    into a task's memory."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
