@@ -230,12 +230,17 @@ def links(reps: DataFrame, max_bits: int = 2) -> DataFrame:
     )
     if not some_hot:
         return found
-    # One-bit neighbours: x and y differ in at most two bits if and only if they share one.
+    # Two fingerprints differ in at most two bits if and only if they share a one-bit neighbour (or
+    # are one), and in at most one bit if and only if they are equal with that bit left out.
     crowded = nodes.join(hot, ["kind", "key"], "left_semi").select("fp", "rep").distinct()
-    flips = [F.lit(0)] + [F.lit(1 << k if k < 63 else -(1 << 63)) for k in range(64)]
-    if max_bits < 2:
-        raise ValueError("crowded nodes need max_bits = 2")
-    near = crowded.select("rep", F.explode(F.array(*(F.col("fp").bitwiseXOR(x) for x in flips))).alias("near"))
+    bit = [F.lit(1 << k if k < 63 else -(1 << 63)) for k in range(64)]
+    if max_bits == 2:
+        meeting = [F.col("fp")] + [F.col("fp").bitwiseXOR(b) for b in bit]
+    else:
+        meeting = [F.struct(F.lit(k), F.col("fp").bitwiseAND(F.bitwise_not(b))) for k, b in enumerate(bit)] if max_bits else []
+    if not meeting:
+        return found
+    near = crowded.select("rep", F.explode(F.array(*meeting)).alias("near"))
     centre = near.groupBy("near").agg(F.min("rep").alias("m"), F.count("*").alias("n")).where("n > 1").select("near", "m")
     return found.unionAll(near.join(centre, "near").where("rep <> m").select(F.col("rep").alias("a"), F.col("m").alias("b")))
 

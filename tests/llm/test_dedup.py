@@ -69,10 +69,10 @@ def test_crowded_nodes_lose_no_link(spark, monkeypatch):
     rng.shuffle(fps)
     signed = [(x - 2**64 if x >= 2**63 else x, k) for k, x in enumerate(fps)]
     reps = spark.createDataFrame(signed, "fp long, rep long")
-    want = components(range(len(fps)), pairs_of(list(enumerate(fps)), lambda x, y: bin(x ^ y).count("1") <= 2))
-    for size in (8, 256):
+    for size, bits in ((8, 2), (256, 2), (8, 1)):
+        want = components(range(len(fps)), pairs_of(list(enumerate(fps)), lambda x, y: bin(x ^ y).count("1") <= bits))  # noqa: B023
         monkeypatch.setattr(simhash, "NODE_ROWS", size)
-        roots = {r["vertex"]: r["root"] for r in connected_components(simhash.links(reps)).collect()}
+        roots = {r["vertex"]: r["root"] for r in connected_components(simhash.links(reps, bits)).collect()}
         assert {k: roots.get(k, k) for k in range(len(fps))} == want
 
 
