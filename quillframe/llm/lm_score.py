@@ -158,10 +158,19 @@ class Tree:
         self.lists: dict[int, Table] = {}
         self.states: dict[int, Table] = {}
 
-    def score(self, codes: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """log10 p of each run's last byte, from the longest suffix (of ``depth`` bytes at most) that is a state."""
+    def score(self, codes: np.ndarray) -> np.ndarray:
+        """log10 p of each run's last byte, from the longest suffix that is a state; equal runs are looked up once."""
+        order = np.argsort(codes)
+        ordered = codes[order]
+        first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        out = np.empty(len(codes))
+        out[order] = np.repeat(self.distinct_score(ordered[first], max(self.lists, default=0)), np.diff(np.r_[first, len(codes)]))
+        return out
+
+    def distinct_score(self, codes: np.ndarray, depth: int) -> np.ndarray:
+        """As ``score``, from suffixes of ``depth`` bytes at most, one look-up each."""
         out, todo = np.zeros(len(codes)), np.arange(len(codes))
-        for d in range(max(self.lists, default=0) if depth is None else depth, 0, -1):
+        for d in range(depth, 0, -1):
             own = codes[todo] & ((1 << (8 * (d + 1))) - 1)
             p, listed = self.lists[d].get(own)
             out[todo[listed]] += p[listed]
@@ -188,10 +197,10 @@ def grow(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) ->
         code, n, place = code[ok], n[ok].astype(float), place[ok]
         own = (n - DISCOUNT) / total[place] if len(n) else np.zeros(0)
         rest = 1 - np.bincount(place, own, len(context))
-        lower = tree.score(code, d - 1)
+        lower = tree.distinct_score(code, d - 1)
         p = own + rest[place] * 10**lower
         listed = np.bincount(place, n, len(context))
-        gain = np.bincount(place, n * (np.log(p) - lower * np.log(10)), len(context))
+        gain = np.bincount(place, n * (np.log(p) - lower * np.log(10)), len(context)).astype(float)
         gain += (total - listed) * np.log(np.maximum(rest, 1e-300))
         keep = gain >= MIN_GAIN
         tree.states[d] = Table(context[keep], np.log10(np.maximum(rest[keep], 1e-300)))
