@@ -37,8 +37,8 @@ MIN_GAIN = 4.0
 DISCOUNT = 0.75
 END = b"\n"
 #: Bytes handled at once, and counts that a task keeps before it passes them on.
-BLOCK = 1 << 21
-KEPT = 1 << 21
+BLOCK = 1 << 20
+KEPT = 3 << 19
 ROWS_OUT = 1 << 17
 
 SYMBOLS, WORDS = 0, 1
