@@ -36,19 +36,23 @@ def params(ops: DataFrame, keys: tuple[str, ...] = ("id", "operation")) -> DataF
     return sides[0].unionByName(sides[1])
 
 
-def dependency_class(endpoint: Column, gateway_hosts: tuple[str, ...] = GATEWAY_HOSTS) -> Column:
+def dependency_class(
+    endpoint: Column, gateway_hosts: tuple[str, ...] = GATEWAY_HOSTS, host: Column | None = None, root: Column | None = None
+) -> Column:
     """The class of an endpoint URL; the first that fits of: blank, unparsable, SOAP, WMS, host only, gateway, external.
 
     SOAP: the query asks for a ``wsdl``, or the path ends in ``.asmx``. WMS: the query has
-    ``service=wms`` or the path ends in ``/wms``.
+    ``service=wms`` or the path ends in ``/wms``. ``host`` and ``root`` may be given where they are known.
     """
-    low, host = F.lower(F.trim(endpoint)), url_authority(F.trim(endpoint))
+    low = F.lower(F.trim(endpoint))
+    host = url_authority(F.trim(endpoint)) if host is None else host
+    root = url_is_root(F.trim(endpoint)) if root is None else root
     return first_true(
         (F.coalesce(F.trim(endpoint), F.lit("")) == "", "no_endpoint"),
         (host.isNull(), "malformed_endpoint"),
         (low.rlike(r"[?&]wsdl|\.asmx([?#]|$)"), "soap"),
         (low.rlike(r"[?&]service=wms|/wms([?#]|$)"), "wms"),
-        (url_is_root(F.trim(endpoint)), "service_root"),
+        (root, "service_root"),
         (host.isin(*gateway_hosts), "gateway"),
         otherwise="external_endpoint",
     )
@@ -88,9 +92,11 @@ def adapter_status(cls: Column, adapter: Column) -> Column:
 def classify(deps: DataFrame, adapters: DataFrame, gateway_hosts: tuple[str, ...] = GATEWAY_HOSTS) -> DataFrame:
     """``deps`` (endpoint, dev_approval, prod_approval, source_host) with endpoint_host,
     dependency_class, adapter_status, approval_required and callable."""
-    out = deps.withColumn("dependency_class", dependency_class(F.col("endpoint"), gateway_hosts)).withColumn(
-        "endpoint_host", F.when(F.col("dependency_class") != "service_root", url_authority(F.trim("endpoint")))
-    )
+    # URLs are parsed once a row: Spark keeps a costly column that is used more than once.
+    url = F.trim("endpoint")
+    out = deps.withColumns({"url_host": url_authority(url), "url_root": url_is_root(url)})
+    out = out.withColumn("dependency_class", dependency_class(F.col("endpoint"), gateway_hosts, F.col("url_host"), F.col("url_root")))
+    out = out.withColumn("endpoint_host", F.when(F.col("dependency_class") != "service_root", F.col("url_host"))).drop("url_host", "url_root")
     out = out.withColumn("route_host", F.coalesce(F.nullif("endpoint_host", F.lit("")), F.nullif("source_host", F.lit(""))))
     out = attach_adapter(out, adapters, "route_host")
     return out.withColumns(
