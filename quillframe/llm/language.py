@@ -28,8 +28,9 @@ PER_LANGUAGE = 600
 EPOCHS = 4
 #: FTRL: step size, its smoothing, and the penalties on absolute and squared weights.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.002, 0.001
-#: Code points handled at once.
-SLICE = 1 << 19
+#: Code points and rows handled at once.
+SLICE = 1 << 18
+SLICE_ROWS = 512
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -208,11 +209,13 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = model.predict(batch.column(len(columns)).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(len(columns))), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=schema.names,
-            )
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                names, scores = model.predict(part.column(len(columns)).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in range(len(columns))), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    names=schema.names,
+                )
 
     return docs.select(*columns, F.col(text_col).cast("string").alias("judged text")).mapInArrow(run, schema)
 
