@@ -74,31 +74,39 @@ class Pieces:
         """
         n = len(text)
         score = [0.0] + [-1e300] * n
-        size, own = [0] * (n + 1), [0] * (n + 1)
-        reached = 0  # places up to here have their unknown characters considered
-        pieces, floor = self.pieces, self.floor
-        for end, (length, k, gain) in self.automaton.iter(text):
-            while reached <= end:
-                reached += 1
-                if text[reached - 1] not in pieces and score[reached - 1] + floor > score[reached]:
-                    score[reached], size[reached], own[reached] = score[reached - 1] + floor, 1, -1
-            total = score[end + 1 - length] + gain
-            if total > score[end + 1]:
-                score[end + 1], size[end + 1], own[end + 1] = total, length, k
-        while reached < n:
-            reached += 1
-            if text[reached - 1] not in pieces and score[reached - 1] + floor > score[reached]:
-                score[reached], size[reached], own[reached] = score[reached - 1] + floor, 1, -1
+        back: list[tuple] = [()] * (n + 1)
+        unknown = [k for k, c in enumerate(text) if c not in self.pieces]
+        todo = 0  # unknown characters before it are considered
+        for end, match in self.automaton.iter(text):
+            # Places are relaxed from left to right: those before this end come first.
+            while todo < len(unknown) and unknown[todo] < end:
+                self._pass(unknown[todo], score, back)
+                todo += 1
+            end += 1
+            total = score[end - match[0]] + match[2]
+            if total > score[end]:
+                score[end] = total
+                back[end] = match
+        for at in unknown[todo:]:
+            self._pass(at, score, back)
         out: list[int] = []
         at = n
         while at:
-            if own[at] < 0:
+            size, k, _ = back[at]
+            if k < 0:
                 out += self._bytes(text[at - 1])[::-1]
             else:
-                out.append(own[at])
-            at -= size[at]
+                out.append(k)
+            at -= size
         return out[::-1]
 
+    def _pass(self, at: int, score: list[float], back: list[tuple]) -> None:
+        """Relaxes the end of the unknown character at ``at``."""
+        total = score[at] + self.floor
+        if total > score[at + 1]:
+            score[at + 1] = total
+            back[at + 1] = (1, -1, 0.0)
+
     def _bytes(self, character: str) -> list[int]:
         return [self.byte_ids.get(b, self.unknown_id) for b in character.encode()]
 
