@@ -1,17 +1,23 @@
-"""Near-duplicate texts by SimHash candidates and an exact test of their shingles.
+"""Near-duplicate texts: SimHash candidates first, then every other similar pair by an exact join.
 
 One SimHash of a whole text tells texts apart that differ in a few words: at a shingle
 similarity of 0.8 two fingerprints differ in about ten bits, too many to index. So each text has,
 beside its whole fingerprint, ``TABLES`` part fingerprints: the SimHash of the ``SAMPLE`` shingles
-that come first in one of as many fixed random orders. Similar texts have the same first shingles
-in some order: at 0.8 all ``TABLES`` miss in less than one case of a thousand.
-
-Candidates are (1) the links of the Gray-order index between whole fingerprints, and (2) in each
-table, texts with equal part fingerprints. For (2) rows are range-partitioned by part fingerprint
-and Gray rank of the whole one, so that a large group is spread over partitions, and each row
-meets the one before it and the first of its group there: two pairs a row and table, never all
-pairs. Every candidate pair is tested on the full sets of shingles. Equal texts are collapsed
-before all this.
+that come first in one of as many fixed random orders.
+
+First round, a few pairs a text: (1) the spanning links of the Gray-order index between whole
+fingerprints, and (2) in each table, texts with equal part fingerprints. For (2) rows are
+range-partitioned by part fingerprint and Gray rank of the whole one, so that a large group is
+spread over partitions, and each row meets the one before it and the first of its group there.
+This only joins what is easily joined, so that copies of copies are not compared pairwise below.
+
+Second round, exact: texts of a similarity of ``t`` or more share one of the first
+``n - ceil(t n) + 1`` of their ``n`` shingles in any fixed order of all shingles. Texts of different
+components so far that share such shingles, in numbers that leave ``t`` possible, are candidates
+too; none is left out. Shingles that are frequent in a sample come last in the order; the sample
+decides only how many candidates there are.
+
+Every candidate pair is tested on the full sets of shingles. Equal texts are collapsed before all this.
 """
 
 from __future__ import annotations
@@ -30,6 +36,10 @@ from quillframe.llm.simhash import SLICE_SHINGLES, _edges, _majorities, _shingle
 
 TABLES = 10
 SAMPLE = 3
+#: Texts, about, from which frequent shingles are learned, and in how many of them these stand.
+ORDER_TEXTS, ORDER_LEAST = 5_000, 5
+#: Pairs that a task makes at once.
+SLICE_PAIRS = 1 << 19
 #: Ids that are broadcast at most, 8 bytes each; more go through a join.
 BROADCAST_IDS = 2_000_000
 #: Odd multipliers, one for each order, from a fixed seed.
@@ -105,14 +115,150 @@ def similar(a: bytes | None, b: bytes | None, shingle: int, least: float) -> boo
     return both >= least * (len(x) + len(y) - both)
 
 
+def _needed(n, share: float):
+    """The least number that is ``share`` of ``n`` or more; rounding errors make it less, never more."""
+    return np.ceil(share * n - 1e-6).astype(np.int64)
+
+
+def _frequent(base: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle hashes, sorted; their counts) of the shingles that are frequent in a sample of the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(1):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.array(_shingle_hashes(text.as_py(), shingle), np.uint64)).view(np.int64))], names=["h"])
+
+    every = max(1, base.count() // ORDER_TEXTS)
+    found = base.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= ORDER_LEAST)
+    h, n = (c.to_numpy() for c in found.toArrow().columns)
+    order = np.argsort(h.view(np.uint64))
+    return h.view(np.uint64)[order], n[order]
+
+
+def prefix(distinct: np.ndarray, share: float, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first ``n - ceil(share n) + 1`` of ``n`` sorted shingle hashes: rarer ones first, then by hash."""
+    n = len(distinct)
+    size = n - int(_needed(n, share)) + 1
+    if not len(frequent) or not n:
+        return distinct[:size]
+    place = np.minimum(np.searchsorted(frequent, distinct), len(frequent) - 1)
+    weight = np.where(frequent[place] == distinct, counts[place], 0)
+    return distinct[np.argsort(weight, kind="stable")[:size]]
+
+
+def _meetings(share: float):
+    """Arrow task: rows (h, n, rep, root) sorted by (h, n) in; for each two rows of one h whose sizes
+    allow ``share`` and whose roots differ, (a, b, how many shared prefix shingles the pair needs) out."""
+
+    def pairs(h, n, rep, root, upto: int) -> Iterator[pa.RecordBatch]:
+        """The pairs whose first row is among the ``upto`` first rows."""
+        change = np.r_[True, h[1:] != h[:-1]]
+        group = np.cumsum(change) - 1
+        wide = int(n.max()) + 1
+        end = np.searchsorted(group * wide + n, group * wide + np.minimum((n / share + 1e-6).astype(np.int64), wide - 1), "right")
+        many = (end - np.arange(len(h)) - 1)[:upto]
+        ends = np.cumsum(many)
+        first = 0
+        while first < upto:
+            before = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_PAIRS, "right")))
+            i = np.repeat(np.arange(first, last), many[first:last])
+            j = i + 1 + np.arange(len(i)) - np.repeat(ends[first:last] - many[first:last] - before, many[first:last])
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            beyond = np.maximum(_needed(n[i], share), _needed(n[j], share)) - 1
+            need = np.maximum(1, _needed(n[i] + n[j], share / (1 + share)) - beyond)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(need)], names=["a", "b", "need"]
+            )
+            first = last
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            both = [np.concatenate([r, batch.column(k).to_numpy(zero_copy_only=False)]) for k, r in enumerate(rest)]
+            if not len(both[0]):
+                continue
+            change = np.flatnonzero(both[0][1:] != both[0][:-1]) + 1
+            last = int(change[-1]) if len(change) else 0  # the last group may go on in the next batch
+            if last:
+                yield from pairs(*(x[:last] for x in both), last)
+            rest = [x[last:] for x in both]
+        if len(rest[0]):
+            yield from pairs(*rest, len(rest[0]))
+
+    return run
+
+
+def rest_pairs(base: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b) of all rows of ``base`` (id, t, root) with different roots that may have the similarity."""
+    frequent, counts = _frequent(base, shingle)
+    order = base.sparkSession.sparkContext.broadcast((frequent, counts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, roots = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+            hashes, sizes = [], []
+            start = held = 0
+            for k, text in enumerate(batch.column(1)):
+                distinct = np.unique(np.array(_shingle_hashes(text.as_py(), shingle), np.uint64))
+                hashes.append(prefix(distinct, similarity, *order.value) if len(distinct) else distinct)
+                sizes.append(len(distinct))
+                held += len(hashes[-1])
+                if held >= SLICE_SHINGLES or k + 1 == batch.num_rows:
+                    lens = [len(x) for x in hashes]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate(hashes).view(np.int64)),
+                            pa.array(np.repeat(np.array(sizes, np.int64), lens)),
+                            pa.array(np.repeat(ids[start : k + 1], lens)),
+                            pa.array(np.repeat(roots[start : k + 1], lens)),
+                        ],
+                        names=["h", "n", "rep", "root"],
+                    )
+                    hashes, sizes, start, held = [], [], k + 1, 0
+
+    return (
+        base.join(roots, F.col("id") == F.col("vertex"), "left")
+        .select("id", "t", F.coalesce("root", "id").alias("root"))
+        .mapInArrow(run, "h long, n long, rep long, root long")
+        .repartition("h")
+        .sortWithinPartitions("h", "n")
+        .mapInArrow(_meetings(similarity), "a long, b long, need long")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("shared"), F.min("need").alias("need"))
+        .where("a < b and shared >= need")
+        .select("a", "b")
+    )
+
+
+def _tested(base: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose texts in ``base`` (id, t) are similar."""
+    ids = written(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct())
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    needed = written(base.join(ids, "id").groupBy("id").agg(F.min("t").alias("t")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [similar(x.as_py(), y.as_py(), shingle, similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return (
+        pairs.join(needed.select(F.col("id").alias("a"), F.col("t").alias("x")), "a")
+        .join(needed.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
+        .select("a", "b", "x", "y")
+        .mapInArrow(run, "a long, b long")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
 ) -> DataFrame:
     """(``id_col``, component_id) of each row of ``docs`` with an id.
 
     Texts link if their sets of ``shingle``-word shingles have a Jaccard similarity of
-    ``similarity`` or more and they became candidates, or if their words are equal (A-Z in either
-    case); null and wordless texts are equal. component_id is the smallest id reachable. Rows with
+    ``similarity`` or more, or if their words are equal (A-Z in either case); null and wordless texts are equal. component_id is the smallest id reachable. Rows with
     a null id are left out; repeated rows give repeated rows; an empty table gives an empty one.
     An id should name one text: of several, the least is the one tested.
     """
@@ -135,23 +281,12 @@ def near_duplicates(
     )
     pairs = whole.unionAll(same_whole).unionAll(meeting)
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-    ids = written(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    needed = written(base.join(ids, "id").groupBy("id").agg(F.min("t").alias("t")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [similar(x.as_py(), y.as_py(), shingle, similarity) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    tested = (
-        pairs.join(needed.select(F.col("id").alias("a"), F.col("t").alias("x")), "a")
-        .join(needed.select(F.col("id").alias("b"), F.col("t").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(run, "a long, b long")
-    )
-    roots = connected_components(tested)
+    first = written(_tested(base, pairs, shingle, similarity))
+    reps = texts.select(F.col("rep").alias("id")).distinct()
+    if reps.count() <= BROADCAST_IDS:
+        reps = F.broadcast(reps)
+    rest = written(rest_pairs(base.join(reps, "id"), written(connected_components(first)), shingle, similarity))
+    roots = connected_components(first.unionAll(_tested(base, rest, shingle, similarity)))
     classes = texts.join(roots, F.col("rep") == F.col("vertex"), "left").select("key", F.coalesce("root", "rep").alias("component_id"))
     return rows.select("id", "key").join(written(classes), "key").select(F.col("id").alias(id_col), "component_id")
