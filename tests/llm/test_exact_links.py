@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import random
 
-from test_dedup import components, pairs_of
+import numpy as np
+from test_dedup import components, fingerprint, jaccard, pairs_of
 
 from quillframe.llm import simhash_texts
 
@@ -36,3 +37,25 @@ def test_a_hub_keeps_all_its_near_copies(spark, words):
     near = sum(211 not in p for p in links if max(p) <= 400)
     assert sum(211 in p for p in links) == 400 and near < 4000
     assert found(spark, rows) == components(range(len(rows)), links)
+
+
+def test_texts_of_one_fingerprint_are_all_compared(spark, words):
+    """y and z are similar; both have the fingerprint of a text that is similar to neither, and no part fingerprint in common."""
+    rng = random.Random(32)
+    phrase = "one two three four five six seven " * 200
+
+    def parts(text):
+        return simhash_texts.part_fingerprints(np.unique(np.array(simhash_texts._shingle_hashes(text.encode(), 5), np.uint64)))
+
+    rows = [(0, phrase + " ".join(f"u{k}" for k in range(90)))]
+    while len(rows) < 7:
+        own = [f"{rng.choice(words)}{rng.randrange(10**6)}" for _ in range(90)]
+        other = list(own)
+        other[30] = other[60] = "changed"
+        y, z = phrase + " ".join(own), phrase + " ".join(other)
+        if not any(a == b for a, b in zip(parts(y), parts(z), strict=True)):
+            rows += [(len(rows), y), (len(rows) + 1, z)]
+    assert len({fingerprint(t, 5) for _, t in rows}) == 1
+    links = pairs_of(rows, lambda x, y: jaccard(x, y) >= 0.8)
+    assert links == [(1, 2), (3, 4), (5, 6)]
+    assert found(spark, rows) == components(range(7), links)
