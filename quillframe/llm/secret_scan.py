@@ -1,7 +1,9 @@
 """Secret scans: fixed patterns, and strings that compression finds new in a sensitive context.
 
 A candidate is a long run of key-like characters, letters and digits mixed, with a sensitive
-word shortly before it. Its novelty is the marginal size: zstandard, primed with a dictionary of
+word shortly before it; in NAME=value the value alone is one, and the name counts as before it. A
+sensitive word also counts for the candidates that adjoin the one it stands before: the further
+lines of a block, and parts joined by dots. A candidate's novelty is the marginal size: zstandard, primed with a dictionary of
 common identifiers and code, compresses the text around it with and without the candidate, and
 the difference is divided by the candidate's length. Identifiers, repeated values and words
 compress well; random strings don't. Candidates at or above ``min_novelty`` are reported.
@@ -34,6 +36,13 @@ SENSITIVE_WORDS = (
 )
 SENSITIVE = re.compile("|".join(SENSITIVE_WORDS), re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: The parts of a candidate: names and values between signs of assignment, with the padding of base 64.
+PART = re.compile(r"[A-Za-z0-9+/_-]+=*")
+MIN_CANDIDATE = 16
+#: What stands between candidates that adjoin: a dot, or the end of a line (escaped or quoted ones, and marks of a margin, too).
+ADJOINS = re.compile(r"""\.|\\|["']?[\x20\t]*[+,\\]?[\x20\t]*\r?\n[\x20\t>#*|]*["']?""")
+#: The last line of a block, which may be too short to tell its novelty.
+TAIL = re.compile(r"""(?:\\n|\s){1,8}([A-Za-z0-9+/=]+)(?=(?:\\n|\s){1,8}-----END)""")
 #: Characters before a candidate in which a sensitive word must stand.
 REACH = 48
 #: Characters around a candidate that it is compared with.
@@ -87,24 +96,52 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def in_context(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """(first, end, first and end of the run they are part of) of the candidates with a sensitive word before them.
+
+    A run of several parts follows its parts, for those whose parts are too short.
+    """
+    before, sensitive = -1, False
+    for m in CANDIDATE.finditer(text):
+        first, end = m.span()
+        parts = [p.span() for p in PART.finditer(text, first, end)]
+        own = sensitive and len(parts) == 1 and ADJOINS.fullmatch(text, before, first) is not None
+        before, at = end, max(0, first - REACH)
+        sensitive = own or SENSITIVE.search(text, at, first) is not None
+        if sensitive and parts != [(first, end)]:
+            parts.append((first, end))
+        for a, b in parts:
+            if b - a >= MIN_CANDIDATE:
+                if not sensitive:
+                    sensitive = SENSITIVE.search(text, at, a) is not None
+                    at = max(at, a - REACH)
+                if sensitive:
+                    yield a, b, first, end
+
+
 def spans_of(text: str, by: zstandard.ZstdCompressor, min_novelty: float) -> list[tuple[str, int, int, float]]:
     """All spans of a text with their novelty, by start, then kind."""
     found = [(kind, a, b, novelty(text, a, b, by)) for kind, a, b in base_spans(text)]
     lowered = text.lower()
     if any(w in lowered for w in SENSITIVE_WORDS):
         taken = [(a, b) for _, a, b, _ in found]
-        for m in CANDIDATE.finditer(text):
-            a, b = m.span()
+        for a, b, first, end in in_context(text):
+            own = text[a:b]
             if (
-                not any(c.isdigit() for c in m[0])
-                or not any(c.isalpha() for c in m[0])
-                or not SENSITIVE.search(text, max(0, a - REACH), a)
+                not any(c.isdigit() for c in own)
+                or not any(c.isalpha() for c in own)
                 or any(x < b and a < y for x, y in taken)
             ):
                 continue
             new = novelty(text, a, b, by)
             if new >= min_novelty:
                 found.append(("novel", a, b, new))
+                if (a, b) != (first, end):
+                    taken.append((a, b))  # its run isn't reported again
+                tail = TAIL.match(text, b)
+                if tail and not any(x < tail.end() and tail.start(1) < y for x, y in taken):
+                    found.append(("novel", *tail.span(1), novelty(text, *tail.span(1), by)))
+                    taken.append(tail.span(1))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
