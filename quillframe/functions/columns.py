@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Query parameters whose value is a credential.
@@ -24,14 +24,36 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, tenths.cast("double") / 10).otherwise(0.0)
 
 
+#: Scheme, user, authority, path, query with its mark, fragment; white space is in none of them.
+_URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@\s]*@)?([^/?#\s]*)([^?#\s]*)(\?[^#\s]*)?(?:#\S*)?$"
+
+
+def url_cut(url: Column) -> Column:
+    """Array of ``host[:port]``, path, and query with its ``?``, cut by one regular expression (no parser
+    throws on dirty rows); of another size for what is no URL."""
+    return F.split(F.regexp_replace(F.translate(url, "\n", " "), _URL, "$1\n$2\n$3"), "\n")
+
+
+def parts_of(cut: Column) -> Column:
+    """struct<authority, path, query> of ``url_cut``; all null for what is no URL (no ``scheme://``, no
+    host, or white space inside)."""
+    found = (F.size(cut) == 3) & (F.element_at(cut, 1) != "")
+    return F.struct(*(F.when(found, F.element_at(cut, k + 1)).alias(name) for k, name in enumerate(("authority", "path", "query"))))
+
+
+def url_parts(url: Column) -> Column:
+    """struct<authority, path, query> of a URL; all null for what is none."""
+    return parts_of(url_cut(url))
+
+
 def url_authority(url: Column) -> Column:
-    """``host[:port]`` of a URL; null where there is none or the URL can't be parsed."""
-    return F.nullif(F.try_parse_url(url, F.lit("AUTHORITY")), F.lit(""))
+    """``host[:port]`` of a URL; null where there is none."""
+    return url_parts(url)["authority"]
 
 
-def url_is_root(url: Column) -> Column:
-    """Whether a URL names a host only: no path but ``/`` and no query."""
-    return F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")).isin("", "/") & F.try_parse_url(url, F.lit("QUERY")).isNull()
+def is_root(parts: Column) -> Column:
+    """Whether ``url_parts`` name a host only: no path but ``/`` and no query."""
+    return parts["path"].isin("", "/") & (parts["query"] == "")
 
 
 def redact_url(url: Column, keys: tuple[str, ...] = CREDENTIAL_KEYS) -> Column:
@@ -66,9 +88,16 @@ def has_all(required: Column, present: Column) -> Column:
     return F.size(F.array_except(F.coalesce(required, empty), F.coalesce(present, empty))) == 0
 
 
-def same_elements(a: Column, b: Column) -> Column:
-    """Whether two arrays have equal elements, order aside."""
-    return F.array_sort(a).eqNullSafe(F.array_sort(b))
+def covers_all(expected: Column, listed: Column) -> Column:
+    """Whether ``listed`` names exactly what is in ``expected``, in sorted order; null arrays count as empty."""
+    empty = F.array().cast("array<string>")
+    return F.array_sort(F.coalesce(expected, empty)) == F.coalesce(listed, empty)
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row. The optimizer copies a projected expression
+    into every filter and column that uses it; a generated row is beyond its reach."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def first_true(*cases: tuple[Column, str | Column], otherwise: str | Column | None = None) -> Column:

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.functions.columns import digest, first_true, has_all
+from quillframe.functions.columns import digest, first_true, has_all, template_placeholders
 
 SERVED_TARGETS = ("dataset-api", "sdk", "mcp")
-#: Kinds of references, in order, and the contracts that a change of each touches. Fixed values.
+#: The kinds of references, and the parts of the contract that a change of each touches.
 REFERENCE_IMPACTS = {
-    "api_docs": ["specs", "dependencies"],
-    "homepage": ["source_profile"],
-    "key_request": ["auth"],
-    "metadata_standard": ["specs"],
-    "notice": ["source_profile"],
-    "terms": ["policy"],
+    "homepage_url": ["source_identity"],
+    "api_docs_url": ["catalogue", "auth", "runtime"],
+    "key_request_url": ["auth"],
+    "notice_url": ["notice", "runtime"],
+    "terms_url": ["terms"],
+    "metadata_standard_url": ["metadata_standard"],
 }
 
 
@@ -58,48 +58,80 @@ def stale(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 # Error rules
 
+#: Rules that are broadcast at most. A rule catalogue is written by hand; a larger one is refused
+#: rather than joined row by row with all results.
+MAX_RULES = 10_000
+#: Kinds of rules that a result's reason names.
+REASON_KINDS = ("timeout", "dns_error", "tls_error", "parse_error")
+#: Columns of a result and the scope of a rule that each is held against.
+SCOPES = {"host": "hosts", "dataset_id": "dataset_ids", "operation": "operation_ids", "cls": "dependency_classes"}
 
-def rule_condition(result: dict[str, Column], rule: dict[str, Column]) -> Column:
-    """Whether a result is in a rule's scope and meets its predicate."""
 
-    def scoped(scope: Column, value: Column) -> Column:
-        return scope.isNull() | (F.size(scope) == 0) | F.array_contains(scope, value)
+def _folded(rule: dict[str, Column], text: Column) -> Column:
+    """``text`` as a rule reads it: in either case, unless the rule is case sensitive."""
+    return F.when(F.coalesce(rule["case_sensitive"], F.lit(False)), text).otherwise(F.lower(text))
 
-    def folded(x: Column) -> Column:
-        return F.when(F.coalesce(rule["case_sensitive"], F.lit(False)), x).otherwise(F.lower(x))
 
-    kind, text, sought = rule["kind"], folded(result["message"]), folded(rule["value"])
-    holds = first_true(
-        (kind == "http_status", result["http_status"] == rule["http_status"]),
-        (kind == "field_equals", folded(result["field"]) == sought),
-        (kind == "field_contains", F.contains(folded(result["field"]), sought)),
-        (kind == "message_contains", F.contains(text, sought)),
-        (kind.isin("timeout", "dns_error", "tls_error", "parse_error"), result["reason"] == kind),
-        (kind == "unknown", F.lit(True)),
-        otherwise=F.lit(False),
-    )
-    return scoped(rule["hosts"], result["host"]) & scoped(rule["classes"], result["cls"]) & F.coalesce(holds, F.lit(False))
+def in_scope(result: dict[str, Column], rule: dict[str, Column]) -> Column:
+    """Whether every scope of a rule that isn't null or empty lists what the result has."""
+    out = F.lit(True)
+    for column, scope in SCOPES.items():
+        listed = rule[scope]
+        out = out & (listed.isNull() | (F.size(listed) == 0) | F.coalesce(F.array_contains(listed, result[column]), F.lit(False)))
+    return out
 
 
-#: Rules that are broadcast at most. A rule catalogue is written by hand; a larger one is refused
-#: rather than joined row by row with all results.
-MAX_RULES = 10_000
+def _field_values(result: dict[str, Column], rule: dict[str, Column]) -> Column:
+    """The values of the field that a rule names; of all fields, if it names none."""
+    named = F.array(F.try_element_at(result["fields"], rule["field"]))
+    return F.when(rule["field"].isNull(), F.map_values(result["fields"])).otherwise(named)
 
 
 def match_error_rules(results: DataFrame, rules: DataFrame) -> DataFrame:
     """Every (result_id, rule_id, classification) of results and rules that fit.
 
-    ``results``: result_id, host, cls, http_status, reason, field, message. ``rules``: rule_id,
-    hosts, classes, kind, http_status, value, case_sensitive, classification.
+    ``results``: result_id, host, dataset_id, operation, cls, http_status, reason, message, fields
+    (map of strings: what the provider's reply says). ``rules``: rule_id, hosts, dataset_ids,
+    operation_ids, dependency_classes, kind, http_status, field, value, contains, case_sensitive,
+    classification. A scope that is null or empty admits all. field_equals compares ``value``,
+    field_contains and message_contains look for ``contains``; a null one fits nothing.
+
+    Rules on a status, a reason or the value of a named field become keys and are hashed; only
+    rules that look for a part of a text, or name no field, are held against every result.
     """
     if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
     r = rules.select(*(F.col(c).alias(f"rule_{c}") for c in rules.columns))
-    condition = rule_condition(
-        {c: F.col(c) for c in ("host", "cls", "http_status", "reason", "field", "message")},
-        {c: F.col(f"rule_{c}") for c in ("hosts", "classes", "kind", "http_status", "value", "case_sensitive")},
+    result = {c: F.col(c) for c in (*SCOPES, "http_status", "reason", "message", "fields")}
+    rule = {c: F.col(f"rule_{c}") for c in rules.columns}
+    kind = rule["kind"]
+    key = first_true(
+        (kind == "http_status", F.concat(F.lit("status "), rule["http_status"].cast("string"))),
+        (kind.isin(*REASON_KINDS), F.concat(F.lit("reason "), kind)),
+        ((kind == "field_equals") & rule["field"].isNotNull(), F.concat(F.lit("field "), F.lower(rule["value"]), F.lit(" "), rule["field"])),
     )
-    return results.join(F.broadcast(r), condition).select("result_id", F.col("rule_rule_id").alias("rule_id"), F.col("rule_classification").alias("classification"))
+    by_key = r.withColumn("rule_key", key).where("rule_key is not null")
+    entries = F.transform(F.map_entries(F.coalesce("fields", F.create_map().cast("map<string,string>"))), lambda e: F.concat(F.lit("field "), F.lower(e["value"]), F.lit(" "), e["key"]))
+    keys = F.array_compact(
+        F.concat(F.array(F.concat(F.lit("status "), F.col("http_status").cast("string")), F.concat(F.lit("reason "), "reason")), entries)
+    )
+    equal = (kind != "field_equals") | (_folded(rule, F.try_element_at(result["fields"], rule["field"])) == _folded(rule, rule["value"]))
+    hashed = results.withColumn("rule_key_", F.explode(F.array_distinct(keys))).join(
+        F.broadcast(by_key), (F.col("rule_key_") == F.col("rule_key")) & in_scope(result, rule) & equal
+    )
+    sought = _folded(rule, F.when(kind == "field_equals", rule["value"]).otherwise(rule["contains"]))
+    values = _field_values(result, rule)
+    holds = first_true(
+        (kind == "message_contains", F.contains(_folded(rule, result["message"]), sought)),
+        (kind == "field_contains", F.exists(values, lambda v: F.contains(_folded(rule, v), sought))),
+        (kind == "field_equals", F.exists(values, lambda v: _folded(rule, v) == sought)),
+        (kind == "unknown", F.lit(True)),
+        otherwise=F.lit(False),
+    )
+    looped = r.where(kind.isin("message_contains", "field_contains", "unknown") | (kind == "field_equals") & rule["field"].isNull())
+    scanned = results.join(F.broadcast(looped), in_scope(result, rule) & F.coalesce(holds, F.lit(False)))
+    out = ("result_id", F.col("rule_rule_id").alias("rule_id"), F.col("rule_classification").alias("classification"))
+    return hashed.select(*out).unionAll(scanned.select(*out))
 
 
 def unmatched(results: DataFrame, matches: DataFrame) -> DataFrame:
@@ -132,51 +164,71 @@ def impact_actions(changes: DataFrame) -> DataFrame:
 
 
 def impact_summary(changes: DataFrame) -> DataFrame:
-    """(metric, value, n): changes in all, by category, actions by target, and changes that need manual
-    review, a database review, or a regeneration of what is served."""
+    """(metric, value, n): changes in all and by category, and actions by target, for manual review
+    (or blocked), for a database review, and that regenerate what is served. One change counts as
+    often as it has such actions."""
     actions = impact_actions(changes)
+    served = F.col("target").isin(*SERVED_TARGETS) & (F.col("action") == "regenerate")
+    flags = actions.agg(
+        F.count_if(F.col("automation").isin("manual_review", "blocked")).alias("manual"),
+        F.count_if(F.col("action") == "db_migration_review").alias("database"),
+        F.count_if(served).alias("served"),
+    )
 
-    def metric(df: DataFrame, name: str, value: Column) -> DataFrame:
-        return df.groupBy(F.lit(name).alias("metric"), value.alias("value")).agg(F.count("*").alias("n"))
+    def grouped(df: DataFrame, name: str) -> DataFrame:
+        return df.where(F.col(name).isNotNull()).groupBy(F.lit(name).alias("metric"), F.col(name).alias("value")).agg(F.count("*").alias("n"))
 
-    rows = changes.select(
-        F.exists("actions", lambda a: a["automation"].isin("manual_review", "blocked")).alias("manual"),
-        F.exists("actions", lambda a: a["action"] == "db_migration_review").alias("database"),
-        F.exists("actions", lambda a: a["target"].isin(*SERVED_TARGETS) & (a["action"] == "regenerate")).alias("served"),
-    )
-    flags = rows.agg(F.count("*").alias("total"), *(F.count_if(c).alias(c) for c in ("manual", "database", "served")))
-    totals = flags.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.lit("").alias("value"), F.col(c).alias("n")) for c in flags.columns))).alias("x")).select("x.*")
-    return totals.unionByName(metric(changes, "category", F.col("category"))).unionByName(metric(actions, "target", F.col("target")))
+    total = changes.agg(F.lit("total").alias("metric"), F.lit("").alias("value"), F.count("*").alias("n"))
+    long = F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.lit("").alias("value"), F.col(c).alias("n")) for c in flags.columns)))
+    return total.unionByName(flags.select(long.alias("x")).select("x.*")).unionByName(grouped(changes, "category")).unionByName(grouped(actions, "target"))
 
 
-def common_value(df: DataFrame, column: str, fallback: str) -> DataFrame:
-    """The one value of ``column``; ``mixed`` for several; ``fallback`` for none."""
-    kinds = F.count_distinct(column)
-    return df.agg(F.when(kinds == 1, F.min(column)).when(kinds == 0, F.lit(fallback)).otherwise("mixed").alias("value"))
+def common_value(column: str, fallback: str) -> Column:
+    """Aggregate: the one value of ``column``; ``fallback`` for none or several."""
+    return F.when(F.min(column).eqNullSafe(F.max(column)), F.coalesce(F.min(column), F.lit(fallback))).otherwise(fallback)
 
 
-def impact_rollup(plans: DataFrame) -> DataFrame:
-    """One row over all sources' plans: changes, the latest generated_at, and common provider and source."""
-    def common(c: str) -> Column:
-        kinds = F.count_distinct(c)
-        return F.when(kinds == 1, F.min(c)).when(kinds == 0, "unknown").otherwise("mixed").alias(c)
+#: Columns of a source's plan that a rollup keeps where all sources agree.
+COMMON_COLUMNS = ("library_version", "registry_version_from", "registry_version_to")
 
-    return plans.agg(F.count("*").alias("changes"), F.max("generated_at").alias("generated_at"), common("provider"), common("source_id"))
+
+def rolled_changes(plans: DataFrame) -> DataFrame:
+    """The changes of all sources' plans (path, changes) with their source's path and their place in it."""
+    rest = [c for c in plans.columns if c != "changes"]
+    return plans.select(*rest, F.posexplode("changes").alias("place", "c")).select(*rest, "place", "c.*")
+
+
+def impact_rollup(plans: DataFrame) -> DataFrame:
+    """(metric, value, n) over all sources' plans (path, generated_at, ``COMMON_COLUMNS``, changes):
+    ``impact_summary`` of the union of their changes, the number of plans, the latest generated_at
+    and the columns on which all plans agree (``mixed`` otherwise)."""
+    summary = impact_summary(rolled_changes(plans))
+    head = plans.agg(F.count("*").alias("plans"), F.max("generated_at").cast("string").alias("generated_at"), *(common_value(c, "mixed").alias(c) for c in COMMON_COLUMNS))
+    rows = [F.struct(F.lit("plans").alias("metric"), F.lit("").alias("value"), F.col("plans").alias("n"))] + [
+        F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"), F.lit(None).cast("long").alias("n")) for c in ("generated_at", *COMMON_COLUMNS)
+    ]
+    return head.select(F.explode(F.array(*rows)).alias("x")).select("x.*").unionByName(summary)
 
 
 # References
 
 
+def _urls(kinds: list[str]) -> Column:
+    return F.filter(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("url")) for k in kinds)), lambda x: x["url"].isNotNull())
+
+
 def profile_references(profiles: DataFrame) -> DataFrame:
-    """(source_id, kind, url, reviewed_at) from wide profiles with one ``<kind>_url`` column a kind; nulls dropped."""
-    kinds = sorted(REFERENCE_IMPACTS)
-    rows = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"{k}_url").alias("url")) for k in kinds)))
-    return profiles.select("source_id", rows.alias("r"), "reviewed_at").select("source_id", "r.kind", "r.url", "reviewed_at").where("url is not null")
+    """(source_id, kind, url, reviewed_at) from wide profiles with one column for each kind of
+    reference; nulls and other columns dropped."""
+    kinds = sorted(k for k in REFERENCE_IMPACTS if k in profiles.columns)
+    return profiles.select("source_id", F.explode(_urls(kinds)).alias("r"), "reviewed_at").select("source_id", "r.kind", "r.url", "reviewed_at")
 
 
 def official_urls(profiles: DataFrame) -> DataFrame:
-    """(source_id, urls): the distinct official URLs of each source, sorted."""
-    return profile_references(profiles).groupBy("source_id").agg(F.array_sort(F.collect_set("url")).alias("urls"))
+    """(source_id, urls): the distinct values of every ``*_url`` column of each source, sorted; an
+    empty list for a source without any."""
+    kinds = sorted(c for c in profiles.columns if c.endswith("_url"))
+    return profiles.select("source_id", F.array_sort(F.array_distinct(F.transform(_urls(kinds), lambda x: x["url"]))).alias("urls"))
 
 
 def drift_status(status: Column, final_url: Column, url: Column, content_hash: Column | None = None, previous_hash: Column | None = None) -> Column:
@@ -199,12 +251,13 @@ def reference_impact(kind: Column) -> Column:
 
 
 def drift_summary(references: DataFrame) -> DataFrame:
-    """Counts over references with ``drift`` and ``impacts``."""
+    """Counts over references with ``drift`` (null: not fetched) and ``impacts``. A reference that
+    was fetched counts as checked, errors included."""
     drift = F.col("drift")
     touching = drift.isin("changed", "redirected", "missing") & ~F.array_contains("impacts", "unknown")
     return references.agg(
         F.count("*").alias("references"),
-        F.count_if(drift != "error").alias("checked"),
+        F.count_if(drift.isNotNull()).alias("checked"),
         F.count_if(drift.isin("changed", "redirected")).alias("changed"),
         F.count_if(drift == "missing").alias("missing"),
         F.count_if(touching).alias("contract_affecting"),
@@ -225,23 +278,58 @@ def compare_references(report: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def required_blockers(profiles: DataFrame) -> DataFrame:
-    """(source_id, blocker): what keeps a source from having evidence; six independent tests."""
-    caps = F.col("capabilities")
+    """(source_id, blocker): what keeps a source from having evidence; six independent tests.
+
+    ``profiles``: verification_mode, adapter_status, capabilities, auth_type, sample_param_policy,
+    evidence_total, materialized, taxonomy_status. A null counts as not the value asked for.
+    """
+    is_ = lambda c, v: F.coalesce(F.col(c) == v, F.lit(False))
+    able = has_all(F.array(F.lit("verification"), F.lit("call")), F.col("capabilities"))
     tests = [
-        (F.col("adapter_state") != "registered", "adapter_not_registered"),
-        (~has_all(F.array(F.lit("verify"), F.lit("call")), caps), "adapter_capabilities_missing"),
-        (F.col("taxonomy_status") != "reviewed", "error_taxonomy_unreviewed"),
-        (F.col("verification_mode") != "live", "verification_not_live"),
-        (F.col("sample_policy") != "pinned", "sample_parameters_not_pinned"),
-        (~F.col("materialized"), "candidates_not_materialized"),
+        (is_("verification_mode", "metadata_only"), "metadata_only_verification"),
+        (~is_("adapter_status", "registered") | ~able, "adapter_not_registered"),
+        (~is_("auth_type", "none"), "credential_required"),
+        (is_("sample_param_policy", "manual"), "sample_parameters_not_pinned"),
+        (is_("evidence_total", 0) & ~F.coalesce("materialized", F.lit(False)), "runtime_catalog_not_materialized"),
+        (~is_("taxonomy_status", "verified"), "source_specific_error_taxonomy_pending"),
     ]
-    found = F.explode(F.array_compact(F.array(*(F.when(F.coalesce(t, F.lit(True)), F.lit(b)) for t, b in tests))))
+    found = F.explode(F.array_compact(F.array(*(F.when(t, F.lit(b)) for t, b in tests))))
     return profiles.select("source_id", found.alias("blocker"))
 
 
+#: Warnings that a plan must have because of a blocker it lists. Fixed values.
+BLOCKER_WARNINGS = {
+    "adapter_not_registered": "source_runtime_adapter_not_registered",
+    "sample_parameters_not_pinned": "source_runtime_manual_samples_unpinned",
+    "source_specific_error_taxonomy_pending": "source_runtime_error_taxonomy_pending",
+}
+NO_EVIDENCE_WARNING = "non_data_runtime_evidence_not_collected"
+
+
+def required_warnings(plans: DataFrame) -> DataFrame:
+    """(source_id, warning) that plans (source_id, evidence_total, blockers: array of ids) must list."""
+    listed = lambda b: F.coalesce(F.array_contains("blockers", b), F.lit(False))
+    cases = [F.when(listed(b), F.lit(w)) for b, w in BLOCKER_WARNINGS.items()]
+    cases.append(F.when(F.col("evidence_total") == 0, F.lit(NO_EVIDENCE_WARNING)))
+    return plans.select("source_id", F.explode(F.array_compact(F.array(*cases))).alias("warning"))
+
+
+def missing_ids(plans: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(source_id, kind, id): required blockers and warnings that a plan (source_id, evidence_total,
+    blockers, warnings: arrays of ids) doesn't list. ``profiles`` as for ``required_blockers``; a
+    plan's own blockers decide which warnings it needs."""
+    def lacking(required: DataFrame, kind: str, column: str) -> DataFrame:
+        listed = plans.select("source_id", F.explode(column).alias("id"))
+        own = plans.select("source_id").distinct()
+        rows = required.toDF("source_id", "id").join(own, "source_id", "left_semi").join(listed, ["source_id", "id"], "left_anti")
+        return rows.select("source_id", F.lit(kind).alias("kind"), "id")
+
+    return lacking(required_blockers(profiles), "blocker", "blockers").unionAll(lacking(required_warnings(plans), "warning", "warnings"))
+
+
 def attach_plan_batches(plans: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Plans with the number of their candidates, whether providers agree, and whether they are
-    materialised: candidates, but no evidence yet."""
+    """Plans (source_id, provider) with the number of their candidates, whether providers agree, and
+    whether they are materialised: candidates, but no evidence yet."""
     batches = candidates.groupBy(F.col("source_id").alias("batch_source")).agg(
         F.count("*").alias("candidates"), F.count_if(F.col("has_evidence")).alias("evidence"), F.min("provider").alias("p1"), F.max("provider").alias("p2")
     )
@@ -251,6 +339,36 @@ def attach_plan_batches(plans: DataFrame, candidates: DataFrame) -> DataFrame:
     return out.select("source_id", n.alias("candidates"), e.alias("evidence"), agrees.alias("agrees"), ((n > 0) & (e == 0)).alias("materialized"))
 
 
+def candidate_problems(candidates: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(source_id, candidate_id, problem): where a candidate disagrees with its source's profile.
+
+    ``candidates``: source_id, candidate_id, method, format, endpoint_template, credential_required,
+    key_names, injection_location, evidence_status, promotion_status. ``profiles``: source_id,
+    methods, formats, auth_type, key_parameter_names, key_locations, sample_param_policy.
+    Candidates of unknown sources have the one problem ``no_profile``.
+    """
+    p = profiles.select("source_id", *(F.col(c).alias(f"p_{c}") for c in ("methods", "formats", "auth_type", "key_parameter_names", "key_locations", "sample_param_policy")), F.lit(True).alias("known"))
+    empty = F.array().cast("array<string>")
+    allows = lambda allowed, value: F.coalesce(F.array_contains(allowed, value), F.lit(False))
+    names = F.array_sort(F.coalesce("p_key_parameter_names", empty))
+    location = F.coalesce(F.try_element_at("p_key_locations", F.lit(1)), F.lit("none"))
+    needs = ~F.coalesce(F.col("p_auth_type") == "none", F.lit(False))
+    in_path = has_all(names, template_placeholders(F.col("endpoint_template")))
+    tests = [
+        (~F.coalesce(F.col("p_sample_param_policy").isin("static", "catalogue_sample", "generated"), F.lit(False)), "sample_policy_not_pinned"),
+        (~allows(F.col("p_methods"), F.col("method")), "method"),
+        (~allows(F.col("p_formats"), F.col("format")), "format"),
+        (~F.col("credential_required").eqNullSafe(needs), "credential_required"),
+        (F.array_sort(F.coalesce("key_names", empty)) != names, "key_names"),
+        (~F.col("injection_location").eqNullSafe(location), "injection_location"),
+        ((location == "path") & ~in_path, "path_placeholders"),
+        (~F.col("evidence_status").eqNullSafe("not_collected"), "evidence_status"),
+        (~F.col("promotion_status").eqNullSafe("registry_only"), "promotion_status"),
+    ]
+    problems = F.when(F.col("known").isNull(), F.array(F.lit("no_profile"))).otherwise(F.array_compact(F.array(*(F.when(t, F.lit(n)) for t, n in tests))))
+    return candidates.join(p, "source_id", "left").select("source_id", "candidate_id", F.explode(problems).alias("problem"))
+
+
 def candidate_summary(candidates: DataFrame) -> DataFrame:
     """Candidates, those with pinned sample parameters, and ids that occur more than once."""
     out = candidates.agg(F.count("*").alias("candidates"), F.count_if(F.coalesce(F.size("sample_parameters") > 0, F.lit(False))).alias("pinned"))

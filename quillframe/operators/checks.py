@@ -41,6 +41,13 @@ def business(rule: str, violated: Column) -> tuple[str, Column]:
     return rule, violated
 
 
+def source_scope(rule: str, scope: Column, same: dict[str, str]) -> tuple[str, Column]:
+    """A plan of one source speaks of that source alone: the columns named in ``same`` equal those of
+    the plan. Plans of release scope are exempt."""
+    differs = reduce(lambda a, b: a | b, (~F.col(own).eqNullSafe(F.col(plan)) for own, plan in same.items()))
+    return rule, ~scope.eqNullSafe("release") & differs
+
+
 def check(df: DataFrame, key: Column, constraints: list[tuple[str, Column]]) -> DataFrame:
     """All violations of row constraints, in one pass over ``df``."""
     found = F.explode(F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(False)), F.lit(rule)) for rule, bad in constraints))))
@@ -76,28 +83,43 @@ def reconcile(expected: DataFrame, actual: DataFrame, fields: list[str]) -> Data
     return long(expected, "expected").join(long(actual, "actual"), "field").where(~F.col("expected").eqNullSafe(F.col("actual")))
 
 
-def identity_mismatches(reports: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Reports whose provider isn't the one of their source's profile."""
-    p = profiles.select("source_id", F.col("provider").alias("profile_provider"))
-    return reports.join(p, "source_id").where(~F.col("provider").eqNullSafe(F.col("profile_provider")))
+IDENTITY = ("source_id", "provider")
+
 
+def identity_mismatches(reports: DataFrame, profiles: DataFrame, on: str = "source_profile") -> DataFrame:
+    """The rows of ``reports`` (``on``, source_id, provider) that name no profile, or one of another
+    source or provider, with ``problem``: no_profile, or what differs."""
+    p = profiles.select(F.col(on).alias("profile_key"), *(F.col(c).alias(f"profile_{c}") for c in IDENTITY))
+    found = F.array_join(F.array_compact(F.array(*(F.when(~F.col(c).eqNullSafe(F.col(f"profile_{c}")), F.lit(c)) for c in IDENTITY))), ",")
+    joined = reports.join(p, F.col(on) == F.col("profile_key"), "left")
+    problem = F.when(F.col("profile_key").isNull(), "no_profile").otherwise(found)
+    return joined.withColumn("problem", problem).where("problem <> ''").select(*reports.columns, "problem")
 
-def verify_artifacts(manifest: DataFrame, actual: DataFrame) -> DataFrame:
-    """(path, problem) for each path of a manifest (path, bytes, sha256) or a scan that isn't as it should be."""
+
+def verify_artifacts(manifest: DataFrame, actual: DataFrame, listed: int | None = None) -> DataFrame:
+    """(path, problem) for each path of a manifest (path, bytes, sha256) or a scan that isn't as it should be.
+
+    With ``listed``, the manifest's own count of its artifacts, a row with an empty path and
+    ``artifact_count_mismatch`` says that it has more or fewer.
+    """
     m = manifest.groupBy("path").agg(F.count("*").alias("n"), F.max("bytes").alias("m_bytes"), F.max("sha256").alias("m_sha"))
     a = actual.select(F.col("path").alias("a_path"), F.col("bytes").alias("a_bytes"), F.col("sha256").alias("a_sha"))
     both = m.join(a, F.col("path") == F.col("a_path"), "full_outer")
     problem = first_true(
         (F.col("path") == "", "invalid_path"),
-        (F.col("n") > 1, "duplicate_path"),
+        (F.col("n") > 1, "duplicate_artifact_path"),
         (~F.col("m_sha").rlike("^[a-f0-9]{64}$"), "invalid_checksum"),
         (F.col("m_bytes") < 0, "invalid_size"),
-        (F.col("a_path").isNull(), "missing"),
+        (F.col("a_path").isNull(), "missing_artifact"),
         (F.col("path").isNull(), "unlisted"),
         (F.col("m_bytes") != F.col("a_bytes"), "size_mismatch"),
         (F.col("m_sha") != F.col("a_sha"), "checksum_mismatch"),
     )
-    return both.select(F.coalesce("path", "a_path").alias("path"), problem.alias("problem")).where("problem is not null")
+    out = both.select(F.coalesce("path", "a_path").alias("path"), problem.alias("problem")).where("problem is not null")
+    if listed is None:
+        return out
+    count = manifest.agg(F.count("*").alias("n")).where(F.col("n") != listed)
+    return out.unionAll(count.select(F.lit("").alias("path"), F.lit("artifact_count_mismatch").alias("problem")))
 
 
 def readiness(gates: DataFrame) -> DataFrame:

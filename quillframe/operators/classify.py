@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.functions.columns import first_true, url_authority, url_is_root
+from quillframe.functions.columns import computed_once, first_true, is_root, parts_of, url_cut, url_parts
 
 GATEWAY_HOSTS = ("apis.gateway.example",)
 #: Roles of status-like response fields, by lower-case name. Fixed values.
@@ -36,24 +36,22 @@ def params(ops: DataFrame, keys: tuple[str, ...] = ("id", "operation")) -> DataF
     return sides[0].unionByName(sides[1])
 
 
-def dependency_class(
-    endpoint: Column, gateway_hosts: tuple[str, ...] = GATEWAY_HOSTS, host: Column | None = None, root: Column | None = None
-) -> Column:
+def dependency_class(endpoint: Column, gateway_hosts: tuple[str, ...] = GATEWAY_HOSTS, parts: Column | None = None) -> Column:
     """The class of an endpoint URL; the first that fits of: blank, unparsable, SOAP, WMS, host only, gateway, external.
 
     SOAP: the query asks for a ``wsdl``, or the path ends in ``.asmx``. WMS: the query has
-    ``service=wms`` or the path ends in ``/wms``. ``host`` and ``root`` may be given where they are known.
+    ``service=wms`` or the path ends in ``/wms``. ``parts`` may be given where they are known.
     """
-    low = F.lower(F.trim(endpoint))
-    host = url_authority(F.trim(endpoint)) if host is None else host
-    root = url_is_root(F.trim(endpoint)) if root is None else root
+    trimmed = F.trim(endpoint)
+    parts = url_parts(trimmed) if parts is None else parts
+    low = F.lower(trimmed)
     return first_true(
-        (F.coalesce(F.trim(endpoint), F.lit("")) == "", "no_endpoint"),
-        (host.isNull(), "malformed_endpoint"),
+        (F.coalesce(trimmed, F.lit("")) == "", "no_endpoint"),
+        (parts["authority"].isNull(), "malformed_endpoint"),
         (low.rlike(r"[?&]wsdl|\.asmx([?#]|$)"), "soap"),
         (low.rlike(r"[?&]service=wms|/wms([?#]|$)"), "wms"),
-        (root, "service_root"),
-        (host.isin(*gateway_hosts), "gateway"),
+        (is_root(parts), "service_root"),
+        (parts["authority"].isin(*gateway_hosts), "gateway"),
         otherwise="external_endpoint",
     )
 
@@ -69,9 +67,11 @@ def is_callable(cls: Column) -> Column:
 
 
 def adapter_hosts(adapters: DataFrame) -> DataFrame:
-    """(host, adapter, adapter_state, capabilities): one row per host; of several adapters the last by name."""
-    hosts = adapters.select(F.explode("hosts").alias("host"), F.struct("name", "status", "capabilities").alias("a"))
-    last = hosts.groupBy("host").agg(F.max_by("a", "a.name").alias("a"))
+    """(host, adapter, adapter_state, capabilities): one row per host; of several adapters the last
+    by ``ordinal``, the place in the input that ``read_report`` gives (by name where there is none)."""
+    place = F.col("ordinal" if "ordinal" in adapters.columns else "name")
+    hosts = adapters.select(F.explode("hosts").alias("host"), F.struct("name", "status", "capabilities").alias("a"), F.struct(place, "name").alias("place"))
+    last = hosts.groupBy("host").agg(F.max_by("a", "place").alias("a"))
     return last.select("host", F.col("a.name").alias("adapter"), F.col("a.status").alias("adapter_state"), F.col("a.capabilities").alias("capabilities"))
 
 
@@ -90,13 +90,22 @@ def adapter_status(cls: Column, adapter: Column) -> Column:
 
 
 def classify(deps: DataFrame, adapters: DataFrame, gateway_hosts: tuple[str, ...] = GATEWAY_HOSTS) -> DataFrame:
-    """``deps`` (endpoint, dev_approval, prod_approval, source_host) with endpoint_host,
-    dependency_class, adapter_status, approval_required and callable."""
-    # URLs are parsed once a row: Spark keeps a costly column that is used more than once.
-    url = F.trim("endpoint")
-    out = deps.withColumns({"url_host": url_authority(url), "url_root": url_is_root(url)})
-    out = out.withColumn("dependency_class", dependency_class(F.col("endpoint"), gateway_hosts, F.col("url_host"), F.col("url_root")))
-    out = out.withColumn("endpoint_host", F.when(F.col("dependency_class") != "service_root", F.col("url_host"))).drop("url_host", "url_root")
+    """``deps`` (endpoint, dev_approval, prod_approval, source_host; guide_url if there is one) with
+    endpoint_host, guide_host, route_host, dependency_class, adapter, adapter_status,
+    approval_required and callable.
+
+    A URL is cut and judged once a row, whatever reads or filters the result."""
+    guide = F.col("guide_url") if "guide_url" in deps.columns else F.lit(None).cast("string")
+    out = computed_once(deps, "url_cut", F.struct(url_cut(F.trim("endpoint")).alias("own"), url_cut(F.trim(guide)).alias("guide")))
+    own = parts_of(F.col("url_cut.own"))
+    out = computed_once(out, "cls", dependency_class(F.col("endpoint"), gateway_hosts, own))
+    out = out.withColumns(
+        {
+            "dependency_class": F.col("cls"),
+            "endpoint_host": F.when(F.col("cls") != "service_root", own["authority"]),
+            "guide_host": parts_of(F.col("url_cut.guide"))["authority"],
+        }
+    ).drop("cls", "url_cut")
     out = out.withColumn("route_host", F.coalesce(F.nullif("endpoint_host", F.lit("")), F.nullif("source_host", F.lit(""))))
     out = attach_adapter(out, adapters, "route_host")
     return out.withColumns(
@@ -118,14 +127,19 @@ def missing_params(params_map: Column) -> Column:
     return F.array_sort(F.map_keys(F.map_filter(params_map, lambda k, v: v == "")))
 
 
-def preflight_reason(cls: Column, approval: Column, missing: Column, has_key: Column) -> Column:
-    """Why an operation isn't called at all; null if it may be. Protocol before approval before parameters before key."""
+def preflight_reason(cls: Column, approval: Column, missing: Column, has_key: Column, mutates: Column | None = None) -> Column:
+    """Why an operation isn't called at all; null if it may be.
+
+    Protocol, metadata only, mutation (``mutates``: a call would change data), service root and
+    approval come before parameters, and these before the key.
+    """
     return first_true(
         (cls.isin("soap", "wms"), "unsupported_protocol"),
         (cls.isin("no_endpoint", "malformed_endpoint"), "metadata_only"),
-        (cls == "service_root", "service_root"),
+        (F.lit(False) if mutates is None else mutates, "mutation_endpoint"),
+        (cls == "service_root", "missing_operation_path"),
         (approval, "approval_required"),
-        (F.size(missing) > 0, "missing_params"),
+        (F.size(missing) > 0, "missing_required_params"),
         (~has_key, "missing_auth"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillframe.functions.columns import percent
@@ -34,6 +34,14 @@ def merge_evidence(batches: list[DataFrame], order: str = "verified_at", columns
     return latest(merged, [order, "batch", "ordinal"], columns)
 
 
+def merged_summary(batches: list[DataFrame], merged: DataFrame, limits: list[int]) -> DataFrame:
+    """One row: the merged report's limit (the sum of its batches' limits), the rows read, and counts of
+    ``merged`` anew: in all and by status."""
+    read = reduce(lambda a, b: a.unionAll(b), [b.agg(F.count("*").alias("n")) for b in batches]).agg(F.sum("n").alias("rows_read"))
+    counts = merged.agg(F.count("*").alias("total"), *status_counts())
+    return counts.join(read).withColumn("limit", F.lit(sum(limits)).cast("long"))
+
+
 def attach_evidence(deps: DataFrame, evidence: DataFrame, order: list[str], columns: tuple[str, ...] = EVIDENCE_KEY) -> DataFrame:
     """``deps`` with the evidence of its key as the struct ``evidence`` (null if there is none)."""
     last = with_key(latest(evidence, order, columns), columns, "e_")
@@ -60,7 +68,6 @@ def grouped_counts(df: DataFrame, keys: tuple[str, ...], limit: int = 0) -> Data
     then value; the first ``limit`` of each, 0 for all. One scan and one shuffle for all keys."""
     values = F.explode(F.array(*(F.struct(F.lit(k).alias("grouping"), F.col(k).cast("string").alias("value")) for k in keys)))
     counts = df.select(values.alias("g")).select("g.*").where("value is not null").groupBy("grouping", "value").agg(F.count("*").alias("n"))
-    from pyspark.sql import Window
 
     ranked = counts.withColumn("place", F.row_number().over(Window.partitionBy("grouping").orderBy(F.desc("n"), "value")))
     return ranked.where(F.col("place") <= limit) if limit else ranked
@@ -99,9 +106,35 @@ def planned_by_kind(plan: DataFrame, kind: Column) -> DataFrame:
     return plan.groupBy(kind.alias("kind")).agg(F.sum("planned").alias("planned"))
 
 
-def evidence_rollup(plans: DataFrame) -> DataFrame:
-    """(kind, id, n, source_ids) of every blocker and warning of ``plans`` (source_id, blockers, warnings: arrays of ids)."""
-    sides = [plans.select(F.lit(k).alias("kind"), F.explode(c).alias("id"), "source_id") for k, c in (("blocker", "blockers"), ("warning", "warnings"))]
+ROLLUP_TOTALS = ("evidence_total", "verified", "failed", "skipped", "unknown", "blocking_count", "warning_count")
+
+
+def rollup_sources(plans: DataFrame) -> DataFrame:
+    """A row per source of ``plans`` (source_id, provider, evidence_total, verified, failed, skipped,
+    unknown, next_action_count, blockers and warnings: arrays of struct<id, severity>): its counts and its sorted ids."""
+    ids = lambda c: F.array_sort(F.transform(c, lambda x: x["id"]))
+    return plans.select(
+        "source_id", "provider", "evidence_total", "verified", "failed", "skipped", "unknown",
+        F.size(F.filter("blockers", lambda b: b["severity"] == "blocking")).cast("long").alias("blocking_count"),
+        F.size("warnings").cast("long").alias("warning_count"),
+        ids("blockers").alias("blocker_ids"),
+        ids("warnings").alias("warning_ids"),
+        "next_action_count",
+    )
+
+
+def rollup_summary(sources: DataFrame) -> DataFrame:
+    """The nine totals over ``rollup_sources``, one row."""
+    return sources.agg(
+        F.count("*").alias("sources"),
+        F.count_if(F.col("evidence_total") == 0).alias("sources_without_evidence"),
+        *(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ROLLUP_TOTALS),
+    )
+
+
+def rollup_index(sources: DataFrame) -> DataFrame:
+    """(kind, id, n, source_ids) of every blocker and warning in ``rollup_sources``: the inverted index."""
+    sides = [sources.select(F.lit(k).alias("kind"), F.explode(c).alias("id"), "source_id") for k, c in (("blocker", "blocker_ids"), ("warning", "warning_ids"))]
     return sides[0].unionAll(sides[1]).groupBy("kind", "id").agg(
         F.count("*").alias("n"), F.array_sort(F.collect_list("source_id")).alias("source_ids")
     )

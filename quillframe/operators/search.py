@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillframe.operators.classify import dependency_class, is_callable
+
 #: A credential parameter or assignment with a value.
 LEAK = r"(?i)(?:servicekey|api[_-]?key|authkey|access_token|secret|token|password)\s*[=:]\s*[\"']?[A-Za-z0-9%+/_.-]{8,}"
 
@@ -26,6 +28,23 @@ def search(df: DataFrame, query: str, fields: list[str], limit: int = 0, order_b
     return found.orderBy(*(order_by or fields)).limit(limit) if limit else found
 
 
+CARD_FIELDS = ("id", "title", "provider", "organization", "source_category", "description")
+
+
+def search_datasets(specs: DataFrame, query: str, limit: int = 0, **equal: object) -> DataFrame:
+    """Cards of the specs (with nested ``operations``) in which the query occurs and whose columns equal
+    the values given: ``CARD_FIELDS``, operations_count and callable (some operation is);
+    the first ``limit`` by id (0: all)."""
+    for column, value in equal.items():
+        if value is not None:
+            specs = specs.where(F.col(column) == value)
+    fields = [c for c in CARD_FIELDS if c in specs.columns]
+    some = F.exists("operations", lambda o: is_callable(dependency_class(o["endpoint"])))
+    cards = specs.select(*fields, F.coalesce(F.size("operations"), F.lit(0)).alias("operations_count"), F.coalesce(some, F.lit(False)).alias("callable"))
+    cards = cards.withColumn("operations_count", F.greatest("operations_count", F.lit(0)))
+    return search(cards, query, fields, limit, ["id"])
+
+
 def credential_leaks(df: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` holds what looks like a credential, with the number of places."""
     n = F.size(F.regexp_extract_all(column, F.lit(LEAK), F.lit(0)))

@@ -76,48 +76,61 @@ def endpoint_templates(lens: Lens) -> DataFrame:
 
 # Error rules over events.
 
-_RESULTS = """SELECT event_id AS result_id, 'api' || CAST(user_id % 5 AS STRING) || '.example' AS host, CASE WHEN user_id % 2 = 0 THEN 'gateway' ELSE 'external_endpoint' END AS cls,
+_RESULTS = """SELECT event_id AS result_id, 'api' || CAST(user_id % 5 AS STRING) || '.example' AS host, 'ds' || CAST(user_id % 50 AS STRING) AS dataset_id, 'op' || CAST(event_id % 3 AS STRING) AS operation,
+  CASE WHEN user_id % 2 = 0 THEN 'gateway' ELSE 'external_endpoint' END AS cls,
   CASE WHEN event_id % 6 = 0 THEN 404 WHEN event_id % 6 = 1 THEN 200 ELSE 500 END AS http_status, CASE WHEN event_id % 13 = 0 THEN 'timeout' WHEN event_id % 7 = 0 THEN 'parse_error' END AS reason,
-  CASE WHEN event_id % 4 = 0 THEN 'E22' WHEN event_id % 4 = 1 THEN '00' END AS field, CASE WHEN event_id % 5 = 0 THEN 'Daily LIMIT exceeded' ELSE event_type END AS message FROM {events}"""
-#: (rule_id, hosts, classes, kind, http_status, value, case_sensitive, classification, status, severity, automations)
+  CASE WHEN event_id % 4 = 0 THEN 'E22' WHEN event_id % 4 = 1 THEN '00' END AS code, CASE WHEN event_id % 9 = 0 THEN 'e22' END AS note,
+  CASE WHEN event_id % 5 = 0 THEN 'Daily LIMIT exceeded' ELSE event_type END AS message FROM {events}"""
+_RULE = "rule_id kind classification status severity automations http_status field value contains case_sensitive hosts dataset_ids operation_ids dependency_classes".split()
 _RULES = [
-    ("not_found", [], [], "http_status", 404, None, None, "dead_route", "active", "warning", ["manual_review"]),
-    ("gone_gateway", [], ["gateway"], "http_status", 404, None, None, "dead_route", "blocked", "warning", ["automatic"]),
-    ("quota", [], [], "message_contains", None, "limit", False, "quota", "active", "blocking", ["manual_review"]),
-    ("quota_exact", [], [], "message_contains", None, "limit", True, "quota", "active", "info", []),
-    ("bad_key", ["api1.example", "api2.example"], [], "field_equals", None, "e22", False, "auth", "active", "info", ["blocked"]),
-    ("field_part", None, None, "field_contains", None, "E2", True, "auth", "active", "info", ["automatic", "manual_review"]),
-    ("slow", [], [], "timeout", None, None, None, "transient", "active", "info", ["automatic"]),
-    ("broken", ["api3.example"], ["external_endpoint"], "parse_error", None, None, None, "unknown", "active", "info", ["automatic"]),
+    {"rule_id": "not_found", "kind": "http_status", "http_status": 404, "classification": "not_found", "automations": ["manual_review"]},
+    {"rule_id": "gone_gateway", "kind": "http_status", "http_status": 404, "dependency_classes": ["gateway"], "classification": "not_found", "status": "blocked", "automations": ["automated"]},
+    {"rule_id": "one_dataset", "kind": "http_status", "http_status": 500, "dataset_ids": ["ds7", "ds8"], "classification": "upstream_outage", "automations": ["automated"]},
+    {"rule_id": "one_operation", "kind": "http_status", "http_status": 500, "dataset_ids": ["ds7"], "operation_ids": ["op1"], "classification": "upstream_outage", "automations": []},
+    {"rule_id": "quota", "kind": "message_contains", "contains": "limit", "classification": "rate_limit", "severity": "blocking", "automations": ["manual_review"]},
+    {"rule_id": "quota_exact", "kind": "message_contains", "contains": "limit", "case_sensitive": True, "classification": "rate_limit", "automations": []},
+    {"rule_id": "bad_key", "kind": "field_equals", "field": "resultCode", "value": "e22", "hosts": ["api1.example", "api2.example"], "classification": "credential", "automations": ["blocked"]},
+    {"rule_id": "bad_key_exact", "kind": "field_equals", "field": "resultCode", "value": "e22", "case_sensitive": True, "classification": "credential", "automations": []},
+    {"rule_id": "any_field", "kind": "field_equals", "value": "E22", "case_sensitive": True, "classification": "credential", "automations": ["manual_review"]},
+    {"rule_id": "field_part", "kind": "field_contains", "field": "note", "contains": "E2", "classification": "credential", "automations": ["automated", "manual_review"]},
+    {"rule_id": "slow", "kind": "timeout", "classification": "upstream_outage", "automations": ["automated"]},
+    {"rule_id": "broken", "kind": "parse_error", "hosts": ["api3.example"], "dependency_classes": ["external_endpoint"], "classification": "unknown", "automations": ["automated"]},
+    {"rule_id": "other", "kind": "unknown", "hosts": ["api4.example"], "operation_ids": ["op2"], "classification": "unknown", "automations": ["manual_review"]},
 ]
 _MATCH = f"""WITH r AS ({_RESULTS.format(events="events")}),
-m AS (SELECT result_id, 'not_found' AS rule_id, 'dead_route' AS classification FROM r WHERE http_status = 404
-UNION ALL SELECT result_id, 'gone_gateway', 'dead_route' FROM r WHERE http_status = 404 AND cls = 'gateway'
-UNION ALL SELECT result_id, 'quota', 'quota' FROM r WHERE contains(lower(message), 'limit')
-UNION ALL SELECT result_id, 'quota_exact', 'quota' FROM r WHERE contains(message, 'limit')
-UNION ALL SELECT result_id, 'bad_key', 'auth' FROM r WHERE lower(field) = 'e22' AND host IN ('api1.example', 'api2.example')
-UNION ALL SELECT result_id, 'field_part', 'auth' FROM r WHERE contains(field, 'E2')
-UNION ALL SELECT result_id, 'slow', 'transient' FROM r WHERE reason = 'timeout'
-UNION ALL SELECT result_id, 'broken', 'unknown' FROM r WHERE reason = 'parse_error' AND host = 'api3.example' AND cls = 'external_endpoint')
+m AS (SELECT result_id, 'not_found' AS rule_id, 'not_found' AS classification FROM r WHERE http_status = 404
+UNION ALL SELECT result_id, 'gone_gateway', 'not_found' FROM r WHERE http_status = 404 AND cls = 'gateway'
+UNION ALL SELECT result_id, 'one_dataset', 'upstream_outage' FROM r WHERE http_status = 500 AND dataset_id IN ('ds7', 'ds8')
+UNION ALL SELECT result_id, 'one_operation', 'upstream_outage' FROM r WHERE http_status = 500 AND dataset_id = 'ds7' AND operation = 'op1'
+UNION ALL SELECT result_id, 'quota', 'rate_limit' FROM r WHERE contains(lower(message), 'limit')
+UNION ALL SELECT result_id, 'quota_exact', 'rate_limit' FROM r WHERE contains(message, 'limit')
+UNION ALL SELECT result_id, 'bad_key', 'credential' FROM r WHERE lower(code) = 'e22' AND host IN ('api1.example', 'api2.example')
+UNION ALL SELECT result_id, 'bad_key_exact', 'credential' FROM r WHERE code = 'e22'
+UNION ALL SELECT result_id, 'any_field', 'credential' FROM r WHERE code = 'E22' OR note = 'E22'
+UNION ALL SELECT result_id, 'field_part', 'credential' FROM r WHERE contains(lower(note), 'e2')
+UNION ALL SELECT result_id, 'slow', 'upstream_outage' FROM r WHERE reason = 'timeout'
+UNION ALL SELECT result_id, 'broken', 'unknown' FROM r WHERE reason = 'parse_error' AND host = 'api3.example' AND cls = 'external_endpoint'
+UNION ALL SELECT result_id, 'other', 'unknown' FROM r WHERE host = 'api4.example' AND operation = 'op2')
 """
 
 
 def _results(lens: Lens) -> DataFrame:
-    return lens.spark.sql(_RESULTS, events=lens.table("events"))
+    fields = F.map_filter(F.create_map(F.lit("resultCode"), F.col("code"), F.lit("note"), F.col("note")), lambda k, v: v.isNotNull())
+    return lens.spark.sql(_RESULTS, events=lens.table("events")).withColumn("fields", fields)
 
 
 def _rules(lens: Lens) -> DataFrame:
     schema = (
-        "rule_id string, hosts array<string>, classes array<string>, kind string, http_status int, value string, case_sensitive boolean, "
-        "classification string, status string, severity string, automations array<string>"
+        "rule_id string, kind string, classification string, status string, severity string, automations array<string>, http_status int, field string, value string, "
+        "contains string, case_sensitive boolean, hosts array<string>, dataset_ids array<string>, operation_ids array<string>, dependency_classes array<string>"
     )
-    rows = lens.spark.createDataFrame(_RULES, schema)
-    return rows.withColumn("actions", F.transform("automations", lambda a: F.struct(a.alias("automation"))))
+    filled = [{"status": "verified", "severity": "medium", "hosts": []} | r for r in _RULES]
+    rows = lens.spark.createDataFrame([tuple(r.get(c) for c in _RULE) for r in filled], schema)
+    return rows.withColumn("actions", F.transform("automations", lambda a: F.struct(a.alias("automation")))).drop("automations")
 
 
 def _matches(lens: Lens) -> DataFrame:
-    rules = _rules(lens).select("rule_id", "hosts", "classes", "kind", "http_status", "value", "case_sensitive", "classification")
-    return changes.match_error_rules(_results(lens), rules)
+    return changes.match_error_rules(_results(lens), _rules(lens).drop("actions", "status", "severity"))
 
 
 @query(_MATCH + "SELECT * FROM m", views=False)
@@ -126,28 +139,52 @@ def error_rule_matches(lens: Lens) -> DataFrame:
     return _matches(lens)
 
 
-@query(_MATCH + "SELECT http_status, reason, field, count(*) AS n FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.result_id = r.result_id) GROUP BY 1, 2, 3", views=False)
+@query(_MATCH + "SELECT http_status, reason, code, count(*) AS n FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.result_id = r.result_id) GROUP BY 1, 2, 3", views=False)
 def unmatched_signatures(lens: Lens) -> DataFrame:
     """Results without a rule, by signature."""
-    return changes.unmatched(_results(lens), _matches(lens)).groupBy("http_status", "reason", "field").agg(F.count("*").alias("n"))
+    return changes.unmatched(_results(lens), _matches(lens)).groupBy("http_status", "reason", "code").agg(F.count("*").alias("n"))
 
 
-@query(_MATCH + """SELECT f.rule_id, f.blocking, f.manual, f.unknown, count(m.result_id) AS results FROM (VALUES ('not_found', false, true, false), ('gone_gateway', true, false, false), ('quota', true, false, false),
-  ('quota_exact', false, false, false), ('bad_key', true, false, false), ('field_part', false, true, false), ('slow', false, false, false), ('broken', false, false, true)) f(rule_id, blocking, manual, unknown)
-LEFT JOIN m ON m.rule_id = f.rule_id GROUP BY 1, 2, 3, 4""", views=False)
+_FLAGS = """f AS (SELECT * FROM (VALUES ('not_found', false, true, false), ('gone_gateway', true, false, false), ('one_dataset', false, false, false), ('one_operation', false, false, false), ('quota', true, false, false),
+  ('quota_exact', false, false, false), ('bad_key', true, false, false), ('bad_key_exact', false, false, false), ('any_field', false, true, false), ('field_part', false, true, false), ('slow', false, false, false),
+  ('broken', false, false, true), ('other', false, true, true)) f(rule_id, blocking, manual, unknown))"""
+
+
+@query(f"{_MATCH}, {_FLAGS} SELECT f.rule_id, f.blocking, f.manual, f.unknown, count(m.result_id) AS results FROM f LEFT JOIN m ON m.rule_id = f.rule_id GROUP BY 1, 2, 3, 4", views=False)
 def error_rule_use(lens: Lens) -> DataFrame:
-    """Each rule's flags and how many results it fits."""
+    """Each rule's flags and how many results it fits."""
     used = _matches(lens).groupBy("rule_id").agg(F.count("*").alias("results"))
     return changes.rule_flags(_rules(lens)).join(used, "rule_id", "left").withColumn("results", F.coalesce("results", F.lit(0)))
 
 
+_EVENT_RULES = """SELECT 'r' || CAST(event_id - event_id % 3 * CAST(event_id % 50 = 1 AS INT) AS STRING) AS rule_id, CASE WHEN event_id % 17 = 0 THEN 'blocked' ELSE 'draft' END AS status,
+  CASE WHEN event_id % 5 = 0 THEN 'blocking' ELSE 'medium' END AS severity, CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE 'parser' END AS classification,
+  CASE event_id % 7 WHEN 0 THEN 'manual_review' WHEN 1 THEN 'blocked' ELSE 'automated' END AS automation, event_id % 11 = 0 AS reviewed FROM {events}"""
+
+
+@query(f"""WITH e AS ({_EVENT_RULES.format(events="events")}), x AS (SELECT *, status = 'blocked' OR severity = 'blocking' OR automation = 'blocked' AS blocking FROM e)
+SELECT count(*) AS rules, count(*) FILTER (blocking) AS blocking, count(*) FILTER (NOT blocking AND (automation = 'manual_review' OR reviewed)) AS manual, count(*) FILTER (classification = 'unknown') AS unknown,
+  (SELECT count(*) FROM (SELECT rule_id FROM e GROUP BY 1 HAVING count(*) > 1)) AS duplicate_ids FROM x""", views=False)
+def error_rule_summary(lens: Lens) -> DataFrame:
+    """Events as rules."""
+    rows = lens.spark.sql(_EVENT_RULES, events=lens.table("events"))
+    action = lambda a: F.struct(a.alias("automation"))
+    more = F.when(F.col("reviewed"), F.array(action(F.col("automation")), action(F.lit("manual_review"))))
+    return changes.rule_summary(rows.withColumn("actions", F.coalesce(more, F.array(action(F.col("automation"))))))
+
+
 # Impact: customers as changes.
 
 _CHANGES = """SELECT 'c' || CAST(c_custkey AS STRING) AS change_id, 'source' || CAST(c_nationkey % 4 AS STRING) AS source_id, CASE WHEN c_custkey % 40 = 0 THEN 'other' ELSE 'provider' || CAST(c_nationkey % 4 AS STRING) END AS provider,
   c_mktsegment AS category, c_custkey % 3 = 0 AS promoted, c_custkey % 4 = 0 AS served, c_custkey AS k FROM {customer}"""
 _ACTIONS = """, acts AS (SELECT change_id, category, promoted, served, k, CASE k % 4 WHEN 0 THEN 'sdk' WHEN 1 THEN 'docs' WHEN 2 THEN 'mcp' ELSE 'dataset-api' END AS target,
   CASE k % 3 WHEN 0 THEN 'regenerate' WHEN 1 THEN 'review' ELSE 'db_migration_review' END AS action, CASE WHEN k % 5 = 0 THEN 'manual_review' WHEN k % 11 = 0 THEN 'blocked' ELSE 'automatic' END AS automation FROM c
-  UNION ALL SELECT change_id, category, promoted, served, k, 'registry', 'record', 'automatic' FROM c WHERE k % 2 = 0)
+  UNION ALL SELECT change_id, category, promoted, served, k, 'sdk', 'regenerate', 'blocked' FROM c WHERE k % 6 = 0 UNION ALL SELECT change_id, category, promoted, served, k, 'registry', 'record', 'automatic' FROM c WHERE k % 2 = 0)
+"""
+#: One count for every action, as often as a change has it.
+_IMPACT = """, i AS (SELECT 'total' AS metric, '' AS value, count(*) AS n FROM c UNION ALL SELECT 'category', category, count(*) FROM c GROUP BY 2 UNION ALL SELECT 'target', target, count(*) FROM acts GROUP BY 2
+UNION ALL SELECT 'manual', '', count(*) FROM acts WHERE automation IN ('manual_review', 'blocked') UNION ALL SELECT 'database', '', count(*) FROM acts WHERE action = 'db_migration_review'
+UNION ALL SELECT 'served', '', count(*) FROM acts WHERE action = 'regenerate' AND target IN ('dataset-api', 'sdk', 'mcp'))
 """
 _CHANGE_VIEWS = f"WITH c AS ({_CHANGES.format(customer='customer')}){_ACTIONS}"
 
@@ -161,47 +198,60 @@ def _changes(lens: Lens) -> DataFrame:
         F.when(k % 5 == 0, "manual_review").when(k % 11 == 0, "blocked").otherwise("automatic").alias("automation"),
     )
     more = F.struct(F.lit("registry").alias("target"), F.lit("record").alias("action"), F.lit("automatic").alias("automation"))
-    return rows.withColumn("actions", F.when(k % 2 == 0, F.array(action, more)).otherwise(F.array(action)))
+    again = F.struct(F.lit("sdk").alias("target"), F.lit("regenerate").alias("action"), F.lit("blocked").alias("automation"))
+    return rows.withColumn("actions", F.array_compact(F.array(action, F.when(k % 6 == 0, again), F.when(k % 2 == 0, more))))
 
 
-@query(_CHANGE_VIEWS + """SELECT 'total' AS metric, '' AS value, count(*) AS n FROM c UNION ALL SELECT 'category', category, count(*) FROM c GROUP BY 2 UNION ALL SELECT 'target', target, count(*) FROM acts GROUP BY 2
-UNION ALL SELECT 'manual', '', count(DISTINCT change_id) FROM acts WHERE automation IN ('manual_review', 'blocked') UNION ALL SELECT 'database', '', count(DISTINCT change_id) FROM acts WHERE action = 'db_migration_review'
-UNION ALL SELECT 'served', '', count(DISTINCT change_id) FROM acts WHERE action = 'regenerate' AND target IN ('dataset-api', 'sdk', 'mcp')""", views=False)
+@query(_CHANGE_VIEWS + _IMPACT + "SELECT * FROM i", views=False)
 def impact_summary(lens: Lens) -> DataFrame:
     """A17."""
     return changes.impact_summary(_changes(lens))
 
 
-@query(_CHANGE_VIEWS + "SELECT count(*) AS changes, CAST(max(k) AS VARCHAR) AS generated_at, 'mixed' AS provider, 'mixed' AS source_id FROM c", views=False)
+@query(_CHANGE_VIEWS + _IMPACT + """, p AS (SELECT DISTINCT source_id, k // 200 AS part FROM c)
+SELECT * FROM i UNION ALL SELECT 'plans', '', count(*) FROM p UNION ALL SELECT 'generated_at', CAST(max(k) AS VARCHAR), NULL FROM c UNION ALL SELECT 'library_version', '1.0', NULL
+UNION ALL SELECT 'registry_version_from', CASE WHEN count(DISTINCT part) > 1 THEN 'mixed' ELSE CAST(min(part) AS VARCHAR) END, NULL FROM p UNION ALL SELECT 'registry_version_to', 'mixed', NULL""", views=False)
 def impact_rollup(lens: Lens) -> DataFrame:
-    """A18, A19, S3."""
-    rows = _changes(lens).withColumn("generated_at", F.col("k"))
-    return changes.impact_rollup(rows).withColumn("generated_at", F.col("generated_at").cast("string"))
+    """Plans of at most 200 changes each, over all of which A17 counts."""
+    part = F.floor(F.col("k") / 200)
+    plans = _changes(lens).groupBy("source_id", part.alias("part")).agg(
+        F.max("k").alias("generated_at"), F.array_sort(F.collect_list(F.struct("change_id", "category", "actions"))).alias("changes")
+    )
+    plans = plans.select(
+        F.concat_ws("/", F.lit("reports"), "source_id", F.col("part").cast("string")).alias("path"), "generated_at", F.lit("1.0").alias("library_version"),
+        F.col("part").cast("string").alias("registry_version_from"), F.lit(None).cast("string").alias("registry_version_to"), "changes",
+    )
+    return changes.impact_rollup(plans)
 
 
-@query(_CHANGE_VIEWS + "SELECT source_id, CASE count(DISTINCT provider) WHEN 1 THEN min(provider) ELSE 'mixed' END AS provider, count(*) AS n FROM c GROUP BY 1", views=False)
+@query(_CHANGE_VIEWS + "SELECT source_id, CASE count(DISTINCT provider) WHEN 1 THEN min(provider) ELSE 'several' END AS provider, count(*) AS n FROM c GROUP BY 1", views=False)
 def common_providers(lens: Lens) -> DataFrame:
     """A19 per source."""
-    kinds = F.count_distinct("provider")
-    return _changes(lens).groupBy("source_id").agg(F.when(kinds == 1, F.min("provider")).otherwise("mixed").alias("provider"), F.count("*").alias("n"))
+    return _changes(lens).groupBy("source_id").agg(changes.common_value("provider", "several").alias("provider"), F.count("*").alias("n"))
 
 
 @query(_CHANGE_VIEWS + """SELECT change_id AS row_key, 'database review of an unpromoted dataset' AS rule FROM acts WHERE action = 'db_migration_review' AND NOT promoted
 UNION ALL SELECT DISTINCT change_id, 'regeneration of what is not served' FROM acts WHERE action = 'regenerate' AND target IN ('dataset-api', 'sdk', 'mcp') AND NOT served
-UNION ALL SELECT change_id, 'provider of another source' FROM c WHERE provider <> 'provider' || substr(source_id, 7)""", views=False)
+UNION ALL SELECT change_id, 'identity of another source' FROM c WHERE k % 8 <> 0 AND (k % 40 = 0 OR k % 27 = 0)""", views=False)
 def impact_rule_violations(lens: Lens) -> DataFrame:
     """C11, C12."""
+    rows = _changes(lens).withColumns(
+        {
+            "scope": F.when(F.col("k") % 8 == 0, "release").otherwise("source"),
+            "identity_source": F.when(F.col("k") % 27 == 0, "elsewhere").otherwise(F.col("source_id")),
+            "plan_provider": F.concat(F.lit("provider"), F.substring("source_id", 7, 9)),
+        }
+    )
     acts = F.col("actions")
     database = F.exists(acts, lambda a: a["action"] == "db_migration_review") & ~F.col("promoted")
     regenerated = F.exists(acts, lambda a: (a["action"] == "regenerate") & a["target"].isin(*changes.SERVED_TARGETS)) & ~F.col("served")
-    scope = F.col("provider") != F.concat(F.lit("provider"), F.substring("source_id", 7, 9))
     return checks.check(
-        _changes(lens),
+        rows,
         F.col("change_id"),
         [
             checks.business("database review of an unpromoted dataset", database),
             checks.business("regeneration of what is not served", regenerated),
-            checks.business("provider of another source", scope),
+            checks.source_scope("identity of another source", F.col("scope"), {"provider": "plan_provider", "identity_source": "source_id"}),
         ],
     )
 
@@ -215,51 +265,56 @@ def required_change_actions(lens: Lens) -> DataFrame:
 
 # Drift and sources: suppliers as source profiles.
 
-_PROFILES = """SELECT 's' || CAST(s_suppkey AS STRING) AS source_id, 'provider' || CAST(s_nationkey AS STRING) AS provider, s_suppkey AS k,
-  'https://s' || CAST(s_suppkey AS STRING) || '.example/docs' AS api_docs_url, 'https://s' || CAST(s_suppkey AS STRING) || '.example/' AS homepage_url,
-  CASE WHEN s_suppkey % 2 = 0 THEN 'https://s' || CAST(s_suppkey AS STRING) || '.example/key' END AS key_request_url, CASE WHEN s_suppkey % 3 = 0 THEN 'https://s' || CAST(s_suppkey AS STRING) || '.example/docs' END AS metadata_standard_url,
-  CAST(NULL AS STRING) AS notice_url, CASE WHEN s_suppkey % 5 = 0 THEN 'https://s' || CAST(s_suppkey AS STRING) || '.example/terms' END AS terms_url, '2020-01-01' AS reviewed_at,
-  CASE WHEN s_suppkey % 4 = 0 THEN 'planned' ELSE 'registered' END AS adapter_state, s_suppkey % 3 <> 0 AS can_call, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE 'reviewed' END AS taxonomy_status,
-  CASE WHEN s_suppkey % 7 = 0 THEN 'dry' ELSE 'live' END AS verification_mode, 'pinned' AS sample_policy, s_suppkey % 8 <> 0 AS materialized FROM {supplier}"""
-_KINDS = sorted(changes.REFERENCE_IMPACTS)
-_REFERENCES = " UNION ALL ".join(f"SELECT source_id, '{k}' AS kind, {k}_url AS url, k FROM p WHERE {k}_url IS NOT NULL" for k in _KINDS)
+_S = "CAST(s_suppkey AS STRING)"
+_PROFILES = f"""SELECT 's' || {_S} AS source_id, 'provider' || CAST(s_nationkey AS STRING) AS provider, s_suppkey AS k, 'sources/s' || {_S} AS source_profile,
+  'https://s' || {_S} || '.example/docs' AS api_docs_url, 'https://s' || {_S} || '.example/' AS homepage_url, 'https://s' || {_S} || '.example/blog' AS blog_url,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'https://s' || {_S} || '.example/key' END AS key_request_url, CASE WHEN s_suppkey % 3 = 0 THEN 'https://s' || {_S} || '.example/docs' END AS metadata_standard_url,
+  CAST(NULL AS STRING) AS notice_url, CASE WHEN s_suppkey % 5 = 0 THEN 'https://s' || {_S} || '.example/terms' END AS terms_url, '2020-01-01' AS reviewed_at,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'planned' WHEN s_suppkey % 29 = 0 THEN NULL ELSE 'registered' END AS adapter_status, s_suppkey % 3 <> 0 AS can_call,
+  CASE WHEN s_suppkey % 6 = 0 THEN NULL WHEN s_suppkey % 5 = 0 THEN 'draft' ELSE 'verified' END AS taxonomy_status,
+  CASE WHEN s_suppkey % 7 = 0 THEN 'metadata_only' ELSE 'live' END AS verification_mode, CASE WHEN s_suppkey % 9 = 0 THEN 'none' ELSE 'key' END AS auth_type,
+  CASE WHEN s_suppkey % 8 = 0 THEN 'manual' WHEN s_suppkey % 8 = 1 THEN 'generated' ELSE 'static' END AS sample_param_policy, CAST(s_suppkey % 4 AS BIGINT) AS evidence_total, s_suppkey % 8 <> 4 AS materialized
+FROM {{supplier}}"""
+_KINDS = ("api_docs_url", "homepage_url", "key_request_url", "metadata_standard_url", "notice_url", "terms_url")
+_REFERENCES = " UNION ALL ".join(f"SELECT source_id, '{k}' AS kind, {k} AS url, k FROM p WHERE {k} IS NOT NULL" for k in _KINDS)
 _DRIFT = f"""WITH p AS ({_PROFILES.format(supplier="supplier")}), r AS ({_REFERENCES}),
 f AS (SELECT *, CASE WHEN k % 9 = 0 THEN NULL WHEN k % 9 = 1 THEN 404 WHEN k % 9 = 2 THEN 500 WHEN k % 9 = 3 THEN 410 ELSE 200 END AS status, CASE WHEN k % 9 = 4 THEN url || '/new' WHEN k % 9 = 5 THEN url ELSE '' END AS final_url FROM r),
-d AS (SELECT *, CASE WHEN status IS NULL THEN 'error' WHEN status IN (404, 410) THEN 'missing' WHEN status >= 400 THEN 'error' WHEN final_url <> '' AND final_url <> url THEN 'redirected' WHEN k % 10 = 6 THEN 'changed' ELSE 'unchanged' END AS drift FROM f)
+d AS (SELECT *, CASE WHEN k % 14 = 13 THEN NULL WHEN status IS NULL THEN 'error' WHEN status IN (404, 410) THEN 'missing' WHEN status >= 400 THEN 'error' WHEN final_url <> '' AND final_url <> url THEN 'redirected' WHEN k % 10 = 6 THEN 'changed' ELSE 'unchanged' END AS drift FROM f)
 """
-_IMPACT_CASE = " ".join(f"WHEN '{k}' THEN '{','.join(v)}'" for k, v in changes.REFERENCE_IMPACTS.items())
 
 
 def _profiles(lens: Lens) -> DataFrame:
-    caps = F.when(F.col("can_call"), F.array(F.lit("verify"), F.lit("call"))).otherwise(F.array(F.lit("verify")))
+    caps = F.when(F.col("can_call"), F.array(F.lit("call"), F.lit("verification"))).otherwise(F.array(F.lit("verification")))
     return lens.spark.sql(_PROFILES, supplier=lens.table("supplier")).withColumn("capabilities", caps)
 
 
 def _drift(lens: Lens) -> DataFrame:
+    """References as fetched; those of every 14th source weren't."""
     refs = changes.profile_references(_profiles(lens)).withColumn("k", F.substring("source_id", 2, 20).cast("long"))
     k = F.col("k")
     status = F.when(k % 9 == 0, None).when(k % 9 == 1, 404).when(k % 9 == 2, 500).when(k % 9 == 3, 410).otherwise(200)
     final = F.when(k % 9 == 4, F.concat("url", F.lit("/new"))).when(k % 9 == 5, F.col("url")).otherwise("")
     drift = changes.drift_status(status, final, F.col("url"), F.when(k % 10 == 6, "b").otherwise("a"), F.lit("a"))
-    return refs.withColumn("drift", drift).withColumn("impacts", changes.reference_impact(F.col("kind")))
+    return refs.withColumn("drift", F.when(k % 14 != 13, drift)).withColumn("impacts", changes.reference_impact(F.col("kind")))
 
 
-@query(_DRIFT + f"SELECT source_id, kind, url, drift, CASE kind {_IMPACT_CASE} ELSE 'unknown' END AS impacts FROM d", views=False)
+@query(_DRIFT + """SELECT source_id, kind, url, drift, CASE kind WHEN 'homepage_url' THEN 'source_identity' WHEN 'api_docs_url' THEN 'catalogue,auth,runtime' WHEN 'key_request_url' THEN 'auth'
+  WHEN 'notice_url' THEN 'notice,runtime' WHEN 'terms_url' THEN 'terms' WHEN 'metadata_standard_url' THEN 'metadata_standard' END AS impacts FROM d""", views=False)
 def reference_drift(lens: Lens) -> DataFrame:
     """P16, P17, P18."""
     return _drift(lens).select("source_id", "kind", "url", "drift", F.array_join("impacts", ",").alias("impacts"))
 
 
-@query(_DRIFT + """SELECT count(*) AS "references", count(*) FILTER (drift <> 'error') AS checked, count(*) FILTER (drift IN ('changed', 'redirected')) AS changed, count(*) FILTER (drift = 'missing') AS missing,
+@query(_DRIFT + """SELECT count(*) AS "references", count(drift) AS checked, count(*) FILTER (drift IN ('changed', 'redirected')) AS changed, count(*) FILTER (drift = 'missing') AS missing,
   count(*) FILTER (drift IN ('changed', 'redirected', 'missing')) AS contract_affecting, count(*) FILTER (drift IN ('missing', 'error')) AS failures FROM d""", views=False)
 def drift_summary(lens: Lens) -> DataFrame:
     """A24."""
     return changes.drift_summary(_drift(lens))
 
 
-@query(_DRIFT + "SELECT source_id, array_to_string(list_sort(list_distinct(list(url))), ' ') AS urls FROM r GROUP BY 1", views=False)
+@query(_DRIFT + "SELECT source_id, array_to_string(list_sort(list_distinct(list(url))), ' ') AS urls FROM (SELECT source_id, url FROM r UNION ALL SELECT source_id, blog_url FROM p) GROUP BY 1", views=False)
 def official_urls(lens: Lens) -> DataFrame:
-    """P19."""
+    """Of known kinds and others."""
     return changes.official_urls(_profiles(lens)).withColumn("urls", F.array_join("urls", " "))
 
 
@@ -275,9 +330,16 @@ def reference_differences(lens: Lens) -> DataFrame:
     return changes.compare_references(report, profiles)
 
 
-_BLOCKERS = """, b AS (SELECT source_id, 'adapter_not_registered' AS blocker FROM p WHERE adapter_state <> 'registered' UNION ALL SELECT source_id, 'adapter_capabilities_missing' FROM p WHERE NOT can_call
-UNION ALL SELECT source_id, 'error_taxonomy_unreviewed' FROM p WHERE coalesce(taxonomy_status, '') <> 'reviewed' UNION ALL SELECT source_id, 'verification_not_live' FROM p WHERE verification_mode <> 'live'
-UNION ALL SELECT source_id, 'candidates_not_materialized' FROM p WHERE NOT materialized)
+_BLOCKERS = """, b AS (SELECT source_id, 'metadata_only_verification' AS blocker FROM p WHERE verification_mode = 'metadata_only'
+UNION ALL SELECT source_id, 'adapter_not_registered' FROM p WHERE adapter_status IS DISTINCT FROM 'registered' OR NOT can_call
+UNION ALL SELECT source_id, 'credential_required' FROM p WHERE auth_type <> 'none'
+UNION ALL SELECT source_id, 'sample_parameters_not_pinned' FROM p WHERE sample_param_policy = 'manual'
+UNION ALL SELECT source_id, 'runtime_catalog_not_materialized' FROM p WHERE evidence_total = 0 AND NOT materialized
+UNION ALL SELECT source_id, 'source_specific_error_taxonomy_pending' FROM p WHERE taxonomy_status IS DISTINCT FROM 'verified'),
+w AS (SELECT source_id, 'source_runtime_adapter_not_registered' AS warning FROM b WHERE blocker = 'adapter_not_registered'
+UNION ALL SELECT source_id, 'source_runtime_manual_samples_unpinned' FROM b WHERE blocker = 'sample_parameters_not_pinned'
+UNION ALL SELECT source_id, 'source_runtime_error_taxonomy_pending' FROM b WHERE blocker = 'source_specific_error_taxonomy_pending'
+UNION ALL SELECT source_id, 'non_data_runtime_evidence_not_collected' FROM p WHERE evidence_total = 0)
 """
 
 
@@ -287,18 +349,68 @@ def source_blockers(lens: Lens) -> DataFrame:
     return changes.required_blockers(_profiles(lens))
 
 
-@query(_DRIFT + _BLOCKERS + """, w AS (SELECT 'blocker' AS kind, blocker AS id, source_id FROM b UNION ALL SELECT 'warning', 'terms_missing', source_id FROM p WHERE terms_url IS NULL)
-SELECT kind, id, count(*) AS n, array_to_string(list_sort(list(source_id)), ',') AS source_ids FROM w GROUP BY 1, 2""", views=False)
-def evidence_rollup(lens: Lens) -> DataFrame:
-    """A20."""
+def _plan_ids(lens: Lens) -> DataFrame:
+    """Plans with the ids of the blockers and warnings that they need: six and four at most."""
     profiles = _profiles(lens)
-    blockers = changes.required_blockers(profiles).groupBy("source_id").agg(F.collect_list("blocker").alias("blockers"))
-    warnings = F.when(F.col("terms_url").isNull(), F.array(F.lit("terms_missing"))).otherwise(F.array().cast("array<string>"))
-    plans = profiles.select("source_id", warnings.alias("warnings")).join(blockers, "source_id", "left")
-    return evidence.evidence_rollup(plans).withColumn("source_ids", F.array_join("source_ids", ","))
+    none = F.array().cast("array<string>")
+    blockers = changes.required_blockers(profiles).groupBy("source_id").agg(F.array_sort(F.collect_set("blocker")).alias("blockers"))
+    plans = profiles.join(blockers, "source_id", "left").withColumn("blockers", F.coalesce("blockers", none))
+    warnings = changes.required_warnings(plans).groupBy("source_id").agg(F.array_sort(F.collect_set("warning")).alias("warnings"))
+    return plans.join(warnings, "source_id", "left").withColumn("warnings", F.coalesce("warnings", none))
+
+
+@query(_DRIFT + _BLOCKERS + """SELECT source_id, 'blocker' AS kind, blocker AS id FROM b JOIN p USING (source_id) WHERE k % 5 = 0 AND blocker = 'credential_required'
+UNION ALL SELECT source_id, 'warning', warning FROM w JOIN p USING (source_id) WHERE k % 7 = 0""", views=False)
+def plan_gaps(lens: Lens) -> DataFrame:
+    """Plans that lack a blocker or all their warnings."""
+    plans, none = _plan_ids(lens), F.array().cast("array<string>")
+    listed = F.when(F.col("k") % 5 == 0, F.array_remove("blockers", "credential_required")).otherwise(F.col("blockers"))
+    given = plans.select("source_id", "evidence_total", listed.alias("blockers"), F.when(F.col("k") % 7 == 0, none).otherwise(F.col("warnings")).alias("warnings"))
+    return changes.missing_ids(given, _profiles(lens))
+
+
+def _rolled(lens: Lens) -> DataFrame:
+    rows = _plan_ids(lens)
+    severity = lambda x: F.when(x == "source_specific_error_taxonomy_pending", "non_blocking").otherwise("blocking")
+    e = F.col("evidence_total")
+    plans = rows.select(
+        "source_id", "provider", "evidence_total", F.least(e, F.lit(1)).alias("verified"), F.when(e >= 2, 1).otherwise(0).cast("long").alias("failed"),
+        F.when(e >= 3, 1).otherwise(0).cast("long").alias("skipped"), F.lit(0).cast("long").alias("unknown"), F.lit(4).cast("long").alias("next_action_count"),
+        F.transform("blockers", lambda x: F.struct(x.alias("id"), severity(x).alias("severity"))).alias("blockers"),
+        F.transform("warnings", lambda x: F.struct(x.alias("id"), F.lit("warning").alias("severity"))).alias("warnings"),
+    )
+    return evidence.rollup_sources(plans)
+
+
+_ROLLED = """, s AS (SELECT p.source_id, p.provider, evidence_total, CAST(evidence_total >= 1 AS BIGINT) AS verified, CAST(evidence_total >= 2 AS BIGINT) AS failed, CAST(evidence_total >= 3 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS unknown,
+  (SELECT count(*) FROM b WHERE b.source_id = p.source_id AND blocker <> 'source_specific_error_taxonomy_pending') AS blocking_count, (SELECT count(*) FROM w WHERE w.source_id = p.source_id) AS warning_count,
+  coalesce((SELECT string_agg(blocker, ',' ORDER BY blocker) FROM b WHERE b.source_id = p.source_id), '') AS blocker_ids, coalesce((SELECT string_agg(warning, ',' ORDER BY warning) FROM w WHERE w.source_id = p.source_id), '') AS warning_ids,
+  CAST(4 AS BIGINT) AS next_action_count FROM p)
+"""
+
 
+@query(_DRIFT + _BLOCKERS + _ROLLED + "SELECT * FROM s", views=False)
+def rollup_sources(lens: Lens) -> DataFrame:
+    """A row per source."""
+    return _rolled(lens).withColumns({c: F.array_join(c, ",") for c in ("blocker_ids", "warning_ids")})
 
-_CANDIDATES = "SELECT 's' || CAST(l_suppkey AS STRING) AS source_id, 'provider' || CAST(CASE WHEN l_suppkey % 19 = 0 THEN -1 ELSE s_nationkey END AS STRING) AS provider, l_suppkey % 2 = 0 AND l_linenumber = 1 AS has_evidence, l_partkey AS k, l_linenumber AS n FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey WHERE l_quantity > 45"
+
+@query(_DRIFT + _BLOCKERS + _ROLLED + """SELECT count(*) AS sources, count(*) FILTER (evidence_total = 0) AS sources_without_evidence, CAST(sum(evidence_total) AS BIGINT) AS evidence_total, CAST(sum(verified) AS BIGINT) AS verified,
+  CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(skipped) AS BIGINT) AS skipped, CAST(sum(unknown) AS BIGINT) AS unknown, CAST(sum(blocking_count) AS BIGINT) AS blocking_count, CAST(sum(warning_count) AS BIGINT) AS warning_count FROM s""", views=False)
+def rollup_totals(lens: Lens) -> DataFrame:
+    """The nine totals."""
+    return evidence.rollup_summary(_rolled(lens))
+
+
+@query(_DRIFT + _BLOCKERS + """SELECT kind, id, count(*) AS n, array_to_string(list_sort(list(source_id)), ',') AS source_ids FROM (
+  SELECT 'blocker' AS kind, blocker AS id, source_id FROM b UNION ALL SELECT 'warning', warning, source_id FROM w) GROUP BY 1, 2""", views=False)
+def evidence_rollup(lens: Lens) -> DataFrame:
+    """The inverted index."""
+    return evidence.rollup_index(_rolled(lens)).withColumn("source_ids", F.array_join("source_ids", ","))
+
+
+_CANDIDATES = """SELECT 's' || CAST(l_suppkey AS STRING) AS source_id, 'provider' || CAST(CASE WHEN l_suppkey % 19 = 0 THEN -1 ELSE s_nationkey END AS STRING) AS provider, l_suppkey % 2 = 0 AND l_linenumber = 1 AS has_evidence,
+  l_orderkey AS k, l_linenumber AS n, l_partkey AS part, l_suppkey AS supp FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey"""
 
 
 def _candidates(lens: Lens) -> DataFrame:
@@ -311,7 +423,7 @@ def _candidates(lens: Lens) -> DataFrame:
 SELECT p.source_id, coalesce(candidates, 0) AS candidates, coalesce(evidence, 0) AS evidence, coalesce(p1 = provider AND p2 = provider, true) AS agrees, coalesce(candidates, 0) > 0 AND coalesce(evidence, 0) = 0 AS materialized
 FROM p LEFT JOIN g ON p.source_id = g.source_id""", views=False)
 def plan_batches(lens: Lens) -> DataFrame:
-    """J11, U5."""
+    """J11."""
     return changes.attach_plan_batches(_profiles(lens), _candidates(lens))
 
 
@@ -322,10 +434,59 @@ def candidate_summary(lens: Lens) -> DataFrame:
     return changes.candidate_summary(_candidates(lens))
 
 
-@query(_DRIFT + f""", c AS ({_CANDIDATES.format(lineitem="lineitem", supplier="supplier")}) SELECT c.source_id, c.provider, c.k, c.n FROM c JOIN p ON c.source_id = p.source_id WHERE c.provider IS DISTINCT FROM p.provider""", views=False)
+@query(_DRIFT + f""", c AS (SELECT source_id, source_id || '-' || CAST(k AS STRING) || '-' || CAST(n AS STRING) AS candidate_id, k AS o, n, part, supp FROM ({_CANDIDATES.format(lineitem="lineitem", supplier="supplier")})),
+j AS (SELECT c.*, sample_param_policy, auth_type, k % 2 = 0 AS keyed, k % 3 = 0 AS in_path FROM c JOIN p USING (source_id))
+SELECT source_id, candidate_id, unnest(list_filter([CASE WHEN sample_param_policy = 'manual' THEN 'sample_policy_not_pinned' END, CASE WHEN n = 6 THEN 'method' END, CASE WHEN n = 7 OR part % 31 = 0 THEN 'format' END,
+  CASE WHEN part % 5 = 0 THEN 'credential_required' END, CASE WHEN part % 7 = 0 AND keyed THEN 'key_names' END,
+  CASE WHEN part % 11 = 0 THEN 'injection_location' END, CASE WHEN in_path AND keyed AND part % 2 = 0 THEN 'path_placeholders' END, CASE WHEN part % 13 = 0 THEN 'evidence_status' END, CASE WHEN part % 17 = 0 THEN 'promotion_status' END], lambda x: x IS NOT NULL)) AS problem
+FROM j UNION ALL SELECT 'nowhere', candidate_id, 'no_profile' FROM c WHERE n = 5 AND part % 50 = 0""", views=False)
+def candidate_problems(lens: Lens) -> DataFrame:
+    """C14."""
+    k, part = F.col("k"), F.col("part")
+    keyed = F.array(F.lit("b"), F.lit("a"))
+    none = F.array().cast("array<string>")
+    profiles = _profiles(lens).select(
+        "source_id", F.array(F.lit("GET"), F.lit("POST")).alias("methods"), F.array(F.lit("json")).alias("formats"), "auth_type", "sample_param_policy",
+        F.when(k % 2 == 0, keyed).otherwise(none).alias("key_parameter_names"),
+        F.when(k % 3 == 0, F.array(F.lit("path"), F.lit("query"))).when(k % 3 == 1, F.array(F.lit("query"))).otherwise(none).alias("key_locations"),
+    )
+    supp = F.col("supp")
+    location = F.when(supp % 3 == 0, "path").when(supp % 3 == 1, "query").otherwise("none")
+    rows = _candidates(lens).select(
+        "source_id", "candidate_id", "n", "part", F.when(F.col("n") == 6, "DELETE").otherwise("GET").alias("method"),
+        F.when((F.col("n") == 7) | (part % 31 == 0), "xml").otherwise("json").alias("format"),
+        F.when(part % 2 == 0, "/v1/{a}").otherwise("/v1/{a}/{b}/{page}").alias("endpoint_template"),
+        ((part % 5 == 0) != (supp % 9 != 0)).alias("credential_required"),
+        F.when(supp % 2 != 0, none).when(part % 7 == 0, F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b"))).alias("key_names"),
+        F.when(part % 11 == 0, "header").otherwise(location).alias("injection_location"),
+        F.when(part % 13 == 0, "collected").otherwise("not_collected").alias("evidence_status"),
+        F.when(part % 17 == 0, None).otherwise("registry_only").alias("promotion_status"),
+    )
+    strays = rows.where("n = 5 AND part % 50 = 0").withColumn("source_id", F.lit("nowhere"))
+    return changes.candidate_problems(rows.unionAll(strays).drop("n", "part"), profiles)
+
+
+@query(_DRIFT + f""", c AS ({_CANDIDATES.format(lineitem="lineitem", supplier="supplier")}),
+x AS (SELECT k, n, provider, CASE WHEN k % 61 = 0 THEN 'other' ELSE source_id END AS source_id, CASE WHEN k % 67 = 0 THEN 'sources/none' ELSE 'sources/' || source_id END AS source_profile FROM c)
+SELECT * FROM (SELECT x.source_id, x.provider, k, n, CASE WHEN q.source_profile IS NULL THEN 'no_profile' ELSE concat_ws(',', CASE WHEN x.source_id <> q.source_id THEN 'source_id' END, CASE WHEN x.provider <> q.provider THEN 'provider' END) END AS problem
+FROM x LEFT JOIN (SELECT source_profile, source_id, provider FROM p) q ON x.source_profile = q.source_profile) WHERE problem <> ''""", views=False)
 def identity_mismatches(lens: Lens) -> DataFrame:
-    """J8, C14."""
-    return checks.identity_mismatches(_candidates(lens), _profiles(lens)).select("source_id", "provider", "k", "n")
+    """J8."""
+    k = F.col("k")
+    profile = F.when(k % 67 == 0, "sources/none").otherwise(F.concat(F.lit("sources/"), "source_id"))
+    rows = _candidates(lens).select(F.when(k % 61 == 0, "other").otherwise(F.col("source_id")).alias("source_id"), "provider", "k", "n", profile.alias("source_profile"))
+    return checks.identity_mismatches(rows, _profiles(lens)).drop("source_profile")
+
+
+@query("""WITH o AS (SELECT o_custkey AS k, 'reports/' || CAST(o_orderkey AS VARCHAR) AS path FROM orders),
+g AS (SELECT k, list_sort(list(path)) AS files FROM o GROUP BY 1)
+SELECT k, CASE WHEN k % 7 = 0 THEN len(files) = 1 WHEN k % 11 = 0 THEN false ELSE true END AS covered FROM g""", views=False)
+def listed_inputs(lens: Lens) -> DataFrame:
+    """The inputs that a rollup lists, against the files of its source (a customer's few orders)."""
+    path = F.concat(F.lit("reports/"), F.col("o_orderkey").cast("string"))
+    files = lens.table("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(path)).alias("files"))
+    listed = F.when(F.col("k") % 7 == 0, F.reverse("files")).when(F.col("k") % 11 == 0, F.slice("files", 2, 1_000_000)).otherwise(F.col("files"))
+    return files.select("k", C.covers_all(F.col("files"), listed).alias("covered"))
 
 
 # Artifacts, gates and constraints.
@@ -342,8 +503,8 @@ def _artifact_sql(text: str, hash_of: str) -> str:
 
 @query(f"""WITH m0 AS ({_artifact_sql(_MANIFEST, "sha256({})").format(orders="orders")}), m AS (SELECT path, count(*) AS n, max(bytes) AS mb, max(sha256) AS ms FROM m0 GROUP BY 1),
 a AS ({_artifact_sql(_ACTUAL, "sha256({})").format(orders="orders")})
-SELECT path, problem FROM (SELECT coalesce(m.path, a.path) AS path, CASE WHEN m.path = '' THEN 'invalid_path' WHEN n > 1 THEN 'duplicate_path' WHEN NOT regexp_matches(ms, '^[a-f0-9]{{64}}$') THEN 'invalid_checksum' WHEN mb < 0 THEN 'invalid_size'
-  WHEN a.path IS NULL THEN 'missing' WHEN m.path IS NULL THEN 'unlisted' WHEN mb <> a.bytes THEN 'size_mismatch' WHEN ms <> a.sha256 THEN 'checksum_mismatch' END AS problem
+SELECT path, problem FROM (SELECT coalesce(m.path, a.path) AS path, CASE WHEN m.path = '' THEN 'invalid_path' WHEN n > 1 THEN 'duplicate_artifact_path' WHEN NOT regexp_matches(ms, '^[a-f0-9]{{64}}$') THEN 'invalid_checksum' WHEN mb < 0 THEN 'invalid_size'
+  WHEN a.path IS NULL THEN 'missing_artifact' WHEN m.path IS NULL THEN 'unlisted' WHEN mb <> a.bytes THEN 'size_mismatch' WHEN ms <> a.sha256 THEN 'checksum_mismatch' END AS problem
   FROM m FULL JOIN a ON m.path = a.path) WHERE problem IS NOT NULL""", views=False)
 def artifact_problems(lens: Lens) -> DataFrame:
     """J10."""
@@ -443,10 +604,20 @@ def document_search(lens: Lens) -> DataFrame:
     return search.search(lens.table("documents"), "ThaTion", ["text", "source"]).select("doc_id", "lang", "source")
 
 
-_LEAK = search.LEAK.replace("'", "''")
+#: A credential in DuckDB's dialect, written apart from the operator's own pattern.
+_LEAK = "(?i)(servicekey|api-?key|api_key|authkey|access_token|secret|token|password)\\s*(=|:)\\s*([\"'']?)[A-Za-z0-9%+/_.\\-]{8,}"
 
 
 @query(f"SELECT doc_id, len(regexp_extract_all(text, '{_LEAK}')) AS leaks FROM documents WHERE regexp_matches(text, '{_LEAK}')", views=False)
 def credential_leaks(lens: Lens) -> DataFrame:
     """P12."""
     return search.credential_leaks(lens.table("documents"), "text").select("doc_id", "leaks")
+
+
+@query("""
+, o AS (SELECT dataset_id, count(*) AS n, bool_or(callable) AS callable FROM deps WHERE dataset_id <> '' GROUP BY 1)
+SELECT id, title, provider, organization, source_category, coalesce(n, 0) AS operations_count, coalesce(callable, false) AS callable FROM specs LEFT JOIN o ON id = dataset_id
+WHERE source_category = '1-URGENT' AND contains(lower(concat_ws(chr(10), id, title, provider, organization, source_category)), 'customer#000000') ORDER BY id LIMIT 500""")
+def dataset_search(lens: Lens) -> DataFrame:
+    """Cards of specs found by text and an equality filter, the first 500 by id."""
+    return search.search_datasets(lens.nested_specs(), "Customer#000000", 500, source_category="1-URGENT")

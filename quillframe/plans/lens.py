@@ -36,6 +36,9 @@ SELECT {_KEY} AS dataset_id, {_ORG} AS organization, o_orderpriority AS source_c
   CASE WHEN l_suppkey % 5 = 0 THEN '' ELSE 'portal' || CAST(l_suppkey % 7 AS STRING) || '.example' END AS source_host,
   CASE WHEN l_tax > 0.05 THEN 'manual' ELSE 'auto' END AS dev_approval,
   CASE WHEN l_discount > 0.07 THEN 'manual' WHEN l_discount < 0.02 THEN NULL ELSE 'auto' END AS prod_approval,
+  CASE WHEN l_suppkey % 6 = 0 THEN 'https://guide' || CAST(l_suppkey % 9 AS STRING) || '.example/how' WHEN l_suppkey % 6 = 1 THEN 'ask the office'
+    WHEN l_suppkey % 6 = 2 THEN 'https://apis.gateway.example/guide' END AS guide_url,
+  CASE WHEN l_linenumber = 7 THEN 'SOAP' ELSE 'REST' END AS api_type, CASE l_partkey % 3 WHEN 0 THEN 'XML' WHEN 1 THEN 'JSON' ELSE '' END AS data_format,
   l_linenumber % 4 AS request_params_count, l_partkey % 5 AS response_params_count,
   l_returnflag AS flag, l_shipdate AS seen_at, l_partkey AS part_key, l_suppkey AS supp_key, l_extendedprice AS price
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} ON o_custkey = c_custkey
@@ -43,18 +46,20 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} O
 
 FLAT_ADAPTERS = """
 SELECT 'adapter' || CAST(s_suppkey AS STRING) AS name, 'api' || CAST(s_suppkey AS STRING) || '.example:81' AS host,
-  s_suppkey % 3 <> 0 AS can_call
+  CASE WHEN s_suppkey % 10 = 3 THEN 'api' || CAST(s_suppkey + 1 AS STRING) || '.example:81' END AS second_host,
+  CAST(-s_suppkey AS INT) AS ordinal, s_suppkey % 3 <> 0 AS can_call
 FROM {supplier} WHERE s_acctbal > 0"""
 
+#: Evidence of every operation; of two in three the operation's name is missing, so that it belongs to none.
 EVIDENCE = """
-SELECT dataset_id, operation, provider, endpoint_host, dependency_class,
-  CASE WHEN flag = 'A' THEN 'verified' WHEN flag = 'R' THEN 'failed' WHEN part_key % 7 = 0 THEN 'odd' ELSE 'skipped' END AS status,
-  CASE WHEN flag = 'A' THEN NULL WHEN flag = 'R' AND part_key % 2 = 0 THEN 'timeout' WHEN flag = 'R' THEN 'http_error'
-    WHEN part_key % 4 = 0 THEN 'missing_params' ELSE 'missing_auth' END AS reason,
+SELECT dataset_id, CASE WHEN part_key % 3 = 0 THEN operation END AS operation, provider, endpoint_host, dependency_class,
+  CASE WHEN flag = 'A' THEN 'verified' WHEN flag = 'R' THEN 'failed' WHEN part_key % 7 = 0 THEN 'odd' WHEN part_key % 11 = 0 THEN NULL ELSE 'skipped' END AS status,
+  CASE WHEN flag = 'A' THEN NULL WHEN flag = 'R' AND part_key % 2 = 0 THEN 'probe_timeout' WHEN flag = 'R' THEN 'http_error'
+    WHEN part_key % 4 = 0 THEN 'missing_required_params' ELSE 'missing_auth' END AS reason,
   CASE WHEN flag = 'A' THEN 200 WHEN flag = 'R' AND part_key % 2 = 0 THEN NULL WHEN flag = 'R' AND part_key % 5 = 0 THEN 404
     WHEN flag = 'R' THEN 503 END AS http_status,
   seen_at AS verified_at, part_key, supp_key, price
-FROM {deps} WHERE part_key % 3 = 0"""
+FROM {deps}"""
 #: A total order of the evidence of one key.
 ORDER = ["verified_at", "part_key", "supp_key", "price"]
 
@@ -67,14 +72,15 @@ SELECT *, CASE WHEN dependency_class = 'gateway' THEN 'builtin'
   coalesce(dev_approval = 'manual', false) OR coalesce(prod_approval = 'manual', false) AS approval_required,
   dependency_class NOT IN ('no_endpoint', 'service_root') AS callable
 FROM (SELECT c.*, a.name AS adapter FROM (
-    SELECT *, coalesce(nullif(endpoint_host, ''), nullif(source_host, '')) AS route_host FROM (
+    SELECT *, coalesce(nullif(endpoint_host, ''), nullif(source_host, '')) AS route_host,
+      nullif(regexp_extract(guide_url, '^https://([^/]*)', 1), '') AS guide_host, request_params_count = 1 AS lacks_params FROM (
       SELECT *, CASE WHEN dependency_class <> 'service_root' THEN {_AUTHORITY} END AS endpoint_host FROM (
         SELECT *, CASE WHEN coalesce(trim(endpoint), '') = '' THEN 'no_endpoint' WHEN {_AUTHORITY} IS NULL THEN 'malformed_endpoint'
           WHEN regexp_matches(lower(trim(endpoint)), '[?&]wsdl|\.asmx([?#]|$)') THEN 'soap'
           WHEN regexp_matches(lower(trim(endpoint)), '[?&]service=wms|/wms([?#]|$)') THEN 'wms'
           WHEN regexp_matches(trim(endpoint), '^[A-Za-z]+://[^/?#]*/?$') THEN 'service_root'
           WHEN {_AUTHORITY} = 'apis.gateway.example' THEN 'gateway' ELSE 'external_endpoint' END AS dependency_class
-        FROM raw_deps))) c LEFT JOIN adapters a ON c.route_host = a.host)"""
+        FROM raw_deps))) c LEFT JOIN by_host a ON c.route_host = a.host)"""
 
 _TABLES = ("orders", "customer", "nation", "lineitem", "supplier")
 _NAMES = {t: t for t in _TABLES} | {"deps": "deps"}
@@ -90,6 +96,8 @@ def with_views(query: str) -> str:
         "specs": SPECS.format(**_NAMES),
         "raw_deps": RAW_DEPENDENCIES.format(**_NAMES),
         "adapters": FLAT_ADAPTERS.format(**_NAMES),
+        "adapter_hosts": "SELECT name, host, ordinal FROM adapters UNION ALL SELECT name, second_host, ordinal FROM adapters WHERE second_host IS NOT NULL",
+        "by_host": "SELECT host, arg_max(name, ordinal) AS name FROM adapter_hosts GROUP BY host",
         "deps": CLASSIFIED_SQL,
         "evidence": EVIDENCE.format(**_NAMES),
         "latest": LATEST_SQL,
@@ -98,6 +106,10 @@ def with_views(query: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in views.items()) + "\n" + query
 
 
+#: Bytes a core below which a table counts as small.
+SMALL = 4 << 20
+
+
 class Lens:
     """The views over the tables of one folder."""
 
@@ -107,9 +119,17 @@ class Lens:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
 
+    def spread(self, name: str, key: str = "l_orderkey") -> DataFrame:
+        """A table; a small one is dealt to all cores, for its file is one row group and so one task.
+        Large tables have many and are read as they are."""
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return df.repartition(cores, key) if size < SMALL * cores else df
+
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """``text`` with ``{name}`` for a given frame or a table."""
-        used = {t: self.table(t) for t in _TABLES if "{" + t + "}" in text}
+        used = {t: self.spread(t) if t == "lineitem" else self.table(t) for t in _TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **used, **frames)
 
     def specs(self) -> DataFrame:
@@ -117,12 +137,14 @@ class Lens:
 
     def adapters(self) -> DataFrame:
         flat = self.sql(FLAT_ADAPTERS)
-        caps = F.when(F.col("can_call"), F.array(F.lit("verify"), F.lit("call"))).otherwise(F.array(F.lit("verify")))
-        return flat.select("name", F.lit("ready").alias("status"), F.array("host").alias("hosts"), caps.alias("capabilities"))
+        caps = F.when(F.col("can_call"), F.array(F.lit("call"), F.lit("verification"))).otherwise(F.array(F.lit("verification")))
+        hosts = F.array_compact(F.array("host", "second_host"))
+        return flat.select("name", F.lit("registered").alias("status"), hosts.alias("hosts"), caps.alias("capabilities"), "ordinal")
 
     def deps(self) -> DataFrame:
         """Classified operations."""
-        return classify(self.sql(RAW_DEPENDENCIES), self.adapters())
+        names = F.when(F.col("request_params_count") == 1, F.array(F.lit("q1"))).otherwise(F.array().cast("array<string>"))
+        return classify(self.sql(RAW_DEPENDENCIES), self.adapters()).withColumn("missing_params", names)
 
     def evidence(self, deps: DataFrame | None = None) -> DataFrame:
         return self.sql(EVIDENCE, deps=self.deps() if deps is None else deps)

@@ -80,15 +80,16 @@ def test_classes_and_adapters(spark):
         "http://h.example": "service_root", "http://h.example/": "service_root", "https://apis.gateway.example/1": "gateway", "http://h.example:81/x": "external_endpoint",
     }
     deps = spark.createDataFrame([(e, "s.example", "manual" if e else None, None) for e in endpoints], "endpoint string, source_host string, dev_approval string, prod_approval string")
-    adapters = spark.createDataFrame([("a1", "ready", ["h.example:81"], ["verify"]), ("a2", "ready", ["h.example:81", "s.example"], ["call", "verify"])], model.ADAPTERS)
+    adapters = spark.createDataFrame([("a2", "registered", ["h.example:81", "s.example"], ["call", "verification"], 1), ("a1", "registered", ["h.example:81"], ["verification"], 0)], model.ADAPTERS + ", ordinal int")
     got = {r["endpoint"]: r for r in classify.classify(deps, adapters).collect()}
     assert {e: r["dependency_class"] for e, r in got.items()} == endpoints
-    assert got["http://h.example:81/x"]["adapter"] == "a2"  # the last adapter of a host
+    assert got["http://h.example:81/x"]["adapter"] == "a2"  # the last adapter of a host in the input
     assert got["http://h.example"]["adapter_status"] == "adapter" and got["http://h.example"]["route_host"] == "s.example"
     assert got["https://apis.gateway.example/1"]["adapter_status"] == "builtin" and not got["http://h.example"]["callable"]
     assert [r["approval_required"] for r in got.values()].count(True) == 8
     assert rows(reports.split_readiness(adapters)) == [(2, 2, 1, True, "")]
-    assert rows(reports.split_readiness(adapters.limit(1))) == [(1, 1, 0, False, "adapters,verification,call")]
+    short = rows(reports.split_readiness(adapters.where("name = 'a1'")))
+    assert short == [(1, 1, 0, False, "need_at_least_two_external_adapters,need_at_least_two_verification_capable_adapters,need_at_least_one_call_capable_adapter")]
 
 
 def test_flatten_keeps_specs_without_operations(spark):
@@ -102,7 +103,7 @@ def test_flatten_keeps_specs_without_operations(spark):
 
 
 def test_dispositions(spark):
-    data = [("failed", "http_error", 404, []), ("failed", "timeout", None, []), ("failed", "http_error", 503, []), (None, None, None, ["p"]), ("verified", None, 200, []), (None, None, None, [])]
+    data = [("failed", "http_error", 404, []), ("failed", "probe_timeout", None, []), ("failed", "http_error", 503, []), (None, None, None, ["p"]), ("verified", None, 200, []), (None, None, None, [])]
     df = spark.createDataFrame(data, "s string, r string, h int, m array<string>")
     got = [r[0] for r in df.select(reports.disposition(F.col("s"), F.col("r"), F.col("h"), F.col("m"))).collect()]
     assert got == ["dead_route_candidate", "transient_failure", "transient_failure", "parameter_blocked", "adapter_candidate", None]
@@ -128,8 +129,8 @@ def test_drift(spark):
     data = [(None, "", "u"), (404, "", "u"), (410, "x", "u"), (500, "", "u"), (200, "v", "u"), (200, "u", "u"), (200, "", "u")]
     df = spark.createDataFrame(data, "s int, f string, u string").withColumn("drift", changes.drift_status(F.col("s"), F.col("f"), F.col("u")))
     assert [r["drift"] for r in df.collect()] == ["error", "missing", "missing", "error", "redirected", "unchanged", "unchanged"]
-    got = changes.drift_summary(df.withColumn("impacts", changes.reference_impact(F.lit("api_docs")))).first()
-    assert tuple(got) == (7, 5, 1, 2, 3, 4)
+    got = changes.drift_summary(df.withColumn("impacts", changes.reference_impact(F.lit("api_docs_url")))).first()
+    assert tuple(got) == (7, 7, 1, 2, 3, 4)
     assert rows(spark.range(1).select(changes.reference_impact(F.lit("blog")))) == [(["unknown"],)]
 
 
@@ -146,8 +147,11 @@ def test_artifacts(spark, tmp_path):
     found = readers.scan_artifacts(spark, str(tmp_path)).withColumn("path", F.element_at(F.split("path", "/"), -1))
     by = {r["path"]: (r["bytes"], r["sha256"]) for r in found.collect()}
     manifest = [("a.json", *by["a.json"]), ("b.json", 9, by["b.json"][1]), ("d.json", 1, "0" * 64), ("e.json", 1, "no"), ("f.json", 1, "0" * 64), ("f.json", 1, "0" * 64)]
-    got = sorted(rows(checks.verify_artifacts(spark.createDataFrame(manifest, "path string, bytes long, sha256 string"), found)))
-    assert got == [("b.json", "size_mismatch"), ("c.json", "unlisted"), ("d.json", "missing"), ("e.json", "invalid_checksum"), ("f.json", "duplicate_path")]
+    listed = spark.createDataFrame(manifest, "path string, bytes long, sha256 string")
+    got = sorted(rows(checks.verify_artifacts(listed, found)))
+    assert rows(checks.verify_artifacts(listed, found, listed=7))[-1] == ("", "artifact_count_mismatch")
+    assert checks.verify_artifacts(listed, found, listed=6).where("path = ''").isEmpty()
+    assert got == [("b.json", "size_mismatch"), ("c.json", "unlisted"), ("d.json", "missing_artifact"), ("e.json", "invalid_checksum"), ("f.json", "duplicate_artifact_path")]
 
 
 def test_readers(spark, tmp_path):

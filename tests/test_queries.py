@@ -7,6 +7,8 @@ import math
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from quillframe import catalogue_queries
 
 SF = "/root/testdata/sf0.001"
@@ -47,9 +49,22 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_filters_reach_the_scan(spark):
-    text = plan(catalogue_queries.queries()["filtered_operations"](spark, SF))
-    assert "Python" not in text and "Arrow" not in text
+def test_filters_and_columns_reach_the_scan(spark):
+    """A filter on a part's key and the two columns asked for, and nothing else, are read."""
+    from quillframe.operators import search
+
+    part = spark.read.parquet(f"{SF}/part.parquet").withColumn("id", F.col("p_partkey"))
+    text = plan(search.apply_filters(part, p_brand="Brand#12").select("id", "p_name"))
+    assert "PushedFilters: [IsNotNull(p_brand), EqualTo(p_brand,Brand#12)]" in text
+    assert "p_retailprice" not in text
+
+
+@pytest.mark.parametrize("name", ["provider_backlog", "adapter_targets", "classified_operations", "route_dispositions", "catalog_audit", "coverage"])
+def test_urls_are_cut_once_a_row(spark, name):
+    """One cut of the endpoint and one of the guide for each time that the operations are read, whatever filters follow."""
+    text = catalogue_queries.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    reads = sum("Relation" in line and "l_orderkey" in line for line in text.splitlines())
+    assert text.count("regexp_replace(") == 2 * reads > 0
 
 
 def test_no_query_runs_python(spark):
