@@ -1,78 +1,228 @@
-"""Labelled pages that the extraction model is trained on: (html, texts of the main blocks).
+"""Labelled pages that the extraction model is trained on: html in which main blocks begin with ``MARK``.
 
-Every block of a page whose text is listed is main text; all others aren't.
+Pages are put together by rule from a fixed seed: an article in one of several layouts (semantic
+elements, named or nameless ``div``s, tables), in one of several languages, with paragraphs, lists,
+quotations, figures and tables, among menus, headers, notices, adverts, forms, sidebars, reader
+comments and footers, each of which may or may not be named.
 """
 
-NAV = '<nav><ul><li><a href="/">Home</a></li><li><a href="/news">News</a></li><li><a href="/about">About us</a></li></ul></nav>'
-P1 = "The river rose two metres during the night, and by morning the lower road was closed to all traffic."
-P2 = "Residents were asked to move their cars to higher ground. Most of them did so before eight o'clock."
-P3 = "Nobody was hurt, the council said, although three cellars near the bridge were flooded."
-SHORT = "It rained."
-Q = "We have not seen water this high since the bridge was built, said one resident."
-H, H2 = "River closes the lower road", "What happens next"
-LI1, LI2 = "Move cars to higher ground before the evening.", "Keep away from the river bank, and don't walk on the old bridge."
-
-PAGES: list[tuple[str, list[str]]] = [
-    (
-        f"<html><head><title>{H}</title><style>p{{}}</style><script>var a='<p>x</p>';</script></head><body>{NAV}"
-        f'<div class="ad">Buy one umbrella and get one free.</div><article><h1>{H}</h1><p>{P1}</p><p>{P2}</p><p>{SHORT}</p></article>'
-        "<footer>&copy; 2020 The Valley Post. All rights reserved.</footer></body></html>",
-        [H, P1, P2, SHORT],
-    ),
-    (
-        f"<body><header><h2>The Valley Post</h2><p>News from the valley since 1901.</p>{NAV}</header><main><h1>{H}</h1>"
-        f"<p><b>{SHORT}<br><p>{P1}</p><h2>{H2}</h2><ul><li>{LI1}</li><li>{LI2}</li></ul><blockquote>{Q}</blockquote></main>"
-        '<aside><h3>Most read</h3><ul><li><a href="/1">Bakery wins a prize</a></li><li><a href="/2">New bus line opens</a></li></ul></aside>'
-        "<footer><p>Contact</p><p>Imprint</p></footer></body>",
-        [H, SHORT, P1, H2, LI1, LI2, Q],
-    ),
-    (
-        '<body><div id="cookie-notice" class="cookie notice">We use cookies to make this site better. <button>Accept</button></div>'
-        f'<div class="header"><a href="/">The Valley Post</a></div><div class="menu"><a href="/a">News</a> <a href="/b">Sport</a></div>'
-        f'<div class="content"><h1>{H}</h1><div class="article-body"><p>{P1}</p><p>{P2}</p><p>{P3}</p></div></div>'
-        '<div class="sidebar"><h3>Weather</h3><p>Cloudy with rain in the evening, eleven degrees.</p></div>'
-        '<div id="comments" class="comments"><h3>2 comments</h3><div class="comment"><p>I saw it from my window, and it was frightening to watch.</p></div>'
-        '<div class="comment"><p>Thank you for the report.</p></div></div><div class="footer">Copyright The Valley Post</div></body>',
-        [H, P1, P2, P3],
-    ),
-    (
-        f"<body>{NAV}<article><header><h1>{H}</h1></header><section><p>{P1}</p><figure><img src=x><figcaption>The bridge at noon.</figcaption></figure>"
-        f'<p>{P2}</p></section><div class="advert"><p>Advertisement: boots for all weathers, now at half price.</p></div><section><h2>{H2}</h2><p>{P3}</p></section>'
-        '<section class="comments"><h2>Reader comments</h2><p>The same thing happened ten years ago, and nobody did anything about it.</p></section></article>'
-        "<form><label>Your e-mail</label><input><p>Subscribe to our letter.</p><button>Send</button></form><footer>Imprint</footer></body>",
-        [H, P1, "The bridge at noon.", P2, H2, P3],
-    ),
-    (
-        f'<body><div class="banner promo">Summer sale</div><article class="post"><h1>{H}</h1><p>{SHORT}</p><p>{P1}</p><form action="/s"><p>Vote: was the road closed too late?</p>'
-        f'<label>Yes</label><label>No</label></form><p>{P2}</p><aside class="related"><h3>Read also</h3><p>Why bridges fail, and how they are mended.</p></aside><p>{P3}</p></article>'
-        '<div class="share"><a href="#">Share</a> <a href="#">Print</a></div><div class="notice">This site needs a newer browser.</div></body>',
-        [H, SHORT, P1, P2, P3],
-    ),
-    (
-        f"<body>{NAV}<div class='ad'>Fresh bread every day at the corner shop, open from six.</div><article><h1>{H}</h1><p>{P1}</p><p>{SHORT}</p></article>"
-        "<div id='disqus' class='comment-list'><p>Great article.</p><p>I don't agree with this at all, because the road was dry on Monday.</p></div>"
-        "<footer>&copy; valley.example &middot; The bridge was built long ago.</footer>",
-        [H, P1, SHORT],
-    ),
-    (
-        f"<body><header>{NAV}</header><div id='main'><h1>{H}</h1><table><tr><td>{P1}</td></tr><tr><td>{P3}</td></tr></table><pre>{Q}</pre><dl><dt>{H2}</dt><dd>{LI1}</dd></dl></div>"
-        "<div id='right' class='sidebar widget'><p>Popular: the ten best walks in the valley, with maps and pictures.</p></div>"
-        "<div class='newsletter signup'><p>Get the news by e-mail every morning.</p></div><footer><ul><li>Terms</li><li>Privacy</li></ul></footer></body>",
-        [H, P1, P3, Q, H2, LI1],
-    ),
-    (
-        f"<html><head><title>{H}</title></head><body><nav><a href='/'>Home</a></nav><div class='ad'>{P3}</div><article><h1>{H}</h1><p><b>{H}<br><p>{P1}</p><p>{P2}",
-        [H, P1, P2],
-    ),
-    (
-        f"<body><div role='alert' class='alert'><p>Our office is closed on Monday.</p></div><div class='popup modal'><p>Do you want to stay informed?</p></div>"
-        f"<article><p>{SHORT}</p><p>One.</p><p>{P1}</p><p>Two.</p></article><nav class='breadcrumb'>Home &gt; News</nav><footer><p>{P2}</p></footer></body>",
-        [SHORT, "One.", P1, "Two."],
-    ),
-    (
-        f"<body><section class='hero'><p>Welcome to the valley</p></section><article><h1>{H}</h1><p>{P1}</p><ol><li>{LI1}</li><li>{LI2}</li></ol><p>{P2}</p>"
-        "<p class='comment'>Posted by a reader: I was there and took pictures of the bridge.</p><div class='sponsored'><p>Sponsored: see the new boats.</p></div></article>"
-        "<aside><p>Our reporter has lived in the valley for thirty years and likes fishing.</p></aside></body>",
-        [H, P1, LI1, LI2, P2],
-    ),
-]
+from __future__ import annotations
+
+from random import Random
+
+#: A character that no page uses.
+MARK = "\ue000"
+PAGES, SEED = 320, 11
+
+SENTENCES = {
+    "en": [
+        "The river rose two metres during the night, and by morning the lower road was closed to all traffic.",
+        "Residents were asked to move their cars to higher ground, and most of them did so before eight o'clock.",
+        "Nobody was hurt, the council said, although three cellars near the bridge were flooded.",
+        "We have not seen water this high since the bridge was built, said one resident.", "It rained.", "The school stays closed.",
+        "Engineers measured the piers twice and found no damage, but they want to look again when the water has gone down.",
+    ],
+    "de": [
+        "Der Fluss stieg in der Nacht um zwei Meter, und am Morgen war die untere Straße für den Verkehr gesperrt.",
+        "Die Anwohner wurden gebeten, ihre Autos auf höher gelegene Plätze zu fahren, was die meisten auch taten.",
+        "Verletzt wurde niemand, wie die Gemeinde mitteilte, doch drei Keller an der Brücke liefen voll.", "Es regnete.",
+        "So hoch stand das Wasser seit dem Bau der Brücke nicht mehr, sagte eine Bewohnerin.",
+    ],
+    "fr": [
+        "La rivière est montée de deux mètres pendant la nuit, et au matin la route basse était fermée à la circulation.",
+        "Les habitants ont été priés de garer leurs voitures plus haut, ce que la plupart ont fait avant huit heures.",
+        "Personne n'a été blessé, selon la mairie, mais trois caves proches du pont ont été inondées.", "Il pleuvait.",
+    ],
+    "es": [
+        "El río subió dos metros durante la noche y por la mañana la carretera baja estaba cerrada al tráfico.",
+        "Se pidió a los vecinos que llevaran sus coches a un lugar más alto, y casi todos lo hicieron antes de las ocho.",
+        "Nadie resultó herido, según el ayuntamiento, aunque se inundaron tres sótanos cerca del puente.", "Llovía.",
+    ],
+}
+TITLES = {
+    "en": ["River closes the lower road", "What happens next", "How the bridge was saved"],
+    "de": ["Fluss sperrt die untere Straße", "Wie es weitergeht", "Die Rettung der Brücke"],
+    "fr": ["La rivière ferme la route basse", "La suite", "Comment le pont fut sauvé"],
+    "es": ["El río cierra la carretera baja", "Lo que viene", "Cómo se salvó el puente"],
+}
+LINKS = {
+    "en": ["Home", "News", "Sport", "About us", "Contact", "Weather", "Archive"],
+    "de": ["Start", "Nachrichten", "Sport", "Über uns", "Kontakt", "Wetter", "Archiv"],
+    "fr": ["Accueil", "Actualités", "Sport", "À propos", "Contact", "Météo", "Archives"],
+    "es": ["Inicio", "Noticias", "Deportes", "Sobre nosotros", "Contacto", "Tiempo", "Archivo"],
+}
+COMMENTS = {
+    "en": ["comments", "3 comments", "Reader comments", "Responses", "2 responses", "Discussion", "Replies", "What our readers say", "Join the conversation"],
+    "de": ["Kommentare", "3 Kommentare", "Leserkommentare", "Diskussion", "Antworten"],
+    "fr": ["Commentaires", "3 commentaires", "Réactions", "Discussion", "Réponses"],
+    "es": ["Comentarios", "3 comentarios", "Opiniones", "Respuestas"],
+}
+ADVERTS = {
+    "en": ["Buy one umbrella and get one free.", "Advertisement", "Boots for all weathers, now at half price. Order today and pay later.", "Sponsored: see the new boats."],
+    "de": ["Anzeige", "Gummistiefel für jedes Wetter, jetzt zum halben Preis. Heute bestellen, später bezahlen.", "Neue Boote ansehen."],
+    "fr": ["Publicité", "Des bottes pour tous les temps, à moitié prix. Commandez aujourd'hui, payez plus tard."],
+    "es": ["Publicidad", "Botas para todo tiempo, ahora a mitad de precio. Pida hoy y pague después."],
+}
+NOTICES = {
+    "en": ["We use cookies to make this site better. By reading on you agree to our rules.", "Get the news by e-mail every morning.", "Our office is closed on Monday."],
+    "de": ["Wir verwenden Cookies, um diese Seite zu verbessern. Wer weiterliest, stimmt zu.", "Die Nachrichten jeden Morgen per E-Mail."],
+    "fr": ["Nous utilisons des cookies pour améliorer ce site. En continuant, vous acceptez nos règles."],
+    "es": ["Usamos cookies para mejorar este sitio. Si continúa, acepta nuestras reglas."],
+}
+ASIDES = {
+    "en": ["Most read", "Read also", "Related", "Popular", "Latest"], "de": ["Meistgelesen", "Lesen Sie auch", "Mehr zum Thema"],
+    "fr": ["Les plus lus", "À lire aussi"], "es": ["Lo más leído", "Lea también"],
+}
+FOOTERS = ["&copy; 2020 The Valley Post. All rights reserved.", "Imprint | Privacy | Terms", "Copyright The Valley Post &middot; Valley Street 1, Valley.", "Impressum &middot; Datenschutz"]
+NAMES = {
+    "content": "content article article-body post entry story text main page-content post-body".split(),
+    "nav": "nav menu navbar topnav navigation breadcrumb links".split(),
+    "header": "header masthead top site-header branding".split(),
+    "aside": "sidebar aside related widget rail right popular recommended".split(),
+    "ad": "ad ads advert advertisement sponsored promo banner".split(),
+    "notice": "cookie notice consent alert popup modal newsletter subscribe".split(),
+    "comments": "comments comment-list responses discussion replies feedback disqus reactions".split(),
+    "footer": "footer site-footer bottom legal copyright".split(),
+}
+SEMANTIC = {"nav": "nav", "header": "header", "aside": "aside", "footer": "footer", "content": "article", "comments": "section"}
+
+
+class _Page:
+    """One page under construction."""
+
+    def __init__(self, rng: Random):
+        self.rng, self.lang = rng, rng.choice(sorted(SENTENCES))
+
+    def pick(self, table: dict[str, list[str]]) -> str:
+        return self.rng.choice(table[self.lang])
+
+    def prose(self, least: int, most: int) -> str:
+        return " ".join(self.pick(SENTENCES) for _ in range(self.rng.randint(least, most)))
+
+    def fragment(self) -> str:
+        """A few words, with or without an end."""
+        words = self.prose(1, 1).split()
+        at = self.rng.randrange(len(words))
+        text = " ".join(words[at : at + self.rng.randint(1, 8)])
+        return self.rng.choice([text, text.rstrip(".,") + ".", " | ".join(text.split())])
+
+    def other(self, table: dict[str, list[str]]) -> str:
+        """A text outside the article: what such places say, or words that an article could have as well."""
+        kind = self.rng.random()
+        return self.pick(table) if kind < 0.5 else self.prose(1, 2) if kind < 0.8 else self.fragment()
+
+    def own(self, text: str) -> str:
+        return MARK + text
+
+    def box(self, role: str, inner: str, named: bool = False) -> str:
+        """``inner`` in an element of its role, in a named ``div``, or in a nameless one."""
+        kind = self.rng.random() * (0.75 if named else 1.0)
+        if role in SEMANTIC and kind < 0.4:
+            return f"<{SEMANTIC[role]}>{inner}</{SEMANTIC[role]}>"
+        if kind < 0.75:
+            name = self.rng.choice(NAMES[role])
+            return f'<div {self.rng.choice(["class", "id"])}="{name}">{inner}</div>'
+        return f"<div>{inner}</div>"
+
+    def links(self, n: int) -> str:
+        found = [f'<a href="/{k}">{self.pick(LINKS)}</a>' for k in range(n)]
+        return "<ul>" + "".join(f"<li>{x}</li>" for x in found) + "</ul>" if self.rng.random() < 0.6 else " ".join(found)
+
+    def aside(self) -> str:
+        head = self.rng.choice(["h2", "h3", "h4"])
+        body = self.links(self.rng.randint(2, 5)) if self.rng.random() < 0.6 else f"<p>{self.prose(1, 2)}</p>"
+        return self.box("aside", f"<{head}>{self.pick(ASIDES)}</{head}>{body}")
+
+    def form(self) -> str:
+        return f"<form action='/s'><p>{self.other(NOTICES)}</p><label>E-mail</label><input name=q><button>OK</button></form>"
+
+    def comments(self) -> str:
+        head = self.rng.choice(["h2", "h3", "h4"])
+        items = []
+        for _ in range(self.rng.randint(1, 5)):
+            said = f"<p>{self.prose(1, 3)}</p>"
+            who = f"<div>{self.rng.choice(['Anna K.', 'jan_82', 'M. Dupont', 'Reader'])}, 12:{self.rng.randint(10, 59)}</div>" if self.rng.random() < 0.6 else ""
+            items.append(self.rng.choice(["<div>{}</div>", "<li>{}</li>", '<div class="comment">{}</div>']).format(who + said))
+        # A nameless box of comments is told by its heading alone.
+        return self.box("comments", f"<{head}>{self.pick(COMMENTS)}</{head}>{''.join(items)}")
+
+    def part(self) -> str:
+        """A part of the article."""
+        kind = self.rng.random()
+        own = self.own
+        if kind < 0.62:
+            text = own(self.fragment() if self.rng.random() < 0.3 else self.prose(1, 5))
+            if self.rng.random() < 0.1:
+                first, second = text.split(" ", 1) if " " in text else (text, "")
+                return f"<p><b>{first}</b> {second}" + ("<br>" if self.rng.random() < 0.5 else "</p>")
+            return f"<p>{text}</p>" if self.rng.random() < 0.9 else f"<div>{text}</div>"
+        if kind < 0.70:
+            return f"<h2>{own(self.pick(TITLES))}</h2><p>{own(self.prose(1, 3))}</p>"
+        if kind < 0.78:
+            tag = self.rng.choice(["ul", "ol"])
+            return f"<{tag}>" + "".join(f"<li>{own(self.prose(1, 1))}</li>" for _ in range(self.rng.randint(2, 4))) + f"</{tag}>"
+        if kind < 0.84:
+            return f"<blockquote>{own(self.prose(1, 2))}</blockquote>"
+        if kind < 0.88:
+            return f"<figure><img src=x><figcaption>{own(self.prose(1, 1))}</figcaption></figure>"
+        if kind < 0.92:
+            cells = "".join(f"<tr><td>{own(self.pick(LINKS))}</td><td>{own(str(self.rng.randint(1, 99)))}</td></tr>" for _ in range(2))
+            return f"<table>{cells}</table>"
+        if kind < 0.95:
+            return f"<pre>{own(self.prose(1, 1))}</pre>"
+        return self.box("ad", f"<p>{self.other(ADVERTS)}</p>", named=True) if kind < 0.98 else self.form()
+
+    def article(self) -> str:
+        head = f"<h1>{self.own(self.pick(TITLES))}</h1>"
+        if self.rng.random() < 0.2:
+            head = f"<header>{head}</header>"
+        if self.rng.random() < 0.3:
+            # Little or no running text: its element or its name must tell that it is an article.
+            parts = [f"<p>{self.own(self.fragment() if self.rng.random() < 0.7 else self.prose(1, 2))}</p>" for _ in range(self.rng.randint(1, 5))]
+            return self.box("content", head + "".join(parts), named=True)
+        parts = [self.part() for _ in range(self.rng.randint(2, 9))]
+        parts.insert(self.rng.randrange(len(parts)), f"<p>{self.own(self.prose(2, 4))}</p>")
+        kind = self.rng.random()
+        if kind < 0.12:
+            inner = head + "<div>" + "".join(parts) + "</div>"
+            return self.box("content", inner)
+        if kind < 0.22:
+            return f"<main>{head}{''.join(parts)}</main>"
+        if kind < 0.28:
+            return f"<table><tr><td>{head}{''.join(parts)}</td></tr></table>"
+        return self.box("content", head + "".join(parts))
+
+    def build(self) -> str:
+        rng = self.rng
+        article = self.article()
+        out = [f"<html><head><title>{self.pick(TITLES)}</title><style>p{{}}</style><script>var a='<p>x</p>';</script></head><body>" if rng.random() < 0.8 else "<body>"]
+        if rng.random() < 0.4:
+            out.append(self.box("notice", f"<p>{self.other(NOTICES)}</p>" + ("<button>OK</button>" if rng.random() < 0.5 else "")))
+        if rng.random() < 0.5:
+            out.append(self.box("header", f'<a href="/">The Valley Post</a>' if rng.random() < 0.5 else "<h2>The Valley Post</h2><p>News from the valley since 1901.</p>"))
+        if rng.random() < 0.9:
+            out.append(self.box("nav", self.links(rng.randint(2, 6))))
+        if rng.random() < 0.5:
+            out.append("<!-- ad 1 -->" + self.box("ad", self.other(ADVERTS)))
+        aside = self.aside() if rng.random() < 0.5 else ""
+        comments = self.comments() if rng.random() < 0.5 else ""
+        before = rng.random() < 0.3
+        inside = comments and rng.random() < 0.3 and article.endswith(("</article>", "</div>"))
+        if inside:
+            end = article.rindex("</")
+            article = article[:end] + comments + article[end:]
+        out += [aside if before else "", article, "" if inside else comments, "" if before else aside]
+        if rng.random() < 0.3:
+            out.append(self.form())
+        if rng.random() < 0.3:
+            out.append(self.box("notice", f"<p>{self.other(NOTICES)}</p>"))
+        if rng.random() < 0.9:
+            foot = rng.choice(FOOTERS)
+            out.append(self.box("footer", foot if rng.random() < 0.6 else f"{foot} {self.prose(1, 1)}" if rng.random() < 0.5 else f"<p>{foot}</p><p>{self.prose(1, 1)}</p>"))
+        return "".join(out) + ("</body></html>" if rng.random() < 0.8 else "")
+
+
+def pages(n: int = PAGES, seed: int = SEED) -> list[str]:
+    """``n`` labelled pages; another seed gives others."""
+    rng = Random(seed)
+    return [_Page(rng).build() for _ in range(n)]
