@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,45 +15,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share, as set in ``spark.checkpoint.dir``.
 
-    It is read from ``spark.checkpoint.dir``. Only where that is unset (local tests) a
-    temporary folder is made, once a session.
+    Only where that is unset on a local master (in tests) a temporary folder is made, once a
+    session; on a cluster a folder of one machine would lose what the others write.
     """
     found = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.sparkContext.setCheckpointDir(found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
+def _path(spark: SparkSession, path: str):
+    """(file system, path) of a path, in the JVM."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def written(df: DataFrame, path_list: list | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 
     This cuts the lineage: a lost executor costs a re-read, not the work before it. The
-    path is added to ``path_list`` so that the caller can ``forget`` it.
+    path is added to ``path_list`` so that the caller can ``forget`` it; what isn't forgotten
+    is deleted when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if path_list is not None:
         path_list.append(path)
+    files, at = _path(spark, path)
+    files.deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(spark: SparkSession, paths: list) -> None:
     """Deletes tables of ``written`` that nothing reads any more."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
     while paths:
-        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
-        path.getFileSystem(conf).delete(path, True)
+        files, at = _path(spark, paths.pop())
+        files.delete(at, True)
 
 
-def crc_remainder(id_col: str, mod: int):
-    """crc32 of the id as text, mod ``mod``; null where the id is null."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % mod
+def is_held_out(id_col: Column, mod: int, held: int) -> Column:
+    """Whether crc32 of the id as text leaves the remainder ``held``; false for a null id."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % mod == held, F.lit(False))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

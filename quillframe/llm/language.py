@@ -3,8 +3,7 @@
 Features are hashed n-grams of 1 to ``MAX_N`` code points of the lower-cased text; a feature's
 value is its share of the text's n-grams times its inverse document frequency. Weights are fitted
 by follow-the-regularised-leader with elastic-net penalties (per-coordinate steps; L1 leaves most
-weights at zero), on at most about ``PER_LANGUAGE`` labelled texts of each language, chosen by a
-hash of their id. A fifth of these is kept back to choose the temperature that the scores are
+weights at zero), on about ``PER_LANGUAGE`` labelled texts of each language, chosen by a hash. A fifth of these is kept back to choose the temperature that the scores are
 divided by. Executors count the sample's n-grams; only sparse counts reach the driver. Prediction
 is one Arrow pass over whole texts with the weights in the closure (``BUCKETS`` rows at most).
 """
@@ -12,12 +11,11 @@ is one Arrow pass over whole texts with the weights in the closure (``BUCKETS``
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +30,6 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.002, 0.001
 SLICE = 1 << 18
 SLICE_ROWS = 512
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,7 +90,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The most likely language of each text and its calibrated probability."""
-        known = [k for k, t in enumerate(texts) if t and LETTER.search(t)] if self.languages else []
+        known = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))] if self.languages else []
         names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if known:
             p = _softmax(self.logits([texts[k] for k in known]) / self.temperature)
@@ -130,16 +127,12 @@ def _ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int) -> t
 
 
 def sample_counts(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list:
-    """(lang, order, features, counts) of about ``per_language`` texts a language, at most twice as many."""
-    labelled = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    spread = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000))
-    sizes = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}
-    if not sizes:
-        return []
-    chosen = None
-    for lang, n in sorted(sizes.items()):
-        own = (F.col(lang_col) == lang) & (spread < math.ceil(1_000_000 * min(1.0, per_language / n)))
-        chosen = own if chosen is None else chosen | own
+    """(lang, order, features, counts) of about ``per_language`` texts a language, chosen by a hash of id and
+    text, so that rows that share an id are chosen one by one and equal rows count once."""
+    rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("order"), F.col(text_col).cast("string").alias("t"))
+    rows = rows.where("lang is not null and t is not null")
+    share = rows.groupBy("lang").agg(F.ceil(1_000_000 * F.least(F.lit(1.0), per_language / F.count("*"))).alias("share"))
+    picked = rows.join(share, "lang").where(F.pmod("order", F.lit(1_000_000)) < F.col("share")).select("lang", "order", "t").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,11 +147,7 @@ def sample_counts(labelled: DataFrame, id_col: str, text_col: str, lang_col: str
                 names=["lang", "order", "features", "counts"],
             )
 
-    picked = labelled.where(chosen).select(
-        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.lit(7)).alias("order"), F.col(text_col).cast("string").alias("t")
-    )
-    rows = picked.mapInArrow(run, "lang string, order long, features array<int>, counts array<int>")
-    return rows.limit(2 * per_language * len(sizes)).collect()
+    return picked.mapInArrow(run, "lang string, order long, features array<int>, counts array<int>").collect()
 
 
 def fit(
@@ -198,7 +187,7 @@ def identify(
 ) -> DataFrame:
     """For each row: ``id_col``, the columns named in ``keep``, lang_pred and lang_score (0 to 1).
 
-    A text that is null or has no letter gets ``und`` and 0, as does every text where the model
+    A text that is null or has no letter (Unicode L; numbers and signs are none) gets ``und`` and 0, as does every text where the model
     knows no language. Ties go to the language first by name. Repeated rows stay; other columns
     are left out; an empty table gives an empty one.
     """
@@ -219,7 +208,3 @@ def identify(
 
     return docs.select(*columns, F.col(text_col).cast("string").alias("judged text")).mapInArrow(run, schema)
 
-
-def is_training(id_col: Column, mod: int, held: int) -> Column:
-    """Whether crc32 of the id as text leaves another remainder than ``held``."""
-    return F.crc32(id_col.cast("string").cast("binary")) % mod != held

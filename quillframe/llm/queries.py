@@ -11,6 +11,7 @@ from quillframe.llm import (
     decontaminate,
     embedding_dedup,
     html_text,
+    labelled_urls,
     language,
     lm_score,
     secret_scan,
@@ -19,7 +20,7 @@ from quillframe.llm import (
     toxicity,
     url_filter,
 )
-from quillframe.llm.common import table
+from quillframe.llm.common import is_held_out, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and model verdicts on the URLs of all pages."""
-    labelled = spark.createDataFrame(list(url_filter.LABELLED), "url string, label int")
+    labelled = spark.createDataFrame(labelled_urls.urls(), "url string, label int")
     found = url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(labelled))
     return found.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
@@ -84,28 +85,28 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a suffix tree learned from those whose crc32 mod 10 isn't 0."""
-    training = F.coalesce(language.is_training(F.col("doc_id"), 10, 0), F.lit(True))
-    found = lm_score.score(table(spark, sf_dir, "documents"), training)
-    return found.select("doc_id", (~training).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    held_out = is_held_out(F.col("doc_id"), 10, 0)
+    found = lm_score.score(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents, learned from those whose crc32 mod 4 isn't 2."""
     docs = table(spark, sf_dir, "documents")
-    training = language.is_training(F.col("doc_id"), 4, 2)
-    model = language.fit(docs.where(training))
+    held_out = is_held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~held_out))
     return language.identify(docs, model).select(
-        "doc_id", (~training).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from labels whose crc32 mod 5 isn't 0."""
     docs = table(spark, sf_dir, "documents")
-    training = language.is_training(F.col("doc_id"), 5, 0)
-    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(training))
+    held_out = is_held_out(F.col("doc_id"), 5, 0)
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
     return toxicity.score(docs, lexicon).select(
-        "doc_id", (~training).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+        "doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
     )
 
 

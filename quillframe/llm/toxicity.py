@@ -33,15 +33,13 @@ from quillframe.llm.common import written
 
 #: The bound of the training sample, in texts of each class.
 PER_CLASS = 3000
-#: Lengths of word starts that may become entries.
-SHORTEST, LONGEST = 3, 10
+#: Lengths of word starts that may become entries; whole words may be of any length.
+SHORTEST, LONGEST = 3, 16
 #: Share of toxic texts among an entry's texts, were both classes equally frequent.
 EXACTNESS = 0.97
 #: Least likelihood-ratio statistic and least number of toxic texts. The statistic must also reach
 #: twice the logarithm of the number of entries tried, since chance favours some of many.
 MIN_G2, MIN_TEXTS = 12.0, 3
-#: The most entries that a lexicon has: the feature's size, chosen by the statistic.
-MAX_ENTRIES = 400
 #: Harmless phrases around words that are insults elsewhere.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown", "sore loser rule", "pond scum", "soap scum")
 
@@ -153,7 +151,7 @@ def candidates(counts: list[tuple[str, int, int]], all_toxic: int, all_clean: in
                 if f[:n] in good and good[f][3] >= 0.98 * good[f[:n]][3]:
                     longest[f[:n]] = f
     kept = list(dict.fromkeys(longest.get(e, e) for e in kept))
-    best = sorted(kept, key=lambda e: (-good[e][0], e))[: 4 * MAX_ENTRIES]
+    best = sorted(kept, key=lambda e: (-good[e][0], e))
     return {e: max(good[e][1], 0.1) for e in best}
 
 
@@ -161,23 +159,30 @@ def least_g2(tried: int) -> float:
     return max(MIN_G2, 2 * math.log(max(1, tried)))
 
 
-def cover(has: np.ndarray, y: np.ndarray, least: float) -> list[int]:
-    """Columns of ``has`` (text x entry) chosen one by one: each tells most about the texts that no
-    chosen one is in, until none is telling. Entries that only go along with chosen ones stay out."""
+def cover(texts_of: list[np.ndarray], y: np.ndarray, least: float) -> list[int]:
+    """Entries (given the places in ``y`` of the texts that each is in) chosen one by one: each tells
+    most about the texts that no chosen one is in, until none is telling. Entries that only go along
+    with chosen ones stay out."""
     chosen: list[int] = []
     left = np.ones(len(y), bool)
-    while len(chosen) < MAX_ENTRIES and (y[left] == 1).any() and (y[left] == 0).any():
-        toxic, clean = has[left & (y == 1)].sum(0), has[left & (y == 0)].sum(0)
+    open_entries = list(range(len(texts_of)))
+    while (y[left] == 1).any() and (y[left] == 0).any():
         all_toxic, all_clean = int((y[left] == 1).sum()), int((y[left] == 0).sum())
-        g = [
-            _g2(int(t), int(c), all_toxic, all_clean) if t >= MIN_TEXTS and t / all_toxic > c / all_clean else 0.0
-            for t, c in zip(toxic, clean, strict=True)
-        ]
-        best = int(np.argmax(g)) if g else 0
-        if not g or g[best] < least:
+        best, most, still = -1, least, []
+        for k in open_entries:
+            own = texts_of[k][left[texts_of[k]]]
+            t = int(y[own].sum())
+            c = len(own) - t
+            if t < MIN_TEXTS:
+                continue  # nor will it have more later
+            still.append(k)
+            if t / all_toxic > c / all_clean and (g := _g2(t, c, all_toxic, all_clean)) >= most and (best < 0 or g > most):
+                best, most = k, g
+        if best < 0:
             break
         chosen.append(best)
-        left &= ~has[:, best]
+        left[texts_of[best]] = False
+        open_entries = still
     return chosen
 
 
@@ -243,11 +248,13 @@ def fit(
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), batch.column(1)], names=["entries", "y"])
 
     seen = chosen.mapInArrow(entries, "entries array<int>, y int").collect()
-    has = np.zeros((len(seen), len(lexicon.weights)), bool)
+    texts_of: list[list[int]] = [[] for _ in lexicon.weights]
     for k, r in enumerate(seen):
-        has[k, r["entries"]] = True
+        for e in r["entries"]:
+            texts_of[e].append(k)
     names = list(lexicon.weights)
-    chosen_names = {names[k] for k in cover(has, np.array([r["y"] for r in seen]), least_g2(len(counts)))}
+    places = [np.array(x, np.int64) for x in texts_of]
+    chosen_names = {names[k] for k in cover(places, np.array([r["y"] for r in seen]), least_g2(len(counts)))}
     # Entries as weighty as most of the chosen ones stay too: a text may hold them alone.
     weighty = np.quantile([lexicon.weights[e] for e in chosen_names], 0.25) if chosen_names else math.inf
     lexicon.weights = {e: w for e, w in lexicon.weights.items() if e in chosen_names or w >= weighty}
