@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillframe.llm.common import connected_components, written
 from quillframe.llm.simhash import _smallest
@@ -32,7 +33,7 @@ SLACK = 1e-6
 #: Pairs computed again at once.
 SLICE_PAIRS = 1 << 16
 
-PACKED = "label string, dim int, tile int, tiles int, rep binary, n binary, exact binary, q binary, scale binary, error binary"
+PACKED = "label string, dim int, tile int, tiles int, wide boolean, rep binary, n binary, exact binary, q binary, scale binary, error binary"
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,12 +52,13 @@ def unit(exact: np.ndarray) -> np.ndarray:
 
 def _pack(group: pa.Table) -> pa.Table:
     dim = group.column("dim")[0].as_py()
-    exact = group.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
+    exact = group.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
     q, scale, error = quantise(unit(exact))
     out = {c: [group.column(c)[0].as_py()] for c in ("label", "dim", "tile", "tiles")}
+    out["wide"] = [exact.dtype == np.float64]
     out |= {c: [group.column(c).to_numpy().astype(np.int64).tobytes()] for c in ("rep", "n")}
     out |= {"exact": [exact.tobytes()], "q": [q.tobytes()], "scale": [scale.tobytes()], "error": [error.tobytes()]}
-    types = {"label": pa.string(), "dim": pa.int32(), "tile": pa.int32(), "tiles": pa.int32()}
+    types = {"label": pa.string(), "dim": pa.int32(), "tile": pa.int32(), "tiles": pa.int32(), "wide": pa.bool_()}
     return pa.table({c: pa.array(v, types.get(c, pa.binary())) for c, v in out.items()})
 
 
@@ -86,7 +88,7 @@ def tile_links(a: dict, b: dict, same: bool, threshold: float) -> tuple[np.ndarr
 
 def _unpack(row: dict) -> dict:
     dim = row["dim"]
-    kinds = {"rep": np.int64, "n": np.int64, "exact": np.float32, "q": np.int8, "scale": np.float64, "error": np.float64}
+    kinds = {"rep": np.int64, "n": np.int64, "exact": np.float64 if row["wide"] else np.float32, "q": np.int8, "scale": np.float64, "error": np.float64}
     out = {c: np.frombuffer(row[c], kind) for c, kind in kinds.items()}
     return out | {c: out[c].reshape(-1, dim) for c in ("exact", "q")}
 
@@ -120,10 +122,16 @@ def near_duplicates(
     rows that a row links to, copies and repeated rows included. Rows with a null label or vector,
     a null, infinite or NaN component, or only zeros link with nothing and are their own
     component. component_id is the smallest id reachable; ids are integers, and a row with a null
-    id is left out of the links. Other columns are left out.
+    id is left out of the links. Vectors of doubles are compared as doubles; vectors whose two 64-bit
+    hashes are equal count as equal. Other columns are left out.
     """
     label = F.lit("") if label_col is None else F.col(label_col).cast("string")
-    base = vectors.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), F.col(vec_col).cast("array<float>").alias("vec"))
+    # Floats stay floats, half as large; every other kind of number is compared as a double.
+    kind = vectors.schema[vec_col].dataType
+    own = "array<float>" if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else "array<double>"
+    vec = F.col(vec_col).cast(own)
+    # Two hashes stand for a vector where rows find their class again.
+    base = vectors.select(F.col(id_col).cast("long").alias("id"), label.alias("label"), vec.alias("vec"), F.xxhash64(vec).alias("h1"), F.xxhash64(F.lit(1), vec).alias("h2"))
     sound = (
         F.col("id").isNotNull()
         & F.col("label").isNotNull()
@@ -134,8 +142,8 @@ def near_duplicates(
     base = base.withColumn("sound", sound)
     reps = written(
         base.where("sound")
-        .groupBy("label", "vec")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+        .groupBy("label", "h1", "h2")
+        .agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec"))
         .withColumn("dim", F.size("vec"))
     )
     sizes = reps.groupBy("label", "dim").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
@@ -146,7 +154,7 @@ def near_duplicates(
         "*", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi")
     )
     found = written(
-        pairs.select("label", "dim", "tile", "rep", "n", "exact", "q", "scale", "error", "lo", "hi")
+        pairs.select("label", "dim", "tile", "wide", "rep", "n", "exact", "q", "scale", "error", "lo", "hi")
         .groupBy("label", "dim", "lo", "hi")
         .applyInArrow(_compare(threshold), "rep long, links long, root long")
     )
@@ -157,11 +165,12 @@ def near_duplicates(
         .join(roots, F.col("rep") == F.col("vertex"), "left")
         .select(
             F.col("label").alias("label_"),
-            F.col("vec").alias("vec_"),
+            F.col("h1").alias("h1_"),
+            F.col("h2").alias("h2_"),
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
             F.coalesce("root", "rep").alias("component_id"),
         )
     )
-    sound_rows = base.where("sound").join(classes, (F.col("label") == F.col("label_")) & (F.col("vec") == F.col("vec_")))
+    sound_rows = base.where("sound").join(classes, (F.col("label") == F.col("label_")) & (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_")))
     rest = base.where("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return sound_rows.select("id", "n_links", "component_id").unionAll(rest).withColumnRenamed("id", id_col)
