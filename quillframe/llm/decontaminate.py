@@ -11,8 +11,10 @@ a hash collision is no hit.
 Items shorter than ``SPAN`` words are one window each; for every such length that the items
 have, all runs of that many words are joined too.
 
-The documents are read once, and their words never cross a shuffle. The items' fingerprints are
-broadcast if they are at most ``BROADCAST_ROWS`` rows; otherwise the join is Spark's choice.
+The documents are read once, and their words never cross a shuffle. A fingerprint with equal words
+around it is one row, whatever the number of items that have it: hits carry the digest of that set of
+items, and the sets are joined to the rows that have hits at the end. The fingerprints are broadcast if
+they take at most ``BROADCAST_BYTES``; otherwise the join is Spark's choice.
 """
 
 from __future__ import annotations
@@ -20,14 +22,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillframe.llm.common import written
+
 SPAN = 13
 GRAM = 7
 #: A fingerprint is one long: a hash above, and below it how far the place is from the end of
-#: all places, so that the least of equal hashes is the rightmost.
-PLACE_BITS = 27
+#: all places, so that the least of equal hashes is the rightmost. No list has more places than these bits count.
+PLACE_BITS = 31
 LAST_PLACE = (1 << PLACE_BITS) - 1
-#: Rows of at most 2 * SPAN - GRAM words each.
-BROADCAST_ROWS = 200_000
+#: Bytes of the fingerprints' words, and of 64 more for each.
+BROADCAST_BYTES = 64 << 20
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,8 +89,10 @@ def _equal_start(a: Column, b: Column) -> Column:
     return F.when(differs == 0, F.size(same)).otherwise(differs - 1).cast("int")
 
 
-def item_fingerprints(items: DataFrame, item_id_col: str, text_col: str) -> tuple[DataFrame, list[int]]:
-    """One row per fingerprint of an item, and the lengths below ``SPAN`` that items have."""
+def item_fingerprints(items: DataFrame, item_id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, list[int]]:
+    """One row per fingerprint and the words around it, with the digest ``bundle`` of the items that have
+    it; (bundle, items); and the lengths below ``SPAN`` that items have. Items without an id are in no
+    bundle (their windows are hit all the same)."""
     base = _once(
         items.select(F.col(item_id_col).cast("string").alias("item"), F.col(text_col).alias("t")), "words", words_of(F.col("t"))
     ).drop("t")
@@ -103,7 +109,7 @@ def item_fingerprints(items: DataFrame, item_id_col: str, text_col: str) -> tupl
     core, before, after = _around(F.col("words"), F.col("place"), F.col("run"))
     whole = F.col("need") < SPAN
     nothing = F.array().cast("array<string>")
-    return (
+    prints = written(
         rows.select(
             "hash",
             "item",
@@ -112,9 +118,13 @@ def item_fingerprints(items: DataFrame, item_id_col: str, text_col: str) -> tupl
             core.alias("core"),
             F.when(whole, nothing).otherwise(before).alias("before"),
             F.when(whole, nothing).otherwise(after).alias("after"),
-        ).distinct(),
-        short,
+        )
+        .groupBy("hash", "need", "run", "core", "before", "after")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .withColumn("bundle", F.sha2(F.to_json("items"), 256))
     )
+    bundles = prints.select("bundle", "items").distinct()
+    return prints.drop("items"), bundles, short
 
 
 def contamination(
@@ -136,8 +146,9 @@ def contamination(
     nothing; windows of items with a null id are hit but not listed. Repeated ids stay repeated
     rows. Without items, nothing is hit; without rows, nothing is returned.
     """
-    prints, short = item_fingerprints(items, item_id_col, item_text_col)
-    if prints.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    prints, bundles, short = item_fingerprints(items, item_id_col, item_text_col)
+    size = prints.agg(F.sum(64 + F.octet_length(F.concat_ws(" ", "core", "before", "after")))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         prints = F.broadcast(prints)
     own = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep or [])]
     base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), *own, F.col(text_col).alias("t"))
@@ -151,20 +162,20 @@ def contamination(
     found = rows.withColumn("hash_", h).join(prints, F.col("hash_") == F.col("hash"), "left").where("k is null or hash is not null")
     core, before, after = _around(F.col("words"), place, F.col("run"))
     found = found.select(
-        "id", "row", *kept, F.size("words").cast("long").alias("n_words"), "item", "need", "run", place.alias("place"),
+        "id", "row", *kept, F.size("words").cast("long").alias("n_words"), "bundle", "need", "run", place.alias("place"),
         (core == F.col("core")).alias("same"), F.struct(before.alias("x"), F.col("before").alias("y")).alias("left"),
         F.struct(after.alias("x"), F.col("after").alias("y")).alias("right"),
     )
     left, right = _equal_start(F.col("left.x"), F.col("left.y")), _equal_start(F.col("right.x"), F.col("right.y"))
     # A row's own columns stay beside each hit until here; only places go on.
     hit = F.when(F.col("same"), F.struct((F.col("place") - left).alias("first"), (F.col("place") + F.col("run") + right - 1).alias("last")))
-    found = found.select("id", "row", *kept, "n_words", "item", "need", hit.alias("hit"))
+    found = found.select("id", "row", *kept, "n_words", "bundle", "need", hit.alias("hit"))
     long_enough = (F.col("hit.last") - F.col("hit.first") + 1) >= F.col("need")
     found = found.select(
-        "id", "row", *kept, "n_words", F.when(long_enough, F.col("item")).alias("item"), F.when(long_enough, F.col("hit")).alias("hit")
+        "id", "row", *kept, "n_words", F.when(long_enough, F.col("bundle")).alias("bundle"), F.when(long_enough, F.col("hit")).alias("hit")
     )
     per_row = found.groupBy("id", "row", *kept).agg(
-        F.max("n_words").alias("n_words"), F.sort_array(F.collect_set("item")).alias("items"), F.sort_array(F.collect_set("hit")).alias("hits")
+        F.max("n_words").alias("n_words"), F.collect_set("bundle").alias("bundles"), F.sort_array(F.collect_set("hit")).alias("hits")
     )
     covered = F.aggregate(
         "hits",
@@ -175,7 +186,14 @@ def contamination(
         ),
         lambda acc: acc["n"].cast("long"),
     )
-    per_row = per_row.withColumn("n_hit", covered)
+    per_row = written(per_row.withColumn("n_hit", covered))
+    listed = (
+        per_row.select(F.col("row").alias("row_"), F.explode("bundles").alias("bundle"))
+        .join(bundles, "bundle")
+        .groupBy("row_")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    )
+    per_row = per_row.join(listed, F.col("row") == F.col("row_"), "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return per_row.select(
         F.col("id").alias(id_col),
         "n_words",
