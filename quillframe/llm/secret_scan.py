@@ -124,27 +124,39 @@ def spans_of(text: str, by: zstandard.ZstdCompressor, min_novelty: float) -> lis
     found = [(kind, a, b, novelty(text, a, b, by)) for kind, a, b in base_spans(text)]
     lowered = text.lower()
     if any(w in lowered for w in SENSITIVE_WORDS):
-        taken = [(a, b) for _, a, b, _ in found]
+        taken = bytearray(len(text))  # which characters a span covers
+
+        def take(a: int, b: int) -> None:
+            taken[a:b] = b"\x01" * (b - a)
+
+        for _, a, b, _ in found:
+            take(a, b)
         for a, b, first, end in in_context(text):
             own = text[a:b]
-            if (
-                not any(c.isdigit() for c in own)
-                or not any(c.isalpha() for c in own)
-                or any(x < b and a < y for x, y in taken)
-            ):
+            if not any(map(str.isdigit, own)) or not any(map(str.isalpha, own)) or taken.find(1, a, b) >= 0:
                 continue
             new = novelty(text, a, b, by)
             if new >= min_novelty:
                 found.append(("novel", a, b, new))
                 if (a, b) != (first, end):
-                    taken.append((a, b))  # its run isn't reported again
+                    take(a, b)  # its run isn't reported again
                 tail = TAIL.match(text, b)
-                if tail and not any(x < tail.end() and tail.start(1) < y for x, y in taken):
+                if tail and taken.find(1, *tail.span(1)) < 0:
                     found.append(("novel", *tail.span(1), novelty(text, *tail.span(1), by)))
-                    taken.append(tail.span(1))
+                    take(*tail.span(1))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
+def masked(text: str, spans: list[tuple[str, int, int, float]], mark: str) -> str:
+    """``text`` with the spans, joined where they overlap, replaced by ``mark``: each character is copied once."""
+    out, at = [], 0
+    for _, first, end, _ in spans:
+        if first >= at:
+            out += [text[at:first], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 def secrets(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -178,30 +190,23 @@ def secrets(
     return docs.select(*columns, F.col(text_col).cast("string").alias("scanned text")).mapInArrow(run, schema)
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]", **options) -> DataFrame:
+def redacted(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]", min_novelty: float = MIN_NOVELTY, dictionary: bytes = DICTIONARY
+) -> DataFrame:
     """``docs`` with every span (joined where they overlap) of ``text_col`` replaced by ``mark``.
 
-    All rows and columns stay; a null text stays null.
+    All rows and columns stay; a null text stays null; other types of text become strings.
     """
     # Columns get names of their own meanwhile, so that they may have any names.
     columns = docs.columns
-    at = {c: f"c{k}" for k, c in enumerate(columns)}
-    own = docs.select(*(F.col(c).alias(at[c]) for c in columns))
-    found = secrets(own, at[id_col], at[text_col], keep=[at[c] for c in columns if c != id_col], **options)
-    text = F.col(at[text_col])
-    acc = F.aggregate(
-        "spans",
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, x: F.struct(
-            F.when(
-                x["first"] >= acc["at"],
-                F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["first"] - acc["at"]), F.lit(mark)),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-            F.greatest(acc["at"], x["end"]).alias("at"),
-        ),
-    )
-    clean = F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    out = found.withColumn(at[text_col], F.when(F.size("spans") > 0, clean).otherwise(text))
-    return out.select(*(F.col(at[c]).alias(c) for c in columns))
+    text_at = columns.index(text_col)
+    own = docs.select(*(F.col(c).cast("string").alias(f"c{k}") if k == text_at else F.col(c).alias(f"c{k}") for k, c in enumerate(columns)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = compressor(dictionary)
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(text_at)]
+            clean = [masked(t, spans_of(t, by, min_novelty), mark) if t else t for t in texts]
+            yield batch.set_column(text_at, batch.schema.field(text_at), pa.array(clean, batch.schema.field(text_at).type))
+
+    return own.mapInArrow(run, own.schema).toDF(*columns)
