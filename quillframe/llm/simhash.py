@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillframe.llm.common import connected_components, written
+from quillframe.llm.common import connected_components, forget, written
 
 SEED = 42
 NODE_ROWS = 256
@@ -255,13 +255,15 @@ def near_duplicates(
     component of its fingerprint (null if no row with an id has that fingerprint). An empty
     table gives an empty one. Ids are integers.
     """
+    spark, used = docs.sparkSession, []
     fps = written(fingerprints(docs.select(F.col(id_col).cast("long").alias(id_col), text_col), id_col, text_col, shingle))
-    reps = written(fps.groupBy("fp").agg(F.min(id_col).alias("rep")).where("rep is not null"))
+    reps = written(fps.groupBy("fp").agg(F.min(id_col).alias("rep")).where("rep is not null"), used)
     roots = connected_components(links(reps, max_bits))
     classes = reps.join(roots, reps["rep"] == roots["vertex"], "left").select(
         F.col("fp").alias("fp_"), F.coalesce("root", "rep").alias("component_id")
     )
     classes = written(classes)
+    forget(spark, used)
     return fps.join(classes, fps["fp"].eqNullSafe(classes["fp_"]), "left").select(id_col, "fp", "component_id")
 
 
