@@ -174,6 +174,13 @@ def test_embeddings_against_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    """Vectors of doubles that floats can't hold, or can't tell apart."""
+    rows = [(1, [1e300, 0.0], 0), (2, [1e300, 1e299], 0), (3, [0.93, (1 - 0.93**2) ** 0.5 * (1 - 1e-9)], 1), (4, [0.93, (1 - 0.93**2) ** 0.5 * (1 + 1e-9)], 1), (5, [1.0, 0.0], 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (2, 3), 4: (1, 3), 5: (1, 3)}
+
+
 def test_quantisation_bound_holds():
     rng = np.random.default_rng(7)
     x = embedding_dedup.unit(rng.normal(size=(200, 64)).astype(np.float32))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from test_dedup import components, fingerprint, jaccard, pairs_of
 
 from quillframe.llm import simhash_texts
@@ -59,3 +61,44 @@ def test_texts_of_one_fingerprint_are_all_compared(spark, words):
     links = pairs_of(rows, lambda x, y: jaccard(x, y) >= 0.8)
     assert links == [(1, 2), (3, 4), (5, 6)]
     assert found(spark, rows) == components(range(7), links)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 64])
+def test_components_do_not_depend_on_partitions(spark, words, monkeypatch, partitions):
+    """Groups of copies, hubs and passages, with tiles of few rows, on any number of partitions."""
+    monkeypatch.setattr(simhash_texts, "MEET_ROWS", 40)
+    monkeypatch.setattr(simhash_texts, "BLOCK_ROWS", 3)
+    rng = random.Random(34)
+    texts = []
+    for _ in range(4):
+        base = [rng.choice(words) for _ in range(rng.randint(60, 120))]
+        for _ in range(60):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), rng.randint(0, 4)):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    rows = list(enumerate(texts))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = found(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == components(range(len(rows)), pairs_of(rows, lambda x, y: jaccard(x, y) >= 0.8))
+
+
+def test_cross_pairs_are_all_pairs(monkeypatch):
+    monkeypatch.setattr(simhash_texts, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(simhash_texts, "SLICE_PAIRS", 50)
+    rng = np.random.default_rng(35)
+    for _ in range(30):
+        n_rows = int(rng.integers(1, 90))
+        rows = sorted(zip(rng.integers(0, 4, n_rows).tolist(), rng.integers(1, 30, n_rows).tolist(), rng.integers(0, 5, n_rows).tolist(), strict=True))
+        group, n, root = (np.array(x) for x in zip(*rows, strict=True))
+        group = np.unique(group, return_inverse=True)[1]
+        got = Counter(tuple(sorted(p)) for i, j in simhash_texts.cross_pairs(group, n, root, 0.8) for p in zip(i.tolist(), j.tolist(), strict=True))
+        want = {(i, j) for i in range(n_rows) for j in range(i + 1, n_rows) if group[i] == group[j] and root[i] != root[j] and n[i] >= 0.8 * n[j] - 1e-9}
+        assert set(got) == want and set(got.values()) <= {1}

@@ -69,6 +69,16 @@ def test_stages_bear_odd_rows_and_no_rows(spark, odd_docs, no_docs, bench_dir):
         assert docs.count() == (4 if docs.where("doc_id = 4").count() else 0)
 
 
+def test_rows_that_share_an_id_are_compared_by_text(spark, words, bench_dir):
+    """Different texts of one id stay, equal ones become one, and the least id of a group stays."""
+    rng = random.Random(22)
+    a, b, c = (" ".join(rng.choice(words) for _ in range(80)) for _ in range(3))
+    rows = [(1, a), (1, b), (1, a), (5, c), (3, c + " more"), (None, c), (None, b), (7, b.upper())]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    out = corpus_pipeline.near_duplicates(spark, docs.repartition(4), bench_dir[0]).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted([(1, a), (1, b), (3, c + " more")])
+
+
 def test_no_stages_shape():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontamination", "secret_scans", "pieces"]
 

@@ -6,6 +6,7 @@ import hashlib
 import html
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -14,6 +15,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillframe.llm import labelled_pages, labelled_urls
+from quillframe.llm.common import is_held_out
 from quillframe.llm import decontaminate, html_text, language, lm_score, secret_scan, sentence_pieces, toxicity, url_filter
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -69,7 +72,7 @@ def test_contamination_against_brute_force(spark, words):
 
 
 def test_contamination_joins_when_items_are_many(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     text = " ".join(f"w{k}" for k in range(30))
     got = decontaminate.contamination(
         spark.createDataFrame([(1, f"x {text} y"), (2, "other")], "doc_id long, text string"),
@@ -232,23 +235,66 @@ PAGE = (
 )
 
 
-def test_labelled_pages_are_learned():
-    field = html_text.train()
-    for page, main in html_text.PAGES:
-        found = html_text.blocks(page)
-        labels = field.decode(found)
-        assert [t for (p, t, _), k in zip(found, labels, strict=True) if k] == [
-            t for p, t, _ in found if t in main and not (p[0][0] == "head" or any(x[0] in ("title", "footer") or "ad" in x[1] for x in p))
-        ]
+@pytest.fixture(scope="module")
+def field():
+    return html_text.train()
+
+
+def f1(field, pages):
+    right = wrong = missed = 0
+    for page in pages:
+        found, labels = html_text.main_labels(page)
+        got = field.decode(html_text.blocks(page.replace(labelled_pages.MARK, ""), field.known))
+        assert len(got) == len(found)
+        right += sum(x and y for x, y in zip(labels, got, strict=True))
+        wrong += sum(y and not x for x, y in zip(labels, got, strict=True))
+        missed += sum(x and not y for x, y in zip(labels, got, strict=True))
+    return 2 * right / (2 * right + wrong + missed)
+
+
+def test_pages_of_other_seeds_are_labelled_right(field):
+    assert f1(field, labelled_pages.pages(200, 99)) >= 0.98
+
+
+P1 = "The council said on Friday that the bridge will stay open during the works, and that buses will run as before."
+P2 = "Two lanes are closed at night only. Drivers should plan for some delay, the police added in a short note."
+HEAD = "Bridge stays open"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div><a href=/>Home</a> <a href=/n>News</a></div><div><h1>{HEAD}</h1><div>{P1}</div><div>{P2}</div></div><div>Copyright 2021 Town Paper</div></body>",
+        f"<div class=xq><a href=/>Home</a> <a href=/n>News</a></div><div class=zz><h1>{HEAD}</h1><p>{P1}</p><p>{P2}</p></div>"
+        "<div id='responses'><h3>Responses</h3><p>I think this is a good idea, because the old bridge was too narrow for two buses.</p><p>Never heard of it. What a waste.</p></div>",
+        f"<article><h1>{HEAD}</h1><p>{P1}</p><p>{P2}</p><section id='responses'><p>I think this is a good idea, because the old bridge was too narrow for two buses.</p></section></article>",
+        f"<article><h1>{HEAD}</h1><svg viewBox='0 0'/><p>{P1}</p><svg><text>drawn</text><p>{P2}</p></article><footer>me</footer>",
+        f"<article><h1>{HEAD}</h1><!-- <p>no</p> --><p>{P1}<p title='a > b'>{P2}</article><script>if (a < b) x = '</p>'",
+        f"<article><h1>{HEAD}</h1><p>{P1}<p>{P2}</article><aside><h3>Most read</h3><p>Bakery wins a prize for its bread, as it did last year.</p></aside>",
+    ],
+)
+def test_layouts_that_no_labelled_page_has(field, page):
+    assert field.text(page) == f"{HEAD} {P1} {P2}"
+
+
+@pytest.mark.parametrize("part", ['<div class="c">x', "</b></div>", "<a ", '<a x="', "<blockquote>y", "<li>z", "<table><tr><td>q", "<!-- x", "&amp", "<svg>", "<p>a<span>", "<script>", "<script></script>", "<a x='\">"])
+def test_hostile_pages_take_linear_time(part):
+    def seconds(size):
+        page = part * (size // len(part))
+        began = time.process_time()
+        html_text.blocks(page)
+        return time.process_time() - began
+
+    small = min(seconds(100_000) for _ in range(3))
+    assert seconds(800_000) <= 8 * 3 * small + 0.5
 
 
-def test_viterbi_is_the_best_path():
-    field = html_text.train()
+def test_viterbi_is_the_best_path(field):
     rng = random.Random(12)
     for _ in range(60):
         page = "".join(rng.choice(["<nav>a b</nav>", "<p>Some text that is here.</p>", "<footer>x</footer>", "<div class='ad'>y</div>", "<h2>Z</h2>"]) for _ in range(rng.randint(1, 7)))
         found = html_text.blocks(page)
-        own = [sum(field.weights.get(f, 0.0) for f in (*html_text.path_features(p), *html_text.text_features(t, k, n))) for n, (p, t, k) in enumerate(found)]
+        own = [sum(field.weights.get(f, 0.0) for f in (*b.node.found, *more)) for b, more in zip(found, html_text.features(found), strict=True)]
 
         def value(labels, own=own):
             return sum(s for s, y in zip(own, labels, strict=True) if y) + sum(field.pairs[a][b] for a, b in zip(labels, labels[1:], strict=False))
@@ -257,8 +303,30 @@ def test_viterbi_is_the_best_path():
         assert math.isclose(value(field.decode(found)), max(map(value, every)), abs_tol=1e-9)
 
 
-def test_pages(spark):
-    field = html_text.train()
+def test_gradient_is_the_likelihoods():
+    """One page of two blocks: the fitted pairs and weights beat small changes of each."""
+    def likelihood(field, found, labels):
+        own = [sum(field.weights.get(f, 0.0) for f in (*b.node.found, *more)) for b, more in zip(found, html_text.features(found), strict=True)]
+        value = lambda y: sum(s for s, k in zip(own, y, strict=True) if k) + sum(field.pairs[a][b] for a, b in zip(y, y[1:], strict=False))
+        every = [[m >> k & 1 for k in range(len(found))] for m in range(2 ** len(found))]
+        return value(labels) - math.log(sum(math.exp(value(y)) for y in every))
+
+    pages = [f"<nav>a</nav><p>{labelled_pages.MARK}b c d.</p><p>{labelled_pages.MARK}e f.</p><footer>g</footer>", f"<p>{labelled_pages.MARK}h i</p><nav>j</nav>"]
+    field = html_text.train(pages, steps=3000, rate=0.2, ridge=0.1)
+
+    def total(field):
+        penalty = 0.05 * (sum((20 if f.startswith(("says", "under")) else 1) * w * w for f, w in field.weights.items()) + sum(x * x for row in field.pairs for x in row))
+        return sum(likelihood(field, *html_text.main_labels(p)) for p in pages) - penalty
+
+    best = total(field)
+    for f in list(field.weights)[::3]:
+        for step in (-0.05, 0.05):
+            assert total(html_text.Field(field.weights | {f: field.weights[f] + step}, field.pairs)) < best
+    for step in (-0.05, 0.05):
+        assert total(html_text.Field(field.weights, [[field.pairs[0][0] + step, field.pairs[0][1]], field.pairs[1]])) < best
+
+
+def test_pages(spark, field):
     text = "Title & more First part of it. Next. Second bold part, which is long enough to be taken for text."
     rows = [(1, PAGE.format("")), (2, None), (3, ""), (4, "no tags at all"), (5, PAGE.format("<p>" + "Long words go on. " * 20000 + "</p>")), (1, PAGE.format("")), (6, PAGE.format("<script>if(a<b)'</p>'</script><!-- x -->")), (7, PAGE[: PAGE.index("{}")] + "<p clas")]
     got = [(r["page_id"], r["text"]) for r in html_text.extract(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, html string, text string"), field).collect()]
@@ -277,10 +345,38 @@ def host_path(url):
     return ascii_lower(host), re.match(r"[^?#]*", rest[len(host) :])[0]
 
 
+def plain_score(model, url):
+    """The model's score, n-gram by n-gram."""
+    total, n = 0.0, 0
+    for text, seed in zip(host_path(url), (0x811C9DC5, 0x1000193), strict=True):
+        codes = [ord(c) for c in re.sub("[0-9]", "0", f"^{text}$")]
+        for at in range(len(codes)):
+            h = seed
+            for size, code in enumerate(codes[at : at + max(url_filter.SIZES)], 1):
+                h = (h ^ code) * 0x01000193 & 0xFFFFFFFF
+                h ^= h >> 13
+                if size in url_filter.SIZES:
+                    total += model.weights[(h * 0x9E3779B1 & 0xFFFFFFFF) >> 17]
+                    n += 1
+    return 1 / (1 + math.exp(-(total / math.sqrt(max(1, n)) + model.bias)))
+
+
+#: URLs of words and hosts that the labelled table doesn't have.
+HAND = [
+    ("https://www.royal-slotworld.example/play/jackpots", 1), ("http://hotcamshow.example/adult/live", 1), ("http://onlinepharma-rx24.example/cialis-generic", 1),
+    ("https://getcracks.example/photoshop-keygen", 1), ("http://instant-paydayloans.example/apply", 1), ("http://replicawatchshop.example/rolex-replica", 1),
+    ("http://sexdating.example/hookup", 1), ("http://casino-win.example.com/es/12", 1), ("http://cheap-pills.example.com/fr/54", 1), ("http://m.ads-track.example.com/fr/3", 1),
+    ("https://www.nytimes.example/2020/05/technology/article.html", 0), ("https://en.wikipedia.example/wiki/Essex", 0), ("https://docs.python.example/3/library/os.html", 0),
+    ("https://cityofbath.example/parking", 0), ("https://scunthorpe.example/council", 0), ("https://middlesexhospital.example/wards", 0), ("https://kindergarten.example/de/kinder", 0),
+    ("https://www.ththnt.example.org/en/77", 0), ("https://m.therble.example.net/de/5.html", 0), ("https://blog.tionble.example.org/es/9?page=2", 0),
+]
+
+
 def test_urls(spark):
-    model = url_filter.fit(spark.createDataFrame(list(url_filter.LABELLED), "url string, label int"))
+    labels = dict(labelled_urls.urls(400, 77) + HAND)
+    model = url_filter.fit(spark.createDataFrame(labelled_urls.urls(), "url string, label int"))
     urls = ["http://A.Example.COM/en/7?x", "x://com/en/", "x://acom/en/", "https://m.example.net/de/8#t", "https://m.example.net/de/9", "s://h?x/://", None, "none", "", "a://b://c/d", "http://www.org/es/1", "http://org/es", "http://" + "a" * 5000]
-    urls += [u for u, _ in url_filter.LABELLED]
+    urls += list(labels)
     rows = list(enumerate(urls)) + [(0, urls[0])]
     got = url_filter.judge(spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, host string"), model).collect()
     assert len(got) == len(rows)
@@ -291,9 +387,12 @@ def test_urls(spark):
         rule = max(fits, key=lambda x: len(x[0]), default=(None, None))
         assert r["rule"] == rule[0]
         assert r["verdict"] == (rule[1] or ("block" if r["block_score"] >= url_filter.THRESHOLD else "allow"))
-    labels = dict(url_filter.LABELLED)
-    right = [(r["block_score"] >= url_filter.THRESHOLD) == bool(labels[urls[r["page_id"]]]) for r in got if urls[r["page_id"]] in labels]
-    assert sum(right) == len(labels)
+        assert math.isclose(r["block_score"], plain_score(model, urls[r["page_id"]]), rel_tol=1e-9)
+    judged = {urls[r["page_id"]]: r["block_score"] >= url_filter.THRESHOLD for r in got if urls[r["page_id"]] in labels}
+    blocked = [u for u in labels if judged[u]]
+    assert sum(labels[u] for u in blocked) >= 0.97 * len(blocked)  # precision, then recall
+    assert sum(labels[u] for u in blocked) >= 0.9 * sum(labels.values())
+    assert [u for u, y in HAND if judged[u] != bool(y)] == []
     empty = url_filter.fit(spark.createDataFrame([], "url string, label int"))
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string"), empty).count() == 0
 
@@ -312,10 +411,31 @@ def labelled_docs(words, rng, n):
     return out
 
 
+def plain_grams(text, n):
+    """The bucket of each n-gram of a text."""
+    out = []
+    for at in range(len(text) - n + 1):
+        h = 0x9E3779B9
+        for c in text[at : at + n]:
+            h = (h ^ ord(c)) * 0x85EBCA6B & 0xFFFFFFFF
+            h ^= h >> 15
+        out.append((h * 0xC2B2AE35 & 0xFFFFFFFF) >> 16)
+    return out
+
+
+def test_repeated_ids_don_t_cut_languages(spark, words):
+    """A thousand rows of one id and language leave the sample of the others alone."""
+    rng = random.Random(33)
+    rows = [(1, " ".join(rng.choice(words) for _ in range(9)), "aa") for _ in range(1000)] + [(k, "öß " * 9 + str(k), "bb") for k in range(60)]
+    sample = language.sample_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), "doc_id", "text", "lang", 50)
+    counts = Counter(r["lang"] for r in sample)
+    assert 25 <= counts["aa"] <= 90 and 25 <= counts["bb"] <= 60
+
+
 def test_language(spark, words, odd_docs, no_docs, odd_rows):
     rows = labelled_docs(words, random.Random(13), 300)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
-    training = language.is_training(F.col("doc_id"), 4, 2)
+    training = ~is_held_out(F.col("doc_id"), 4, 2)
     model = language.fit(docs.where(training))
     got = {r["doc_id"]: r for r in language.identify(docs, model).collect()}
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
@@ -326,6 +446,13 @@ def test_language(spark, words, odd_docs, no_docs, odd_rows):
     nothing = language.fit(no_docs)
     assert {r["lang_pred"] for r in language.identify(odd_docs, nothing).collect()} == {"und"}
     assert language.identify(no_docs, model).count() == 0
+    assert model.predict(["½ ² ① Ⅷ 12 _ %", "ª"])[0][0] == "und" != model.predict(["ª"])[0][0]
+    text = "öäü is here"
+    logits = model.bias.copy()
+    grams = [h for n in range(1, language.MAX_N + 1) for h in plain_grams(f" {text}  ", n)[: len(text) + 1]]
+    logits = logits + sum(model.weights[g].astype(float) for g in grams) / len(grams)
+    p = np.exp(logits / model.temperature) / np.exp(logits / model.temperature).sum()
+    assert math.isclose(model.predict([text])[1][0], p.max(), rel_tol=1e-6)
     alone = model.predict(["öäü is here"])
     assert model.predict(["x" * 100, "öäü is here", None])[1][1] == alone[1][0]
 
@@ -333,11 +460,17 @@ def test_language(spark, words, odd_docs, no_docs, odd_rows):
 def test_toxicity(spark, words, odd_docs, no_docs, odd_rows):
     rows = labelled_docs(words, random.Random(14), 500)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
-    training = language.is_training(F.col("doc_id"), 5, 0)
+    training = ~is_held_out(F.col("doc_id"), 5, 0)
     lexicon = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic").where(training), exceptions=("blargh festival",))
     got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(docs, lexicon).collect()}
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
     assert held and all((got[r[0]] >= 0.5) == bool(r[3]) for r in held)
+    for k in (0, 7, 14, 3, 4):  # by hand: one weight a word that begins with an entry or is one
+        folded = toxicity.fold(rows[k][1])
+        found = [max([w for e, w in lexicon.weights.items() if f" {word} ".startswith(e)], default=0.0) for word in folded.split()]
+        weight = sum(found)
+        z = sum(a * b for a, b in zip(lexicon.curve, (1.0, math.log1p(weight), math.log1p(100.0 * weight / max(1, len(found)))), strict=True))
+        assert math.isclose(got[rows[k][0]], 1 / (1 + math.exp(-z)), rel_tol=1e-9)
     automaton = lexicon.automaton()
     assert lexicon.hits(toxicity.fold("a BL4RGH here"), automaton)[0] > 0
     assert lexicon.hits(toxicity.fold("a blаrgh here"), automaton)[0] > 0  # a Cyrillic letter
@@ -352,7 +485,7 @@ def test_language_model(spark, words, odd_docs, no_docs, odd_rows):
     rng = random.Random(15)
     rows = [(k, " ".join(rng.choice(words[: 5 + k % 90]) for _ in range(rng.randint(0, 80)))) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    training = language.is_training(F.col("doc_id"), 10, 0)
+    training = ~is_held_out(F.col("doc_id"), 10, 0)
     got = {r["doc_id"]: r for r in lm_score.score(docs, training).collect()}
     counts = Counter()
     for k, t in rows:
@@ -373,6 +506,59 @@ def test_language_model(spark, words, odd_docs, no_docs, odd_rows):
     assert lm_score.score(no_docs, F.lit(True)).count() == 0
 
 
+def test_tree_scores_against_plain_counts(spark, words):
+    """Every text's score from counts of byte runs in dictionaries, by the definition."""
+    rng = random.Random(18)
+    rows = [(k, " ".join(rng.choice(words[:40]) for _ in range(rng.randint(0, 30)))) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(docs, F.col("doc_id") % 3 != 0).collect()}
+    counts, totals = [Counter() for _ in range(lm_score.DEPTH + 1)], [Counter() for _ in range(lm_score.DEPTH + 1)]
+    texts = {k: lm_score.normalised(t.encode())[1] for k, t in rows}
+    for k, t in texts.items():
+        padded = lm_score.END * lm_score.DEPTH + t
+        for at in range(lm_score.DEPTH, len(padded)) if k % 3 else ():
+            for d in range(lm_score.DEPTH + 1):
+                counts[d][padded[at - d : at + 1]] += 1
+                totals[d][padded[at - d : at]] += 1
+    least = max(lm_score.MIN_COUNT, lm_score.P_MIN * totals[0][b""])
+    root = {s: max(n - lm_score.DISCOUNT, 0) / totals[0][b""] for s, n in counts[0].items()}
+    spare = (1 - sum(root.values())) / 256
+    listed, rests = {}, {}
+
+    def p(run, depth):
+        out = 1.0
+        for d in range(depth, 0, -1):
+            own = run[len(run) - d - 1 :]
+            if own in listed:
+                return out * listed[own]
+            out *= rests.get(own[:-1], 1.0)
+        return out * (root.get(run[-1:], 0.0) + spare)
+
+    for d in range(1, lm_score.DEPTH + 1):
+        new_lists, new_rests = {}, {}
+        children = {}
+        for run, n in counts[d].items():
+            if n >= least:
+                children.setdefault(run[:-1], []).append((run, n))
+        for context, total in totals[d].items():
+            if total < least:
+                continue
+            own = children.get(context, [])
+            rest = 1 - sum((n - lm_score.DISCOUNT) / total for _, n in own)
+            ps = {run: (n - lm_score.DISCOUNT) / total + rest * p(run, d - 1) for run, n in own}
+            gain = sum(n * (math.log(ps[run]) - math.log(p(run, d - 1))) for run, n in own) + (total - sum(n for _, n in own)) * math.log(max(rest, 1e-300))
+            if gain >= lm_score.MIN_GAIN:
+                new_lists |= ps
+                new_rests[context] = rest
+        listed |= new_lists
+        rests |= new_rests
+    assert len(rests) > 100
+    for k, t in texts.items():
+        padded = lm_score.END * lm_score.DEPTH + t
+        want = sum(math.log10(p(padded[at - lm_score.DEPTH : at + 1], lm_score.DEPTH)) for at in range(lm_score.DEPTH, len(padded)))
+        assert math.isclose(got[k], want, rel_tol=1e-6)
+
+
 def test_tree_is_a_distribution():
     """Next-symbol probabilities add up to one in every context."""
     rng = random.Random(16)
