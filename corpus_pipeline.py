@@ -14,27 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.llm import decontaminate, language, secret_scan, sentence_pieces, simhash_texts
-from quillframe.llm.common import table, written
+from quillframe.llm.common import is_held_out, table, written
 
 #: Calibrated probability below which a text counts as of no known language.
 LEAST_LANGUAGE_SCORE = 0.35
 SHINGLE, SIMILARITY = 5, 0.8
 
 
-def _clear_of(docs: DataFrame, taken: str) -> str:
-    """A column name that ``docs`` doesn't have."""
-    while taken in docs.columns:
-        taken += "_"
-    return taken
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no known language: null texts, texts without a letter, and those whose most
     likely language has a probability below ``LEAST_LANGUAGE_SCORE``. Where no row has a label,
     nothing can be learned and only texts without a letter go."""
     text = F.col("text").cast("string")
     docs_with_letters = docs.where(text.rlike(r"\p{L}"))
-    model = language.fit(docs.where(F.coalesce(language.is_training(F.col("doc_id"), 4, 2), F.lit(True))))
+    model = language.fit(docs.where(~is_held_out(F.col("doc_id"), 4, 2)))
     if not model.languages:
         return docs_with_letters
     # The judged columns get names of their own, so that columns of these names may exist.
@@ -47,30 +40,35 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs``, written with a number for every row in ``row`` and its columns under names of their own; those names."""
+    at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return written(docs.select(*(F.col(c).alias(a) for c, a in at.items()), F.monotonically_increasing_id().alias("row"))), at
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row with the smallest id of each group of near duplicates (five-word shingles,
-    similarity 0.8). Of rows that share an id, one stays; rows without an id stay, since nothing
-    can name them."""
-    found = written(simhash_texts.near_duplicates(docs, shingle=SHINGLE, similarity=SIMILARITY))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = written(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
+    """Keeps one row of each group of near duplicates (five-word shingles, similarity 0.8): the one with
+    the smallest doc_id, of several the one whose text is least, of equal ones any. Rows are compared
+    by their texts alone, so different texts under one id (or none) stay, and repeated rows become
+    one; a row without an id stays only if no row with one is in its group."""
+    numbered, at = _numbered(docs)
+    found = written(simhash_texts.near_duplicates(numbered, "row", at["text"], shingle=SHINGLE, similarity=SIMILARITY))
+    # Only groups of several rows need a choice.
+    several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    grouped = found.join(several, "component_id").select("row", "component_id")
+    place = F.struct(F.col(at["doc_id"]).isNull(), F.col(at["doc_id"]), F.sha2(F.coalesce(F.col(at["text"]).cast("string"), F.lit("")), 256), "row")
+    kept = numbered.join(grouped, "row").groupBy("component_id").agg(F.min_by("row", place).alias("row"))
+    gone = grouped.join(kept, ["component_id", "row"], "left_anti").select("row")
+    return numbered.join(gone, "row", "left_anti").select(*(F.col(a).alias(c) for c, a in at.items()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that count as contaminated with the benchmark: a twentieth of their words or
     more lie in 13-word windows of its items."""
-    own = [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
-    at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
-    row = F.monotonically_increasing_id().alias("row")
-    numbered = written(docs.select(*own, row))
+    numbered, at = _numbered(docs)
     found = decontaminate.contamination(numbered, table(spark, sf_dir, "benchmark"), "row", at["text"])
     gone = found.where("contaminated").select("row")
-    return numbered.join(gone, "row", "left_anti").select(*(F.col(at[c]).alias(c) for c in docs.columns))
+    return numbered.join(gone, "row", "left_anti").select(*(F.col(a).alias(c) for c, a in at.items()))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
