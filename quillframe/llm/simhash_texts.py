@@ -6,16 +6,21 @@ beside its whole fingerprint, ``TABLES`` part fingerprints: the SimHash of the `
 that come first in one of as many fixed random orders.
 
 First round, a few pairs a text: (1) the spanning links of the Gray-order index between whole
-fingerprints, and (2) in each table, texts with equal part fingerprints. For (2) rows are
-range-partitioned by part fingerprint and Gray rank of the whole one, so that a large group is
-spread over partitions, and each row meets the one before it and the first of its group there.
+fingerprints, and (2) in each table, texts with equal part fingerprints. For (2) each row meets the
+centre of its group, the member whose part fingerprints most other texts share (of copies edited in
+different places that is the original), and the row before it by Gray rank of the whole fingerprint.
+Groups are aggregated and range-partitioned, never collected; centres don't depend on partitions.
 This only joins what is easily joined, so that copies of copies are not compared pairwise below.
 
 Second round, exact: texts of a similarity of ``t`` or more share one of the first
 ``n - ceil(t n) + 1`` of their ``n`` shingles in any fixed order of all shingles. Texts of different
 components so far that share such shingles, in numbers that leave ``t`` possible, are candidates
 too; none is left out. Shingles that are frequent in a sample come last in the order; the sample
-decides only how many candidates there are.
+decides only how many candidates there are. Shingles of one text or one component are dropped
+first, and then those of texts that have fewer left than any text of the shingle asks for: an edited
+copy's own shingles come first in its order, so copies that are too far from their original share
+too few and are never paired. Pairs of one component aren't even listed, and texts that share a
+shingle are compared in tiles of ``MEET_ROWS`` rows, so that no shingle is one task.
 
 Every candidate pair is tested on the full sets of shingles. Equal texts are collapsed before all this.
 """
@@ -40,6 +45,12 @@ SAMPLE = 3
 ORDER_TEXTS, ORDER_LEAST = 5_000, 5
 #: Pairs that a task makes at once.
 SLICE_PAIRS = 1 << 19
+#: Rows of one shingle that are compared in one task.
+MEET_ROWS = 1 << 13
+#: Rows of one group that a task holds at once.
+HELD_ROWS = 1 << 20
+#: Rows of one shingle and component from which they are compared with the others as a block.
+BLOCK_ROWS = 64
 #: Ids that are broadcast at most, 8 bytes each; more go through a join.
 BROADCAST_IDS = 2_000_000
 #: Odd multipliers, one for each order, from a fixed seed.
@@ -91,19 +102,40 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (table, part, rep) in; (rep before, rep) and (first rep of the group, rep) out."""
-    last = (None, None, None)
-    first = None
+    """Sorted rows (table, part, rep, centre) in; (rep before, rep) and (centre, rep) of each group out."""
+    last = np.zeros((3, 0), np.int64)
     for batch in batches:
-        left, right = [], []
-        for table, part, rep in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if (table, part) == last[:2]:
-                left += [last[2], first] if first != last[2] else [first]
-                right += [rep, rep] if first != last[2] else [rep]
-            else:
-                first = rep
-            last = (table, part, rep)
-        yield _edges(np.array(left, np.int64), np.array(right, np.int64))
+        table, part, rep, centre = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+        if not len(rep):
+            continue
+        own = np.concatenate([last, np.stack([table, part, rep])], axis=1)
+        same = (own[:2, 1:] == own[:2, :-1]).all(axis=0)
+        left = np.r_[own[2, :-1][same], centre]
+        right = np.r_[own[2, 1:][same], rep]
+        apart = left != right
+        yield _edges(left[apart], right[apart])
+        last = own[:, -1:]
+
+
+def meeting_pairs(texts: DataFrame) -> DataFrame:
+    """(a, b) of ``texts`` (rep, fp, parts) with an equal part fingerprint: each with its group's centre and neighbour."""
+    parts = texts.select("rep", gray_rank(F.col("fp")).alias("rank"), F.posexplode("parts").alias("table", "part"))
+    # Groups of one have no pair.
+    groups = written(parts.groupBy("table", "part").agg(F.count("*").alias("n")).where("n > 1"))
+    members = written(parts.join(groups, ["table", "part"]))
+    known = members.groupBy("rep").agg(F.sum("n").alias("known"), F.collect_list(F.struct("table", "part")).alias("own"))  # TABLES at most
+    centres = (
+        known.select("rep", "known", F.explode("own").alias("g"))
+        .groupBy("g.table", "g.part")
+        .agg(F.max_by("rep", F.struct("known", -F.col("rep"))).alias("centre"))
+    )
+    return (
+        members.join(centres, ["table", "part"])
+        .repartitionByRange("table", "part", "rank", "rep")
+        .sortWithinPartitions("table", "part", "rank", "rep")
+        .select(F.col("table").cast("long"), "part", "rep", "centre")
+        .mapInArrow(_neighbours, "a long, b long")
+    )
 
 
 def similar(a: bytes | None, b: bytes | None, shingle: int, least: float) -> bool:
@@ -146,48 +178,136 @@ def prefix(distinct: np.ndarray, share: float, frequent: np.ndarray, counts: np.
     return distinct[np.argsort(weight, kind="stable")[:size]]
 
 
+def _sliced(left: np.ndarray, right: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of left[k] with right[begin[k]:end[k]], ``SLICE_PAIRS`` or so at once."""
+    wide = np.maximum(end - begin, 0)
+    ends = np.cumsum(wide)
+    first = 0
+    while first < len(left):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + SLICE_PAIRS, "right")))
+        k = np.repeat(np.arange(first, last), wide[first:last])
+        yield left[k], right[begin[k] + np.arange(len(k)) - (ends[k] - wide[k] - before)]
+        first = last
+
+
+def _largest(n: np.ndarray, share: float) -> np.ndarray:
+    """The most shingles that a text may have to reach ``share`` with one of ``n``."""
+    return (n / share + 1e-6).astype(np.int64)
+
+
+def _prefix_need(n: np.ndarray, m: np.ndarray, share: float) -> np.ndarray:
+    """How many of their prefix shingles texts of ``n`` and ``m`` shingles share at least, if they are similar."""
+    beyond = np.maximum(_needed(n, share), _needed(m, share)) - 1
+    return np.maximum(1, _needed(n + m, share / (1 + share)) - beyond)
+
+
+def cross_pairs(group: np.ndarray, n: np.ndarray, root: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of all pairs of rows of one group whose sizes allow ``share`` and whose roots differ.
+
+    Rows are sorted by group (0, 1, ...) and n. Up to ``BLOCK_ROWS`` rows of a group and root are
+    paired like any others and sorted out; more are one block, which only meets the other rows.
+    """
+    if not len(n):
+        return
+    wide = int(n.max()) + 1
+    _, owner, many = np.unique(np.stack([group, root]), axis=1, return_inverse=True, return_counts=True)
+    owner = owner.reshape(-1)
+    rest = np.flatnonzero(many[owner] <= BLOCK_ROWS)
+    place = group[rest] * wide
+    end = np.searchsorted(place + n[rest], place + np.minimum(_largest(n[rest], share), wide - 1), "right")
+    for i, j in _sliced(rest, rest, np.arange(1, len(rest) + 1), end):
+        apart = root[i] != root[j]
+        yield i[apart], j[apart]
+    order = np.argsort(owner, kind="stable")
+    ends = np.cumsum(many)
+    earlier: dict[int, list[np.ndarray]] = {}
+    for k in np.flatnonzero(many > BLOCK_ROWS).tolist():
+        own = order[ends[k] - many[k] : ends[k]]
+        g = int(group[own[0]])
+        a, b = np.searchsorted(group[rest], [g, g + 1])
+        blocks = earlier.setdefault(g, [])
+        for others in [rest[a:b], *blocks]:
+            yield from _sliced(others, own, np.searchsorted(n[own], _needed(n[others], share)), np.searchsorted(n[own], _largest(n[others], share), "right"))
+        blocks.append(own)
+
+
 def _meetings(share: float):
-    """Arrow task: rows (h, n, rep, root) sorted by (h, n) in; for each two rows of one h whose sizes
-    allow ``share`` and whose roots differ, (a, b, how many shared prefix shingles the pair needs) out."""
-
-    def pairs(h, n, rep, root, upto: int) -> Iterator[pa.RecordBatch]:
-        """The pairs whose first row is among the ``upto`` first rows."""
-        change = np.r_[True, h[1:] != h[:-1]]
-        group = np.cumsum(change) - 1
-        wide = int(n.max()) + 1
-        end = np.searchsorted(group * wide + n, group * wide + np.minimum((n / share + 1e-6).astype(np.int64), wide - 1), "right")
-        many = (end - np.arange(len(h)) - 1)[:upto]
-        ends = np.cumsum(many)
-        first = 0
-        while first < upto:
-            before = int(ends[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_PAIRS, "right")))
-            i = np.repeat(np.arange(first, last), many[first:last])
-            j = i + 1 + np.arange(len(i)) - np.repeat(ends[first:last] - many[first:last] - before, many[first:last])
-            apart = root[i] != root[j]
-            i, j = i[apart], j[apart]
-            beyond = np.maximum(_needed(n[i], share), _needed(n[j], share)) - 1
-            need = np.maximum(1, _needed(n[i] + n[j], share / (1 + share)) - beyond)
+    """Arrow task: rows (h, lo, hi, tile, n, rep, root) sorted by (h, lo, hi, n) in; for each two rows of
+    one group (of different tiles, if the group has two) whose sizes allow ``share`` and whose roots
+    differ, (a, b, how many shared prefix shingles the pair needs) out."""
+
+    def pairs(group: np.ndarray, rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, lo, hi, tile, n, rep, root = rows
+        for i, j in cross_pairs(group, n, root, share):
+            met = (lo[i] == hi[i]) | (tile[i] != tile[j])
+            i, j = i[met], j[met]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(need)], names=["a", "b", "need"]
+                [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(_prefix_need(n[i], n[j], share))],
+                names=["a", "b", "need"],
             )
-            first = last
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64)] * 4
-        for batch in batches:
-            both = [np.concatenate([r, batch.column(k).to_numpy(zero_copy_only=False)]) for k, r in enumerate(rest)]
-            if not len(both[0]):
-                continue
-            change = np.flatnonzero(both[0][1:] != both[0][:-1]) + 1
-            last = int(change[-1]) if len(change) else 0  # the last group may go on in the next batch
-            if last:
-                yield from pairs(*(x[:last] for x in both), last)
-            rest = [x[last:] for x in both]
-        if len(rest[0]):
-            yield from pairs(*rest, len(rest[0]))
+    def several(rows: list[np.ndarray], first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        group = np.zeros(len(rows[0]), np.int64)
+        group[first[1:]] = 1
+        yield from pairs(np.cumsum(group), rows)
 
-    return run
+    return lambda batches: _by_group(batches, 7, 3, several)
+
+
+def _by_group(batches: Iterator[pa.RecordBatch], columns: int, keys: int, of_groups) -> Iterator[pa.RecordBatch]:
+    """``of_groups(rows, first)`` of sorted long rows, in parts of whole groups (equal first ``keys`` columns);
+    ``first`` says where each begins. A group of more than ``HELD_ROWS`` rows is cut."""
+    rest = [np.zeros(0, np.int64)] * columns
+    for batch in batches:
+        rows = [np.concatenate([r, batch.column(k).to_numpy(zero_copy_only=False)]) for k, r in enumerate(rest)]
+        if not len(rows[0]):
+            continue
+        first = np.r_[0, np.flatnonzero(np.any([x[1:] != x[:-1] for x in rows[:keys]], axis=0)) + 1]
+        last = int(first[-1])  # the last group may go on in the next batch
+        if last:
+            yield from of_groups([x[:last] for x in rows], first[:-1])
+        rest = [x[last:] for x in rows]
+        if len(rest[0]) > HELD_ROWS:
+            yield from of_groups(rest, np.zeros(1, np.int64))
+            rest = [x[:0] for x in rest]
+    if len(rest[0]):
+        yield from of_groups(rest, np.zeros(1, np.int64))
+
+
+def _live(share: float):
+    """Arrow task: rows (h, n, rep, root) sorted by h in; those of shingles with several roots out, with the
+    least number of shared prefix shingles that a text of the row's shingle asks of the row's text."""
+
+    def of_groups(rows: list[np.ndarray], first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        h, n, rep, root = rows
+        size = np.diff(np.r_[first, len(h)])
+        cut = size > HELD_ROWS
+        mixed = (np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)) | cut
+        ours = np.repeat(mixed, size)
+        low = np.repeat(np.minimum.reduceat(n, first), size)[ours]
+        high = np.repeat(np.maximum.reduceat(n, first), size)[ours]
+        h, n, rep, root = h[ours], n[ours], rep[ours], root[ours]
+        # The need falls off to both sides of n (but for rounding, by one at most).
+        need = np.minimum(
+            _prefix_need(n, np.maximum(low, _needed(n, share)), share), _prefix_need(n, np.minimum(high, _largest(n, share)), share) - 1
+        )
+        need[np.repeat(cut, size)[ours]] = 1
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, n, rep, root, np.maximum(need, 1))], names=["h", "n", "rep", "root", "need"])
+
+    return lambda batches: _by_group(batches, 4, 1, of_groups)
+
+
+def _tiled(rows: DataFrame) -> DataFrame:
+    """``rows`` (h, n, rep, root) with lo, hi and tile: those of a shingle with up to ``MEET_ROWS`` rows are
+    one group; more are dealt into tiles by id, and each pair of tiles is a group."""
+    hot = written(rows.groupBy("h").agg(F.count("*").alias("rows")).where(F.col("rows") > MEET_ROWS))
+    none = F.lit(0).cast("long")
+    if hot.isEmpty():
+        return rows.select("h", none.alias("lo"), none.alias("hi"), none.alias("tile"), "n", "rep", "root")
+    tiles = F.ceil(F.coalesce("rows", F.lit(1)) / MEET_ROWS)
+    dealt = rows.join(hot, "h", "left").select("*", F.pmod(F.xxhash64("rep"), tiles).alias("tile"), F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("other"))
+    return dealt.select("h", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "n", "rep", "root")
 
 
 def rest_pairs(base: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -218,12 +338,20 @@ def rest_pairs(base: DataFrame, roots: DataFrame, shingle: int, similarity: floa
                     )
                     hashes, sizes, start, held = [], [], k + 1, 0
 
-    return (
+    live = written(
         base.join(roots, F.col("id") == F.col("vertex"), "left")
         .select("id", "t", F.coalesce("root", "id").alias("root"))
         .mapInArrow(run, "h long, n long, rep long, root long")
         .repartition("h")
-        .sortWithinPartitions("h", "n")
+        .sortWithinPartitions("h")
+        .mapInArrow(_live(similarity), "h long, n long, rep long, root long, need long")
+    )
+    enough = live.groupBy("rep").agg(F.count("*").alias("left"), F.min("need").alias("least")).where(F.col("left") >= F.col("least")).select("rep", "left")
+    rows = written(live.join(enough, "rep").where(F.col("need") <= F.col("left")).select("h", "n", "rep", "root"))
+    return (
+        _tiled(rows)
+        .repartition("h", "lo", "hi")
+        .sortWithinPartitions("h", "lo", "hi", "n")
         .mapInArrow(_meetings(similarity), "a long, b long, need long")
         .groupBy("a", "b")
         .agg(F.count("*").alias("shared"), F.min("need").alias("need"))
@@ -269,17 +397,7 @@ def near_duplicates(
     whole = links(texts.groupBy("fp").agg(F.min("rep").alias("rep")))
     by_whole = texts.groupBy("fp").agg(F.min("rep").alias("first"))
     same_whole = texts.join(by_whole, "fp").where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b"))
-    parts = texts.select("rep", gray_rank(F.col("fp")).alias("rank"), F.posexplode("parts").alias("table", "part"))
-    # Groups of one have no pair: what is sorted is the rest.
-    shared = written(parts.groupBy("table", "part").agg(F.count("*").alias("n")).where("n > 1").select("table", "part"))
-    meeting = (
-        parts.join(shared, ["table", "part"])
-        .repartitionByRange("table", "part", "rank", "rep")
-        .sortWithinPartitions("table", "part", "rank", "rep")
-        .select("table", "part", "rep")
-        .mapInArrow(_neighbours, "a long, b long")
-    )
-    pairs = whole.unionAll(same_whole).unionAll(meeting)
+    pairs = whole.unionAll(same_whole).unionAll(meeting_pairs(texts))
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
     first = written(_tested(base, pairs, shingle, similarity))
