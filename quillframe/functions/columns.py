@@ -72,6 +72,28 @@ def contract_version(name: Column) -> tuple[Column, Column]:
     return F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")), F.nullif(F.regexp_extract(name, pattern, 2), F.lit(""))
 
 
+def raw_field(raw: Column, path: str) -> Column:
+    """The value at a JSON path (``$.a.b``) of an open object kept as JSON text, as a string; null where the
+    text is no JSON or has no such value."""
+    return F.try_variant_get(F.try_parse_json(raw), path, "string")
+
+
+def canonical_json(raw: Column) -> Column:
+    """An object of string values with its keys sorted; null for other JSON."""
+    entries = F.array_sort(F.map_entries(F.from_json(raw, "map<string,string>", {"mode": "PERMISSIVE"})))
+    return F.to_json(F.map_from_entries(entries))
+
+
+def stamp(c: Column) -> Column:
+    """An ISO 8601 stamp (``...Z``) as a timestamp; null for other text."""
+    return F.try_to_timestamp(c)
+
+
+def iso_stamp(c: Column) -> Column:
+    """A timestamp as an ISO 8601 stamp in UTC, to the second (the session's zone must be UTC)."""
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def digest(*columns: Column) -> Column:
     """sha256 of columns in the order given: each value as text behind its length, nulls apart from empty.
 

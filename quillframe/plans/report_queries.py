@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions import columns as C
-from quillframe.operators import classify, evidence, reports, search
+from quillframe.operators import checks, classify, evidence, reports, search
 from quillframe.plans.lens import ORDER, Lens, with_views
 from quillframe.sources import readers
 
@@ -581,3 +581,34 @@ def page_urls(lens: Lens) -> DataFrame:
     mark = F.when(F.contains("url", F.lit("?")), "&").otherwise("?")
     signed = F.concat("url", mark, F.lit("serviceKey=abc"), F.col("page_id").cast("string"), F.lit("&x=1"))
     return lens.table("pages").select("page_id", C.url_authority(F.col("url")).alias("authority"), C.redact_url(signed).alias("redacted"))
+
+
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.none') AS missing, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'v' || CAST(event_id % 4 AS VARCHAR) END AS nested,
+  '{"a":"1","k":"' || json_extract_string(props, '$.k') || '"}' AS canonical FROM events""", views=False)
+def raw_fields(lens: Lens) -> DataFrame:
+    """Section 2.9, JSON: values of open objects kept as text, and text that is none; canonical form."""
+    props = F.col("props")
+    raw = F.when(F.col("event_id") % 4 == 0, "{no json").otherwise(F.concat(F.lit('{"source": {"raw": "v'), (F.col("event_id") % 4).cast("string"), F.lit('"}}')))
+    both = F.concat(F.lit('{"k":"'), C.raw_field(props, "$.k"), F.lit('","a":"1"}'))
+    return lens.table("events").select(
+        "event_id", C.raw_field(props, "$.k").alias("k"), C.raw_field(props, "$.none").alias("missing"), C.raw_field(raw, "$.source.raw").alias("nested"), C.canonical_json(both).alias("canonical")
+    )
+
+
+@query("""SELECT event_type, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS latest, count(*) FILTER (user_id % 3 <> 0) AS stamped, CAST(max(date_diff('day', TIMESTAMP '2020-01-01', date_trunc('day', ts))) AS BIGINT) AS days
+FROM events GROUP BY 1""", views=False)
+def event_stamps(lens: Lens) -> DataFrame:
+    """Section 2.9, dates: stamps written and read, the latest of each type, days since a date."""
+    rows = lens.table("events").select("event_type", "user_id", C.iso_stamp(F.col("ts")).alias("text"))
+    read = C.stamp(F.when(F.col("user_id") % 3 == 0, "no stamp").otherwise(F.col("text")))
+    days = F.datediff(C.stamp(F.col("text")), F.lit("2020-01-01").cast("date")).cast("long")
+    return rows.groupBy("event_type").agg(F.max("text").alias("latest"), F.count(read).alias("stamped"), F.max(days).alias("days"))
+
+
+@query("SELECT unnest(['dataset_id', 'operation']) AS missing, (SELECT count(*) FROM deps WHERE dataset_id IS NULL) AS nulls")
+def contract_columns(lens: Lens) -> DataFrame:
+    """Columns of the contract that a projection of the operations lacks, found before anything is read."""
+    deps = lens.deps()
+    lacking = checks.unknown_columns(deps.select("dataset_id", "operation"), ["id", "title"])
+    names = F.explode(F.array(*map(F.lit, lacking))).alias("missing")
+    return deps.agg(F.count_if(F.col("dataset_id").isNull()).alias("nulls")).select(names, "nulls")

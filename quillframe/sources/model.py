@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 PARAM = "array<struct<name:string,label:string>>"
-OPERATION = f"struct<name:string,endpoint:string,default_params:map<string,string>,request_params:{PARAM},response_params:{PARAM}>"
+#: ``raw`` is an open object, kept as JSON text (see ``functions.columns.raw_field``).
+SOURCE = "struct<system:string,url:string,raw:string>"
+OPERATION = f"struct<name:string,endpoint:string,default_params:map<string,string>,request_params:{PARAM},response_params:{PARAM},source:{SOURCE}>"
 SPECS = (
     "id string, title string, provider string, organization string, source_category string, priority string, "
     f"source_keywords array<string>, description string, updated_at string, url string, operations array<{OPERATION}>"

@@ -93,7 +93,7 @@ def test_classes_and_adapters(spark):
 
 
 def test_flatten_keeps_specs_without_operations(spark):
-    data = [("a", [("x", "http://h/1", {"k": ""}, [("p", "l")], [("resultCode", "l"), ("y", "l")])]), ("b", []), ("c", None)]
+    data = [("a", [("x", "http://h/1", {"k": ""}, [("p", "l")], [("resultCode", "l"), ("y", "l")], ("s", None, '{"a": {"b": 1}}'))]), ("b", []), ("c", None)]
     specs = spark.createDataFrame(data, f"id string, operations array<{model.OPERATION}>")
     ops = classify.operations(specs)
     assert sorted((r["id"], r["operation"]) for r in ops.collect()) == [("a", "x"), ("b", None), ("c", None)]
@@ -102,6 +102,20 @@ def test_flatten_keeps_specs_without_operations(spark):
     assert rows(ops.where("id = 'a'").select(classify.missing_params(F.col("default_params")))) == [(["k"],)]
 
 
+def test_open_objects_and_stamps(spark, tmp_path):
+    (tmp_path / "specs.json").write_text(json.dumps([{"id": "a", "operations": [{"name": "x", "source": {"system": "s", "raw": {"b": {"c": 2}, "a": [1]}}}]}]))
+    raw = readers.read_specs(spark, str(tmp_path / "specs.json")).select(F.explode("operations").alias("o")).select("o.source.raw")
+    assert rows(raw.select(C.raw_field(F.col("raw"), "$.b.c"), C.raw_field(F.col("raw"), "$.a[0]"), C.raw_field(F.col("raw"), "$.z"))) == [("2", "1", None)]
+    df = spark.createDataFrame([('{"b": "2", "a": "1"}', "2026-06-29T09:22:07Z"), ("no", "soon"), (None, None)], "j string, s string")
+    got = rows(df.select(C.canonical_json(F.col("j")), C.iso_stamp(C.stamp(F.col("s")))))
+    assert got == [('{"a":"1","b":"2"}', "2026-06-29T09:22:07Z"), (None, None), (None, None)]
+
+
+def test_covers_all_in_order(spark):
+    df = spark.createDataFrame([(["b", "a"], ["a", "b"]), (["a", "b"], ["b", "a"]), (["a"], ["a", "b"]), (None, []), (["a"], None)], "files array<string>, listed array<string>")
+    assert [r[0] for r in df.select(C.covers_all(F.col("files"), F.col("listed"))).collect()] == [True, False, False, True, False]
+
+
 def test_dispositions(spark):
     data = [("failed", "http_error", 404, []), ("failed", "probe_timeout", None, []), ("failed", "http_error", 503, []), (None, None, None, ["p"]), ("verified", None, 200, []), (None, None, None, [])]
     df = spark.createDataFrame(data, "s string, r string, h int, m array<string>")
