@@ -48,16 +48,17 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates (five-word shingles, similarity 0.8): the one with
-    the smallest doc_id, of several the one whose text is least, of equal ones any. Rows are compared
+    the smallest doc_id, of several the one whose text has the least hash, of equal ones any. Rows are compared
     by their texts alone, so different texts under one id (or none) stay, and repeated rows become
     one; a row without an id stays only if no row with one is in its group."""
     numbered, at = _numbered(docs)
     found = written(simhash_texts.near_duplicates(numbered, "row", at["text"], shingle=SHINGLE, similarity=SIMILARITY))
-    # Only groups of several rows need a choice.
+    # Only groups of several rows need a choice; texts go no further than their digests.
     several = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
-    grouped = found.join(several, "component_id").select("row", "component_id")
-    place = F.struct(F.col(at["doc_id"]).isNull(), F.col(at["doc_id"]), F.sha2(F.coalesce(F.col(at["text"]).cast("string"), F.lit("")), 256), "row")
-    kept = numbered.join(grouped, "row").groupBy("component_id").agg(F.min_by("row", place).alias("row"))
+    grouped = written(found.join(several, "component_id").select("row", "component_id"))
+    digest = F.xxhash64(F.col(at["text"]).cast("string"))
+    keys = written(numbered.select("row", F.col(at["doc_id"]).isNull().alias("nameless"), F.col(at["doc_id"]).alias("id"), digest.alias("digest")))
+    kept = keys.join(grouped, "row").groupBy("component_id").agg(F.min_by("row", F.struct("nameless", "id", "digest", "row")).alias("row"))
     gone = grouped.join(kept, ["component_id", "row"], "left_anti").select("row")
     return numbered.join(gone, "row", "left_anti").select(*(F.col(a).alias(c) for c, a in at.items()))
 
