@@ -18,13 +18,14 @@ def with_key(df: DataFrame, columns: tuple[str, ...] = EVIDENCE_KEY, prefix: str
     return df.select("*", *(F.coalesce(F.col(c), F.lit("")).alias(f"{prefix}{c}") for c in columns))
 
 
-def latest(evidence: DataFrame, order: list[str], columns: tuple[str, ...] = EVIDENCE_KEY) -> DataFrame:
-    """One row per evidence key: the last by ``order``, which should be total. An aggregate, not a
-    window: each task keeps one row per key, so a key with many rows is no hot partition."""
+def latest(evidence: DataFrame, order: list[str], columns: tuple[str, ...] = EVIDENCE_KEY, keep: list[str] | None = None) -> DataFrame:
+    """One row per evidence key: the last by ``order``, which should be total; of its columns those in
+    ``keep`` (all). An aggregate, not a window: each task keeps one row per key, so a key with many
+    rows is no hot partition."""
     keyed = with_key(evidence, columns)
     keys = [f"k_{c}" for c in columns]
-    best = keyed.groupBy(*keys).agg(F.max_by(F.struct(*evidence.columns), F.struct(*order)).alias("e"))
-    return best.select("e.*")
+    best = keyed.groupBy(*keys).agg(F.max_by(F.struct(*(keep or evidence.columns)), F.struct(*order)).alias("e"))
+    return best.select("e.*") if keep is None else best.select(*keys, "e")
 
 
 def merge_evidence(batches: list[DataFrame], order: str = "verified_at", columns: tuple[str, ...] = EVIDENCE_KEY) -> DataFrame:
@@ -42,10 +43,13 @@ def merged_summary(batches: list[DataFrame], merged: DataFrame, limits: list[int
     return counts.join(read).withColumn("limit", F.lit(sum(limits)).cast("long"))
 
 
-def attach_evidence(deps: DataFrame, evidence: DataFrame, order: list[str], columns: tuple[str, ...] = EVIDENCE_KEY) -> DataFrame:
-    """``deps`` with the evidence of its key as the struct ``evidence`` (null if there is none)."""
-    last = with_key(latest(evidence, order, columns), columns, "e_")
-    last = last.select(*(f"e_{c}" for c in columns), F.struct(*evidence.columns).alias("evidence"))
+def attach_evidence(
+    deps: DataFrame, evidence: DataFrame, order: list[str], columns: tuple[str, ...] = EVIDENCE_KEY, keep: list[str] | None = None
+) -> DataFrame:
+    """``deps`` with the evidence of its key as the struct ``evidence`` (null if there is none), which has
+    the columns in ``keep`` (all): only these are shuffled and joined."""
+    last = latest(evidence, order, columns, keep or evidence.columns)
+    last = last.select(*(F.col(f"k_{c}").alias(f"e_{c}") for c in columns), F.col("e").alias("evidence"))
     keyed = with_key(deps, columns, "d_")
     joined = keyed.join(last, [F.col(f"d_{c}") == F.col(f"e_{c}") for c in columns], "left")
     return joined.select(*deps.columns, "evidence")

@@ -258,7 +258,7 @@ ROUTE_ORDER = ("disposition", "route_host", "dataset_id", "operation")
 
 def routes(deps: DataFrame, probe: DataFrame, order: list[str]) -> DataFrame:
     """Operations that lack an adapter with their probe, disposition and recommended action."""
-    missing = attach_evidence(deps.where(F.col("adapter_status") == "missing"), probe, order)
+    missing = attach_evidence(deps.where(F.col("adapter_status") == "missing"), probe, order, keep=["status", "reason", "http_status"])
     out = missing.withColumn(
         "disposition",
         disposition(F.col("evidence.status"), F.col("evidence.reason"), F.col("evidence.http_status"), F.coalesce("missing_params", F.array().cast("array<string>"))),
@@ -427,7 +427,7 @@ def institution_overview(specs: DataFrame, deps: DataFrame, evidence: DataFrame,
     closed list counts only in the total."""
     org = or_default(F.col("organization"), "Unknown").alias("organization")
     apis = specs.select(org, F.nullif("id", F.lit("")).alias("id")).groupBy("organization").agg(F.count_distinct("id").alias("api_count"))
-    ops = attach_evidence(deps, evidence, order).select(
+    ops = attach_evidence(deps, evidence, order, keep=["status"]).select(
         org,
         F.nullif("dataset_id", F.lit("")).alias("dataset_id"),
         "dependency_class",

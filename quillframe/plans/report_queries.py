@@ -219,7 +219,8 @@ def preflight(lens: Lens) -> DataFrame:
 def operations_with_evidence(lens: Lens) -> DataFrame:
     """J1, W1."""
     deps = lens.deps()
-    out = evidence.attach_evidence(deps, lens.evidence(deps), ORDER)
+    own = deps.select("dataset_id", "operation", "endpoint_host", "dependency_class", "part_key", "supp_key", "price")
+    out = evidence.attach_evidence(own, lens.evidence(deps), ORDER, keep=["status", "reason"])
     return out.select("dataset_id", "operation", "part_key", "supp_key", "price", F.col("evidence").isNotNull().alias("has_evidence"), "evidence.status", "evidence.reason")
 
 
@@ -320,7 +321,7 @@ SELECT organization, {pct("e", "operations")} AS evidence_percent, CAST(ceil(ope
 def evidence_growth(lens: Lens) -> DataFrame:
     """A11 per organization, target 35 %."""
     deps = lens.deps()
-    x = evidence.attach_evidence(deps, lens.evidence(deps), ORDER).groupBy("organization").agg(F.count("*").alias("operations"), F.count("evidence").alias("e"))
+    x = evidence.attach_evidence(deps, lens.evidence(deps), ORDER, keep=["status"]).groupBy("organization").agg(F.count("*").alias("operations"), F.count("evidence").alias("e"))
     return x.select("organization", *evidence.evidence_growth(F.col("operations"), F.col("e"), 35.0))
 
 
