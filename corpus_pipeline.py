@@ -19,6 +19,8 @@ from quillframe.llm.common import is_held_out, table, written
 #: Calibrated probability below which a text counts as of no known language.
 LEAST_LANGUAGE_SCORE = 0.35
 SHINGLE, SIMILARITY = 5, 0.8
+#: Row numbers that are broadcast at most, 8 bytes each.
+BROADCAST_ROWS = 2_000_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +48,15 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return written(docs.select(*(F.col(c).alias(a) for c, a in at.items()), F.monotonically_increasing_id().alias("row"))), at
 
 
+def _without(numbered: DataFrame, gone: DataFrame, at: dict[str, str]) -> DataFrame:
+    """``numbered`` but for the rows in ``gone``, under the columns' own names. Up to ``BROADCAST_ROWS`` row
+    numbers are broadcast, so that no text is shuffled; more go through a join."""
+    gone = written(gone.select("row"))
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return numbered.join(gone, "row", "left_anti").select(*(F.col(a).alias(c) for c, a in at.items()))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates (five-word shingles, similarity 0.8): the one with
     the smallest doc_id, of several the one whose text has the least hash, of equal ones any. Rows are compared
@@ -59,8 +70,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     digest = F.xxhash64(F.col(at["text"]).cast("string"))
     keys = written(numbered.select("row", F.col(at["doc_id"]).isNull().alias("nameless"), F.col(at["doc_id"]).alias("id"), digest.alias("digest")))
     kept = keys.join(grouped, "row").groupBy("component_id").agg(F.min_by("row", F.struct("nameless", "id", "digest", "row")).alias("row"))
-    gone = grouped.join(kept, ["component_id", "row"], "left_anti").select("row")
-    return numbered.join(gone, "row", "left_anti").select(*(F.col(a).alias(c) for c, a in at.items()))
+    return _without(numbered, grouped.join(kept, ["component_id", "row"], "left_anti"), at)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +78,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     more lie in 13-word windows of its items."""
     numbered, at = _numbered(docs)
     found = decontaminate.contamination(numbered, table(spark, sf_dir, "benchmark"), "row", at["text"])
-    gone = found.where("contaminated").select("row")
-    return numbered.join(gone, "row", "left_anti").select(*(F.col(a).alias(c) for c, a in at.items()))
+    return _without(numbered, found.where("contaminated"), at)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
