@@ -23,6 +23,8 @@ MAX_N = 3
 BUCKETS = 1 << 16
 #: The bound of the training sample, in texts of each language.
 PER_LANGUAGE = 600
+#: Labels that may be learned; a table with more isn't one of languages, and is refused.
+MAX_LANGUAGES = 1000
 EPOCHS = 4
 #: FTRL: step size, its smoothing, and the penalties on absolute and squared weights.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.002, 0.001
@@ -131,8 +133,13 @@ def sample_counts(labelled: DataFrame, id_col: str, text_col: str, lang_col: str
     text, so that rows that share an id are chosen one by one and equal rows count once."""
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("order"), F.col(text_col).cast("string").alias("t"))
     rows = rows.where("lang is not null and t is not null")
-    share = rows.groupBy("lang").agg(F.ceil(1_000_000 * F.least(F.lit(1.0), per_language / F.count("*"))).alias("share"))
-    picked = rows.join(share, "lang").where(F.pmod("order", F.lit(1_000_000)) < F.col("share")).select("lang", "order", "t").distinct()
+    sizes = sorted(tuple(r) for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return []
+    share = F.create_map(*(F.lit(x) for lang, n in sizes for x in (lang, math.ceil(1_000_000 * min(1.0, per_language / n)))))
+    picked = rows.where(F.pmod("order", F.lit(1_000_000)) < share[F.col("lang")]).select("lang", "order", "t").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
