@@ -233,18 +233,18 @@ def cross_pairs(group: np.ndarray, n: np.ndarray, root: np.ndarray, share: float
 
 
 def _meetings(share: float):
-    """Arrow task: rows (h, lo, hi, tile, n, rep, root) sorted by (h, lo, hi, n) in; for each two rows of
-    one group (of different tiles, if the group has two) whose sizes allow ``share`` and whose roots
-    differ, (a, b, how many shared prefix shingles the pair needs) out."""
+    """Arrow task: rows (h, lo, hi, tile, n, rep, root, left) sorted by (h, lo, hi, n) in; for each two rows of
+    one group (of different tiles, if the group has two) whose sizes allow ``share``, whose roots
+    differ and that both have as many shared prefix shingles left as the pair needs, (a, b, that need) out."""
 
     def pairs(group: np.ndarray, rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, lo, hi, tile, n, rep, root = rows
+        _, lo, hi, tile, n, rep, root, left = rows
         for i, j in cross_pairs(group, n, root, share):
-            met = (lo[i] == hi[i]) | (tile[i] != tile[j])
-            i, j = i[met], j[met]
+            need = _prefix_need(n[i], n[j], share)
+            met = ((lo[i] == hi[i]) | (tile[i] != tile[j])) & (np.minimum(left[i], left[j]) >= need)
+            i, j, need = i[met], j[met], need[met]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(_prefix_need(n[i], n[j], share))],
-                names=["a", "b", "need"],
+                [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(need)], names=["a", "b", "need"]
             )
 
     def several(rows: list[np.ndarray], first: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -252,7 +252,7 @@ def _meetings(share: float):
         group[first[1:]] = 1
         yield from pairs(np.cumsum(group), rows)
 
-    return lambda batches: _by_group(batches, 7, 3, several)
+    return lambda batches: _by_group(batches, 8, 3, several)
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], columns: int, keys: int, of_groups) -> Iterator[pa.RecordBatch]:
@@ -299,15 +299,15 @@ def _live(share: float):
 
 
 def _tiled(rows: DataFrame) -> DataFrame:
-    """``rows`` (h, n, rep, root) with lo, hi and tile: those of a shingle with up to ``MEET_ROWS`` rows are
+    """``rows`` (h, n, rep, root, left) with lo, hi and tile: those of a shingle with up to ``MEET_ROWS`` rows are
     one group; more are dealt into tiles by id, and each pair of tiles is a group."""
     hot = written(rows.groupBy("h").agg(F.count("*").alias("rows")).where(F.col("rows") > MEET_ROWS))
     none = F.lit(0).cast("long")
     if hot.isEmpty():
-        return rows.select("h", none.alias("lo"), none.alias("hi"), none.alias("tile"), "n", "rep", "root")
+        return rows.select("h", none.alias("lo"), none.alias("hi"), none.alias("tile"), "n", "rep", "root", "left")
     tiles = F.ceil(F.coalesce("rows", F.lit(1)) / MEET_ROWS)
     dealt = rows.join(hot, "h", "left").select("*", F.pmod(F.xxhash64("rep"), tiles).alias("tile"), F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("other"))
-    return dealt.select("h", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "n", "rep", "root")
+    return dealt.select("h", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "tile", "n", "rep", "root", "left")
 
 
 def rest_pairs(base: DataFrame, roots: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -347,7 +347,7 @@ def rest_pairs(base: DataFrame, roots: DataFrame, shingle: int, similarity: floa
         .mapInArrow(_live(similarity), "h long, n long, rep long, root long, need long")
     )
     enough = live.groupBy("rep").agg(F.count("*").alias("left"), F.min("need").alias("least")).where(F.col("left") >= F.col("least")).select("rep", "left")
-    rows = written(live.join(enough, "rep").where(F.col("need") <= F.col("left")).select("h", "n", "rep", "root"))
+    rows = written(live.join(enough, "rep").where(F.col("need") <= F.col("left")).select("h", "n", "rep", "root", "left"))
     return (
         _tiled(rows)
         .repartition("h", "lo", "hi")
