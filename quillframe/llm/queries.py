@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.llm import (
+    collocations,
     decontaminate,
     embedding_dedup,
     html_text,
@@ -116,6 +117,11 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language whose words stand together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
 _WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
@@ -138,6 +144,29 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS s(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k AS size, phrase, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 30),
+most AS (SELECT lang, phrase, max(a) AS most FROM (
+           SELECT lang, a, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, size - k + 2)]) AS phrase
+           FROM (SELECT *, unnest(range(2, size)) AS k FROM c)) GROUP BY ALL),
+left_over AS (SELECT c.* FROM c LEFT JOIN most USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+         FROM (SELECT *, unnest(range(1, size)) AS k FROM left_over)),
+s AS (SELECT cuts.lang, cuts.phrase, cuts.a, k, x.a AS l, y.a AS r, CAST(2000000 * CAST(cuts.a AS HUGEINT) // (x.a + y.a) AS BIGINT) AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail),
+lowest AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest),
+n AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -151,8 +180,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_decontaminate": op10_decontaminate,
+        "op12_collocations": op12_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontaminate": OP10_SQL}
+    return {"op10_decontaminate": OP10_SQL, "op12_collocations": OP12_SQL}
