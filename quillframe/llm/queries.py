@@ -18,6 +18,7 @@ from quillframe.llm import (
     secret_scan,
     sentence_pieces,
     simhash,
+    spelling,
     toxicity,
     url_filter,
 )
@@ -117,6 +118,11 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent ones that they are one edit away from."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 phrases of each language whose words stand together most."""
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
@@ -146,6 +152,33 @@ FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN it ON d.doc_id = it.doc_
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP11_SQL = rf"""
+WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (
+           SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+         WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (SELECT run, n, [CAST('0x' || x[1:2] AS BIGINT) FOR x IN regexp_extract_all(hex(encode(doc_id || ':' || run)), '..')] AS bytes FROM runs),
+h AS (SELECT run, n, xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+      FROM coded, bits),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM h)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, left(word, i - 1) || '*' || substr(word, i + 1) AS hole, left(word, i - 1) || substr(word, i + 1) AS shorter
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS (SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.hole = y.hole AND x.word <> y.word
+          UNION SELECT cut.word, w.word FROM cut JOIN w ON cut.shorter = w.word
+          UNION SELECT w.word, cut.word FROM cut JOIN w ON cut.shorter = w.word),
+best AS (SELECT a, b, w.n AS b_n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS place
+         FROM pairs JOIN w ON b = word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 5 * n THEN b END AS form, CASE WHEN b_n >= 5 * n THEN b_n END AS form_n
+           FROM w LEFT JOIN best ON a = word AND place = 1),
+chain(word, goal) AS (SELECT word, form FROM formed WHERE form IS NOT NULL
+                    UNION ALL SELECT chain.word, form FROM chain JOIN formed ON goal = formed.word WHERE form IS NOT NULL),
+ends AS (SELECT chain.word, goal AS root FROM chain JOIN formed ON goal = formed.word WHERE form IS NULL)
+SELECT formed.word, form, coalesce(root, formed.word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends ON formed.word = ends.word
+"""
+
 OP12_SQL = rf"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
@@ -180,9 +213,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_decontaminate": op10_decontaminate,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_collocations": op12_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontaminate": OP10_SQL, "op12_collocations": OP12_SQL}
+    return {"op10_decontaminate": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op12_collocations": OP12_SQL}
