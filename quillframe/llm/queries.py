@@ -14,6 +14,7 @@ from quillframe.llm import (
     html_text,
     labelled_urls,
     language,
+    license_scan,
     lm_score,
     secret_scan,
     sentence_pieces,
@@ -128,6 +129,25 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").alias("first_word"),
+        F.array_max("starts").alias("last_word"),
+        joined(F.col("base")).alias("base_labels"),
+        joined(F.concat("base", "found")).alias("labels"),
+        "score",
+    )
+
+
 _WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
@@ -201,6 +221,38 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHE
 """
 
 
+def _sql_values(rows) -> str:
+    """Rows of a VALUES clause."""
+    text = lambda v: f"[{', '.join(map(text, v))}]" if isinstance(v, list) else f"'{v}'" if isinstance(v, str) else str(v)
+    return ", ".join(f"({', '.join(map(text, r))})" for r in rows)
+
+
+#: Every block is held against every template of its class.
+OP13_SQL = rf"""
+WITH phrase(label, p) AS (VALUES {_sql_values((label, p.split()) for p, label in license_scan.PHRASES)}),
+template(t, label, length, need, own) AS (VALUES {_sql_values((t.number, t.label, t.length, t.need, t.words) for t in license_scan.templates())}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+base AS (SELECT r, label, i - 1 AS place FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS i FROM d, phrase WHERE len(w) >= len(p))
+         WHERE w[i:i + len(p) - 1] = p),
+b AS (SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS l FROM base GROUP BY r),
+block AS (SELECT r, length, k, list_distinct(w[k * length // 2 + 1:k * length // 2 + length // 2 * 3]) AS w
+          FROM (SELECT r, w, length, unnest(range(0, (len(w) - 1) // (length // 2) + 1)) AS k FROM d, (SELECT DISTINCT length FROM template) WHERE len(w) > 0)),
+met AS (SELECT *, overlap / len(own) AS share FROM (
+          SELECT r, block.length, k, t, label, need, own, len(list_intersect(block.w, own)) AS overlap FROM block JOIN template ON block.length = template.length)
+        WHERE overlap >= need),
+kept AS (SELECT * FROM met x WHERE NOT EXISTS (
+           SELECT 1 FROM met y WHERE y.r = x.r AND y.length = x.length AND y.k = x.k AND y.label <> x.label
+             AND (len(list_intersect(x.own, y.own)) >= y.need OR len(list_intersect(x.own, y.own)) >= x.need)
+             AND (y.share > x.share OR y.share = x.share AND y.overlap > x.overlap))),
+m AS (SELECT r, max(share) AS share, list(DISTINCT label) AS l FROM kept GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(coalesce(b.l, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.l, []), coalesce(m.l, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN b ON b.r = d.r LEFT JOIN m ON m.r = d.r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -215,8 +267,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontaminate": op10_decontaminate,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_collocations": op12_collocations,
+        "op13_license_scan": op13_license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontaminate": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op12_collocations": OP12_SQL}
+    return {"op10_decontaminate": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op12_collocations": OP12_SQL, "op13_license_scan": OP13_SQL}
