@@ -47,8 +47,6 @@ ORDER_TEXTS, ORDER_LEAST = 5_000, 5
 SLICE_PAIRS = 1 << 19
 #: Rows of one shingle that are compared in one task.
 MEET_ROWS = 1 << 13
-#: Rows of one group that a task holds at once.
-HELD_ROWS = 1 << 20
 #: Rows of one shingle and component from which they are compared with the others as a block.
 BLOCK_ROWS = 64
 #: Ids that are broadcast at most, 8 bytes each; more go through a join.
@@ -257,7 +255,7 @@ def _meetings(share: float):
 
 def _by_group(batches: Iterator[pa.RecordBatch], columns: int, keys: int, of_groups) -> Iterator[pa.RecordBatch]:
     """``of_groups(rows, first)`` of sorted long rows, in parts of whole groups (equal first ``keys`` columns);
-    ``first`` says where each begins. A group of more than ``HELD_ROWS`` rows is cut."""
+    ``first`` says where each begins. Groups are two tiles at most, and never cut."""
     rest = [np.zeros(0, np.int64)] * columns
     for batch in batches:
         rows = [np.concatenate([r, batch.column(k).to_numpy(zero_copy_only=False)]) for k, r in enumerate(rest)]
@@ -268,34 +266,31 @@ def _by_group(batches: Iterator[pa.RecordBatch], columns: int, keys: int, of_gro
         if last:
             yield from of_groups([x[:last] for x in rows], first[:-1])
         rest = [x[last:] for x in rows]
-        if len(rest[0]) > HELD_ROWS:
-            yield from of_groups(rest, np.zeros(1, np.int64))
-            rest = [x[:0] for x in rest]
     if len(rest[0]):
         yield from of_groups(rest, np.zeros(1, np.int64))
 
 
-def _live(share: float):
-    """Arrow task: rows (h, n, rep, root) sorted by h in; those of shingles with several roots out, with the
-    least number of shared prefix shingles that a text of the row's shingle asks of the row's text."""
+def _needs(share: float):
+    """Arrow task: rows (h, n, rep, root, low, high) in; out (h, n, rep, root, need), the least number of shared prefix
+    shingles that a text of ``low`` to ``high`` shingles, as those of the row's shingle have, asks of the row's text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, n, rep, root, low, high = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+            # The need falls off to both sides of n (but for rounding, by one at most).
+            need = np.minimum(
+                _prefix_need(n, np.maximum(low, _needed(n, share)), share), _prefix_need(n, np.minimum(high, _largest(n, share)), share) - 1
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, n, rep, root, np.maximum(need, 1))], names=["h", "n", "rep", "root", "need"])
+
+    return run
 
-    def of_groups(rows: list[np.ndarray], first: np.ndarray) -> Iterator[pa.RecordBatch]:
-        h, n, rep, root = rows
-        size = np.diff(np.r_[first, len(h)])
-        cut = size > HELD_ROWS
-        mixed = (np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)) | cut
-        ours = np.repeat(mixed, size)
-        low = np.repeat(np.minimum.reduceat(n, first), size)[ours]
-        high = np.repeat(np.maximum.reduceat(n, first), size)[ours]
-        h, n, rep, root = h[ours], n[ours], rep[ours], root[ours]
-        # The need falls off to both sides of n (but for rounding, by one at most).
-        need = np.minimum(
-            _prefix_need(n, np.maximum(low, _needed(n, share)), share), _prefix_need(n, np.minimum(high, _largest(n, share)), share) - 1
-        )
-        need[np.repeat(cut, size)[ours]] = 1
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, n, rep, root, np.maximum(need, 1))], names=["h", "n", "rep", "root", "need"])
 
-    return lambda batches: _by_group(batches, 4, 1, of_groups)
+def live_rows(prefixes: DataFrame, share: float) -> DataFrame:
+    """Those of the written ``prefixes`` (h, n, rep, root) whose shingle stands in texts of several roots, with ``need``.
+    What is known of a shingle is an aggregate, so one that stands in any number of texts is no task of its own."""
+    mixed = prefixes.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("low"), F.max("n").alias("high")).where("r0 < r1")
+    return prefixes.join(mixed.select("h", "low", "high"), "h").mapInArrow(_needs(share), "h long, n long, rep long, root long, need long")
 
 
 def _tiled(rows: DataFrame) -> DataFrame:
@@ -338,14 +333,12 @@ def rest_pairs(base: DataFrame, roots: DataFrame, shingle: int, similarity: floa
                     )
                     hashes, sizes, start, held = [], [], k + 1, 0
 
-    live = written(
+    prefixes = written(
         base.join(roots, F.col("id") == F.col("vertex"), "left")
         .select("id", "t", F.coalesce("root", "id").alias("root"))
         .mapInArrow(run, "h long, n long, rep long, root long")
-        .repartition("h")
-        .sortWithinPartitions("h")
-        .mapInArrow(_live(similarity), "h long, n long, rep long, root long, need long")
     )
+    live = written(live_rows(prefixes, similarity))
     enough = live.groupBy("rep").agg(F.count("*").alias("left"), F.min("need").alias("least")).where(F.col("left") >= F.col("least")).select("rep", "left")
     rows = written(live.join(enough, "rep").where(F.col("need") <= F.col("left")).select("h", "n", "rep", "root", "left"))
     return (

@@ -90,6 +90,23 @@ def test_components_do_not_depend_on_partitions(spark, words, monkeypatch, parti
     assert got == components(range(len(rows)), pairs_of(rows, lambda x, y: jaccard(x, y) >= 0.8))
 
 
+def test_live_rows_are_those_of_mixed_shingles(spark):
+    """A shingle in hundreds of texts, others in few, in Arrow batches of three rows: whole groups, with the least of all pairs' needs or less."""
+    rng = random.Random(36)
+    rows = [(h, rng.randint(1, 60), rep, rng.randint(1, 3) if h % 3 else h) for h in range(30) for rep in rng.sample(range(1000), 400 if h == 4 else rng.randint(1, 6))]
+    df = spark.createDataFrame(rows, "h long, n long, rep long, root long").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = {tuple(r)[:4]: r["need"] for r in simhash_texts.live_rows(df, 0.8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    roots = {h: {r[3] for r in rows if r[0] == h} for h in range(30)}
+    assert Counter(got) == Counter({r: got.get(r) for r in rows if len(roots[r[0]]) > 1})
+    for h, n, rep, root in got:
+        sizes = [r[1] for r in rows if r[0] == h and min(n, r[1]) >= 0.8 * max(n, r[1])]
+        assert 1 <= got[h, n, rep, root] <= min(int(simhash_texts._prefix_need(np.array([n]), np.array([m]), 0.8)[0]) for m in sizes)
+
+
 def test_cross_pairs_are_all_pairs(monkeypatch):
     monkeypatch.setattr(simhash_texts, "BLOCK_ROWS", 4)
     monkeypatch.setattr(simhash_texts, "SLICE_PAIRS", 50)
