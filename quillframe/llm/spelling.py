@@ -31,7 +31,7 @@ DAMAGED = 199
 #: A form is this many times as frequent as its variant, at least.
 TIMES = 5
 #: Words from which the cuts are learned, about; words of a cell, about, and of a leaf inside it.
-SAMPLE_WORDS, CELL_WORDS, LEAF_WORDS = 100_000, 8_192, 32
+SAMPLE_WORDS, CELL_WORDS, LEAF_WORDS = 100_000, 8_192, 64
 #: Words that a task counts before it passes them on; bytes of a text from which its runs aren't listed at once; pairs compared at once.
 HELD, LONG_TEXT, SLICE_PAIRS = 500_000, 1 << 22, 1 << 18
 
@@ -91,7 +91,12 @@ def letter_counts(codes: np.ndarray) -> np.ndarray:
     """A point of 90 counts for each row of letters."""
     n, length = codes.shape
     at = np.arange(n)[:, None] * 90 + codes
-    return np.bincount(at.reshape(-1), minlength=n * 90).reshape(n, 90).astype(np.int32)
+    return np.bincount(at.reshape(-1), minlength=n * 90).reshape(n, 90).astype(np.int8 if length < 128 else np.int32)
+
+
+def letter_masks(codes: np.ndarray) -> np.ndarray:
+    """A bit for each letter that a row has (some letters share one), so that an edit changes two bits at most."""
+    return np.bitwise_or.reduce(np.uint64(1) << (codes % 64).astype(np.uint64), axis=1)
 
 
 class KdTree:
@@ -151,6 +156,7 @@ def near_pairs(points: list[str], words: list[str]) -> Iterator[tuple[np.ndarray
         return
     point_codes, word_codes = letters(points), letters(words)
     own, theirs = letter_counts(point_codes), letter_counts(word_codes)
+    point_masks, word_masks = letter_masks(point_codes), letter_masks(word_codes)
     most = 2 if len(words[0]) == len(points[0]) else 1
     tree = KdTree(own, LEAF_WORDS)
     for leaf, rows in tree.near(theirs, most):
@@ -158,7 +164,8 @@ def near_pairs(points: list[str], words: list[str]) -> Iterator[tuple[np.ndarray
         step = max(1, SLICE_PAIRS // len(there))
         for at in range(0, len(rows), step):
             some = rows[at : at + step]
-            i, j = np.repeat(some, len(there)), np.tile(there, len(some))
+            a, b = np.nonzero(np.bitwise_count(word_masks[some][:, None] ^ point_masks[there][None, :]) <= most)
+            i, j = some[a], there[b]
             inside = np.abs(theirs[i] - own[j]).sum(axis=1) <= most
             i, j = i[inside], j[inside]
             found = one_edit(word_codes[i], point_codes[j])
