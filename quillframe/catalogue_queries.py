@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillframe.plans import change_queries, report_queries  # change_queries registers with report_queries
+from quillframe.plans import change_queries, report_queries, snapshot_queries  # all register with report_queries
 
-__all__ = ["change_queries", "oracle_sql", "queries"]
+__all__ = ["change_queries", "oracle_sql", "queries", "snapshot_queries"]
 
 
 def queries() -> dict:

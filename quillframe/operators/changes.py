@@ -50,12 +50,6 @@ def changed_keys(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     return x.join(y, key).where(~F.col("left_value").eqNullSafe(F.col("right_value")))
 
 
-def stale(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Rows by which a regenerated report and a kept one differ, with the side that has them."""
-    actual = actual.select(*expected.columns)
-    return expected.exceptAll(actual).withColumn("side", F.lit("regenerated")).unionAll(actual.exceptAll(expected).withColumn("side", F.lit("kept")))
-
-
 # Error rules
 
 #: Rules that are broadcast at most. A rule catalogue is written by hand; a larger one is refused

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions import columns as C
-from quillframe.operators import changes, checks, evidence, reports, search
+from quillframe.operators import changes, checks, evidence, reports, search, snapshots
 from quillframe.plans.lens import ORDER, Lens
 from quillframe.plans.report_queries import query
 
@@ -57,7 +57,7 @@ def snapshot_changed_sizes(lens: Lens) -> DataFrame:
 def stale_rows(lens: Lens) -> DataFrame:
     """C16."""
     old, new = _snapshots(lens)
-    return changes.stale(old.select("id", "size"), new.select("id", "size"))
+    return snapshots.stale(old.select("id", "size"), new.select("id", "size"))
 
 
 @query("""SELECT p_partkey, len(list_distinct(regexp_extract_all(t, '\\{([^{}]+)\\}', 1))) AS n, array_to_string(list_sort(list_distinct(regexp_extract_all(t, '\\{([^{}]+)\\}', 1))), ',') AS placeholders,
