@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.columns import digest, first_true, has_all, template_placeholders
+from quillframe.functions.grams import GRAM, grams
 
 SERVED_TARGETS = ("dataset-api", "sdk", "mcp")
 #: The kinds of references, and the parts of the contract that a change of each touches.
@@ -75,10 +76,69 @@ def in_scope(result: dict[str, Column], rule: dict[str, Column]) -> Column:
     return out
 
 
-def _field_values(result: dict[str, Column], rule: dict[str, Column]) -> Column:
-    """The values of the field that a rule names; of all fields, if it names none."""
-    named = F.array(F.try_element_at(result["fields"], rule["field"]))
-    return F.when(rule["field"].isNull(), F.map_values(result["fields"])).otherwise(named)
+#: Results from which it is learned how frequent parts of texts are; that decides how fast rules are matched, and nothing else.
+SAMPLE_RESULTS = 10_000
+#: Kinds of rules that look for a part of a text, and the letter of their keys.
+PART_KINDS = {"message_contains": "m", "field_contains": "f"}
+
+
+def _part_keys(letter: str, text: Column, sizes: list[int]) -> Column:
+    """Keys of all parts of a text of the sizes given; size 0 is any text."""
+    none = F.array().cast("array<string>")
+
+    def of_size(q: int) -> Column:
+        if q == 0:
+            return F.when(text.isNotNull(), F.array(F.lit(f"{letter}0 "))).otherwise(none)
+        return F.transform(grams(text, q), lambda g: F.concat(F.lit(f"{letter}{q} "), g))
+
+    return F.concat(none, *map(of_size, sizes))
+
+
+def _result_parts(letter: str, sizes: list[int]) -> Column:
+    """The part keys of a result's message (m) or of all its fields (f); capital letters keep capitals apart."""
+    fold = F.lower if letter.islower() else lambda text: text
+    if letter in "mM":
+        return _part_keys(letter, fold(F.col("message")), sizes)
+    values = F.coalesce(F.map_values("fields"), F.array().cast("array<string>"))
+    return F.flatten(F.transform(values, lambda v: _part_keys(letter, fold(v), sizes)))
+
+
+def _rule_keys(results: DataFrame, rules: DataFrame, kind: Column, rule: dict[str, Column]) -> tuple[DataFrame, Column]:
+    """``rules`` with the one key of each (rule_key), and the array of keys of a result."""
+    exact = F.coalesce(rule["case_sensitive"], F.lit(False))
+    letter = F.create_map(*(F.lit(x) for kv in PART_KINDS.items() for x in kv))[kind]
+    needle = F.when(exact, rule["contains"]).otherwise(F.lower(rule["contains"]))
+    size = F.least(F.length(needle), F.lit(GRAM))
+    parts = rules.where(letter.isNotNull() & needle.isNotNull()).select("rule_rule_id", "rule_row", F.when(exact, F.upper(letter)).otherwise(letter).alias("letter"), size.alias("q"), needle.alias("needle"))
+    used: dict[str, list[int]] = {}
+    for r in parts.select("letter", "q").distinct().collect():  # four letters, four sizes
+        used.setdefault(r["letter"], []).append(r["q"])
+    own = [_result_parts(x, sorted(sizes)) for x, sizes in sorted(used.items())]
+    named = (kind == "field_equals") & rule["field"].isNotNull()
+    other = first_true(
+        (kind == "http_status", F.concat(F.lit("status "), rule["http_status"].cast("string"))),
+        (kind.isin(*REASON_KINDS), F.concat(F.lit("reason "), kind)),
+        (named, F.concat(F.lit("field "), F.lower(rule["value"]), F.lit(" "), rule["field"])),
+        (kind == "field_equals", F.concat(F.lit("value "), F.lower(rule["value"]))),
+        (kind == "unknown", F.lit("any")),
+    )
+    entries = F.map_entries(F.coalesce("fields", F.create_map().cast("map<string,string>")))
+    keys = F.array_compact(
+        F.concat(
+            F.array(F.lit("any"), F.concat(F.lit("status "), F.col("http_status").cast("string")), F.concat(F.lit("reason "), "reason")),
+            F.transform(entries, lambda e: F.concat(F.lit("field "), F.lower(e["value"]), F.lit(" "), e["key"])),
+            F.transform(entries, lambda e: F.concat(F.lit("value "), F.lower(e["value"]))),
+            *own,
+        )
+    )
+    if not used:
+        return rules.withColumn("rule_key", other).where("rule_key is not null"), keys
+    # Of a rule's parts the one that the fewest results of the sample have.
+    every = F.when(F.col("q") == 0, F.array(F.lit(""))).otherwise(first_true(*((F.col("q") == q, grams(F.col("needle"), q)) for q in range(1, GRAM + 1))))
+    spread = parts.select("rule_row", F.explode(F.transform(every, lambda g: F.concat("letter", F.col("q").cast("string"), F.lit(" "), g))).alias("part"))
+    seen = results.limit(SAMPLE_RESULTS).select(F.explode(F.array_distinct(F.concat(*own))).alias("part")).groupBy("part").agg(F.count("*").alias("seen"))
+    rarest = spread.join(seen, "part", "left").groupBy("rule_row").agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "part")).alias("x")).select("rule_row", F.col("x.part").alias("part"))
+    return rules.join(rarest, "rule_row", "left").withColumn("rule_key", F.coalesce(other, "part")).where("rule_key is not null"), keys
 
 
 def match_error_rules(results: DataFrame, rules: DataFrame) -> DataFrame:
@@ -90,42 +150,30 @@ def match_error_rules(results: DataFrame, rules: DataFrame) -> DataFrame:
     classification. A scope that is null or empty admits all. field_equals compares ``value``,
     field_contains and message_contains look for ``contains``; a null one fits nothing.
 
-    Rules on a status, a reason or the value of a named field become keys and are hashed; only
-    rules that look for a part of a text, or name no field, are held against every result.
+    Each rule has one key, and results are hashed by their keys in one pass: a status, a reason, a field's
+    value, or three characters of a text (fewer, where a rule looks for fewer). A rule that looks for
+    a part of a text has the rarest three of it as its key; what meets there is tested in full.
     """
     if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
-    r = rules.select(*(F.col(c).alias(f"rule_{c}") for c in rules.columns))
-    result = {c: F.col(c) for c in (*SCOPES, "http_status", "reason", "message", "fields")}
+    r = rules.select(*(F.col(c).alias(f"rule_{c}") for c in rules.columns)).withColumn("rule_row", F.monotonically_increasing_id())
+    result = {c: F.col(c) for c in (*SCOPES, "message", "fields")}
     rule = {c: F.col(f"rule_{c}") for c in rules.columns}
     kind = rule["kind"]
-    key = first_true(
-        (kind == "http_status", F.concat(F.lit("status "), rule["http_status"].cast("string"))),
-        (kind.isin(*REASON_KINDS), F.concat(F.lit("reason "), kind)),
-        ((kind == "field_equals") & rule["field"].isNotNull(), F.concat(F.lit("field "), F.lower(rule["value"]), F.lit(" "), rule["field"])),
-    )
-    by_key = r.withColumn("rule_key", key).where("rule_key is not null")
-    entries = F.transform(F.map_entries(F.coalesce("fields", F.create_map().cast("map<string,string>"))), lambda e: F.concat(F.lit("field "), F.lower(e["value"]), F.lit(" "), e["key"]))
-    keys = F.array_compact(
-        F.concat(F.array(F.concat(F.lit("status "), F.col("http_status").cast("string")), F.concat(F.lit("reason "), "reason")), entries)
-    )
-    equal = (kind != "field_equals") | (_folded(rule, F.try_element_at(result["fields"], rule["field"])) == _folded(rule, rule["value"]))
-    hashed = results.withColumn("rule_key_", F.explode(F.array_distinct(keys))).join(
-        F.broadcast(by_key), (F.col("rule_key_") == F.col("rule_key")) & in_scope(result, rule) & equal
-    )
-    sought = _folded(rule, F.when(kind == "field_equals", rule["value"]).otherwise(rule["contains"]))
-    values = _field_values(result, rule)
+    keyed, keys = _rule_keys(results, r, kind, rule)
+    fields = F.coalesce(F.map_values(result["fields"]), F.array().cast("array<string>"))
+    values = F.when(rule["field"].isNull(), fields).otherwise(F.array(F.try_element_at(result["fields"], rule["field"])))
+    part = _folded(rule, rule["contains"])
     holds = first_true(
-        (kind == "message_contains", F.contains(_folded(rule, result["message"]), sought)),
-        (kind == "field_contains", F.exists(values, lambda v: F.contains(_folded(rule, v), sought))),
-        (kind == "field_equals", F.exists(values, lambda v: _folded(rule, v) == sought)),
-        (kind == "unknown", F.lit(True)),
-        otherwise=F.lit(False),
+        (kind == "message_contains", F.contains(_folded(rule, result["message"]), part)),
+        (kind == "field_contains", F.exists(values, lambda v: F.contains(_folded(rule, v), part))),
+        (kind == "field_equals", F.exists(values, lambda v: _folded(rule, v) == _folded(rule, rule["value"]))),
+        otherwise=F.lit(True),
+    )
+    met = results.withColumn("rule_key_", F.explode(F.array_distinct(keys))).join(
+        F.broadcast(keyed), (F.col("rule_key_") == F.col("rule_key")) & in_scope(result, rule) & F.coalesce(holds, F.lit(False))
     )
-    looped = r.where(kind.isin("message_contains", "field_contains", "unknown") | (kind == "field_equals") & rule["field"].isNull())
-    scanned = results.join(F.broadcast(looped), in_scope(result, rule) & F.coalesce(holds, F.lit(False)))
-    out = ("result_id", F.col("rule_rule_id").alias("rule_id"), F.col("rule_classification").alias("classification"))
-    return hashed.select(*out).unionAll(scanned.select(*out))
+    return met.select("result_id", F.col("rule_rule_id").alias("rule_id"), F.col("rule_classification").alias("classification"))
 
 
 def unmatched(results: DataFrame, matches: DataFrame) -> DataFrame:

@@ -31,18 +31,23 @@ def search(df: DataFrame, query: str, fields: list[str], limit: int = 0, order_b
 CARD_FIELDS = ("id", "title", "provider", "organization", "source_category", "description")
 
 
+def cards(specs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Cards of specs (with nested ``operations``): ``CARD_FIELDS``, operations_count and callable (some
+    operation is); and the names of those fields that a search looks at."""
+    fields = [c for c in CARD_FIELDS if c in specs.columns]
+    some = F.exists("operations", lambda o: is_callable(dependency_class(o["endpoint"])))
+    out = specs.select(*fields, F.coalesce(F.size("operations"), F.lit(0)).alias("operations_count"), F.coalesce(some, F.lit(False)).alias("callable"))
+    return out.withColumn("operations_count", F.greatest("operations_count", F.lit(0))), fields
+
+
 def search_datasets(specs: DataFrame, query: str, limit: int = 0, **equal: object) -> DataFrame:
-    """Cards of the specs (with nested ``operations``) in which the query occurs and whose columns equal
-    the values given: ``CARD_FIELDS``, operations_count and callable (some operation is);
-    the first ``limit`` by id (0: all)."""
+    """``cards`` of the specs in which the query occurs and whose columns equal the values given; the
+    first ``limit`` by id (0: all)."""
     for column, value in equal.items():
         if value is not None:
             specs = specs.where(F.col(column) == value)
-    fields = [c for c in CARD_FIELDS if c in specs.columns]
-    some = F.exists("operations", lambda o: is_callable(dependency_class(o["endpoint"])))
-    cards = specs.select(*fields, F.coalesce(F.size("operations"), F.lit(0)).alias("operations_count"), F.coalesce(some, F.lit(False)).alias("callable"))
-    cards = cards.withColumn("operations_count", F.greatest("operations_count", F.lit(0)))
-    return search(cards, query, fields, limit, ["id"])
+    found, fields = cards(specs)
+    return search(found, query, fields, limit, ["id"])
 
 
 def credential_leaks(df: DataFrame, column: str) -> DataFrame:

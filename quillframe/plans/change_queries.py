@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions import columns as C
-from quillframe.operators import changes, checks, evidence, reports, search, snapshots
+from quillframe.operators import changes, checks, evidence, reports, search, snapshots, text_index
 from quillframe.plans.lens import ORDER, Lens
 from quillframe.plans.report_queries import query
+from quillframe.sources.shared import scratch_path
 
 # Differences: parts as two snapshots of a registry.
 
@@ -604,6 +605,37 @@ def document_search(lens: Lens) -> DataFrame:
     return search.search(lens.table("documents"), "ThaTion", ["text", "source"]).select("doc_id", "lang", "source")
 
 
+def _indexed(lens: Lens, name: str, query_text: str) -> DataFrame:
+    """``document_search`` of all documents through an index of their trigrams."""
+    path = scratch_path(lens.spark)
+    text_index.write_text_index(lens.table(name), path, "doc_id", ["text", "source"], ["lang", "source"])
+    return text_index.indexed_search(lens.spark, path, query_text).withColumnRenamed("key", "doc_id")
+
+
+@query("SELECT doc_id, lang, source FROM documents WHERE contains(lower(concat_ws(chr(10), text, source)), 'thation')", views=False)
+def indexed_document_search(lens: Lens) -> DataFrame:
+    """P4 by an inverted index of trigrams."""
+    return _indexed(lens, "documents", "ThaTion")
+
+
+@query("SELECT doc_id, lang, source FROM documents WHERE contains(lower(concat_ws(chr(10), text, source)), 'éa')", views=False)
+def indexed_short_search(lens: Lens) -> DataFrame:
+    """P4 by the index, for fewer characters than its trigrams have."""
+    return _indexed(lens, "documents", "Éa")
+
+
+@query("""
+, o AS (SELECT dataset_id, count(*) AS n, bool_or(callable) AS callable FROM deps WHERE dataset_id <> '' GROUP BY 1)
+SELECT id, title, provider, organization, source_category, coalesce(n, 0) AS operations_count, coalesce(callable, false) AS callable FROM specs LEFT JOIN o ON id = dataset_id
+WHERE source_category = '1-URGENT' AND contains(lower(concat_ws(chr(10), id, title, provider, organization, source_category)), 'customer#0000001')""")
+def indexed_dataset_search(lens: Lens) -> DataFrame:
+    """All cards found by the index, and an equality filter."""
+    path = scratch_path(lens.spark)
+    cards, fields = search.cards(lens.nested_specs())
+    text_index.write_text_index(cards, path, "id", fields, [c for c in cards.columns if c != "id"])
+    return text_index.indexed_search(lens.spark, path, "Customer#0000001").where("source_category = '1-URGENT'").withColumnRenamed("key", "id")
+
+
 #: A credential in DuckDB's dialect, written apart from the operator's own pattern.
 _LEAK = "(?i)(servicekey|api-?key|api_key|authkey|access_token|secret|token|password)\\s*(=|:)\\s*([\"'']?)[A-Za-z0-9%+/_.\\-]{8,}"
 
