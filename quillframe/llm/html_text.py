@@ -40,6 +40,8 @@ RAW_TAGS = frozenset(["script", "style", "textarea", "iframe", "noembed", "nofra
 HIDDEN_TAGS = frozenset(["svg", "template"])
 #: Elements that tell which part of a page they are.
 PARTS = frozenset("article aside footer form head header main nav section".split())
+#: Parts whose blocks aren't taken for an article for want of another.
+NO_MAIN = frozenset(["aside", "footer", "form", "nav"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 #: An open paragraph ends when one of these begins.
 ENDS_P = frozenset(
@@ -56,14 +58,20 @@ TAG_STOP = re.compile(r"""[>"']""")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 NAME_WORD = re.compile(r"[a-z]+")
 WORD = re.compile(r"[^\W\d_]+")
-#: Characters of a tag's attributes that are read for its name words.
-MAX_ATTRIBUTES = 4096
+#: Characters of attributes up to which their name words are kept for the next tag like it.
+KEPT_ATTRIBUTES = 4096
+#: How much less likely labels with a main block may be than labels without one.
+DOUBT = 4.5
 #: Characters up to which a text counts as a label, whose words are features.
 LABEL = 30
 
 
-@lru_cache(maxsize=4096)
 def _names(attributes: str) -> tuple[str, ...]:
+    return (_kept_names if len(attributes) <= KEPT_ATTRIBUTES else _kept_names.__wrapped__)(attributes)
+
+
+@lru_cache(maxsize=4096)
+def _kept_names(attributes: str) -> tuple[str, ...]:
     found = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower()
     return tuple(sorted(set(NAME_WORD.findall(found))))
 
@@ -219,7 +227,7 @@ def blocks(page: str, known: frozenset | None = None) -> list[Block]:
         if name == "a":
             links_open = 1
         if name in BLOCK_TAGS or name in HIDDEN_TAGS and page[end - 1] != "/":
-            node = Node(node, name, _names(page[m.end() : min(end, m.end() + MAX_ATTRIBUTES)]), known)
+            node = Node(node, name, _names(page[m.end() : end]), known)
             open_tags[name] += 1
     add(page[at:])
     flush()
@@ -247,6 +255,9 @@ def features(found: list[Block]) -> list[list[str]]:
     for c, b in zip(containers, found, strict=True):
         linked[id(c)] += 2 * b.linked > len(b.text)
     most = max(running.values(), default=0)
+    # What bare blocks, one beside another, stand in.
+    around = [b.node.parent or b.node for b in found]
+    beside = Counter(id(c) for c, x in zip(around, long, strict=True) if x)
     out = []
     under: frozenset[str] = frozenset()
     heading: Node | None = None
@@ -272,6 +283,7 @@ def features(found: list[Block]) -> list[list[str]]:
             f"before {int(k > 0 and long[k - 1])}",
             f"after {int(k + 1 < len(found) and long[k + 1])}",
             f"container {min(here, 3)}",
+            f"beside {min(beside[id(around[k])], 3)}",
             f"richest {int(here == most and most > 0)}",
             f"menu {min(linked[id(containers[k])], 3)}",
             f"begun {int(seen - long[k] > 0)}",
@@ -290,26 +302,49 @@ class Field:
         self.known = frozenset(weights)
 
     def decode(self, found: list[Block]) -> list[int]:
-        """The most likely labels of a page's blocks (Viterbi); of equals, not main."""
+        """The most likely labels of a page's blocks; of equals, not main. Where that leaves no main block, the most likely
+        labels with one are taken, if they are less likely by a factor of e to the ``DOUBT`` at most: a page
+        has an article more often than not."""
         own: dict[frozenset, float] = {}
         get = self.weights.get
-        (stay0, to1), (to0, stay1) = self.pairs
-        zero, one, back = 0.0, 0.0, []
-        for place, (block, more) in enumerate(zip(found, features(found), strict=True)):
+        scores = []
+        for block, more in zip(found, features(found), strict=True):
             path = block.node.found
             if path not in own:
                 own[path] = sum(get(f, 0.0) for f in sorted(path))
-            score = own[path] + sum([get(f, 0.0) for f in more])
+            scores.append(own[path] + sum([get(f, 0.0) for f in more]))
+        labels, best, _ = self._viterbi(scores)
+        if scores and not any(labels):
+            # The best path through main at each place: what leads there and what follows.
+            ahead, behind = self._viterbi(scores)[2], self._viterbi(scores[::-1], back=True)[2][::-1]
+            through = [a + b - x for a, b, x in zip(ahead, behind, scores, strict=True)]
+            able = [k for k, b in enumerate(found) if b.node.part not in NO_MAIN]
+            k = max(able, key=through.__getitem__, default=-1)
+            if k >= 0 and through[k] >= best - DOUBT:
+                labels = self._viterbi(scores, k)[0]
+        return labels
+
+    def _viterbi(self, scores: list[float], main: int = -1, back: bool = False) -> tuple[list[int], float, list[float]]:
+        """Labels, their score, and for each place the score of the best start that is main there. ``main`` is a place
+        that must be main; ``back`` swaps the label pairs, for a page read from its end."""
+        (stay0, to1), (to0, stay1) = self.pairs
+        if back:
+            to0, to1 = to1, to0
+        zero, one, choices, ones = 0.0, 0.0, [], []
+        for place, score in enumerate(scores):
             if not place:
                 zero, one = 0.0, score
-                continue
-            from1_0, from0_1 = one + to0 > zero + stay0, zero + to1 >= one + stay1
-            back.append((from1_0, not from0_1))
-            zero, one = (one + to0 if from1_0 else zero + stay0), (zero + to1 if from0_1 else one + stay1) + score
-        labels = [int(one > zero)] if found else []
-        for pair in reversed(back):
+            else:
+                from1_0, from0_1 = one + to0 > zero + stay0, zero + to1 >= one + stay1
+                choices.append((from1_0, not from0_1))
+                zero, one = (one + to0 if from1_0 else zero + stay0), (zero + to1 if from0_1 else one + stay1) + score
+            if place == main:
+                zero = float("-inf")
+            ones.append(one)
+        labels = [int(one > zero)] if scores else []
+        for pair in reversed(choices):
             labels.append(int(pair[labels[-1]]))
-        return labels[::-1]
+        return labels[::-1], max(zero, one), ones
 
     def text(self, page: str | None) -> str:
         """The main blocks of a page, joined by one space."""

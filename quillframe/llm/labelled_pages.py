@@ -12,7 +12,7 @@ from random import Random
 
 #: A character that no page uses.
 MARK = "\ue000"
-PAGES, SEED = 320, 11
+PAGES, SEED = 480, 11
 
 SENTENCES = {
     "en": [
@@ -143,6 +143,8 @@ class _Page:
             said = f"<p>{self.prose(1, 3)}</p>"
             who = f"<div>{self.rng.choice(['Anna K.', 'jan_82', 'M. Dupont', 'Reader'])}, 12:{self.rng.randint(10, 59)}</div>" if self.rng.random() < 0.6 else ""
             items.append(self.rng.choice(["<div>{}</div>", "<li>{}</li>", '<div class="comment">{}</div>']).format(who + said))
+        if self.rng.random() < 0.3:
+            return f'<div {self.rng.choice(["class", "id"])}="{self.rng.choice(NAMES["comments"])}">{self.rng.choice(["", "<div>"])}{"".join(items)}</div>'
         # A nameless box of comments is told by its heading alone.
         return self.box("comments", f"<{head}>{self.pick(COMMENTS)}</{head}>{''.join(items)}")
 
@@ -188,13 +190,35 @@ class _Page:
             return self.box("content", inner)
         if kind < 0.22:
             return f"<main>{head}{''.join(parts)}</main>"
-        if kind < 0.28:
-            return f"<table><tr><td>{head}{''.join(parts)}</td></tr></table>"
+        if kind < 0.32:
+            menu = f"<td>{self.links(self.rng.randint(2, 6))}</td>" if self.rng.random() < 0.6 else ""
+            return f"<table><tr>{menu}<td>{head}{''.join(parts)}</td></tr></table>"
         return self.box("content", head + "".join(parts))
 
+    def plain_article(self) -> str:
+        """An article without a name: bare blocks below a heading, text parted by line breaks, or a short text in its element."""
+        rng, own = self.rng, self.own
+        head = rng.choice(["", f"<h1>{own(self.pick(TITLES))}</h1>", f"<h2>{own(self.pick(TITLES))}</h2>"])
+        kind = rng.random()
+        if kind < 0.35:
+            tag = rng.choice(["div", "div", "p", "section"])
+            parts = [f"<{tag}>{own(self.prose(1, 4))}</{tag}>" for _ in range(rng.randint(1, 6))]
+            if rng.random() < 0.4:
+                parts.insert(rng.randrange(1, len(parts) + 1), f"<h2>{own(self.pick(TITLES))}</h2>")
+            inner = head + "".join(parts)
+            return rng.choice([inner, f"<div>{inner}</div>", f"<div><div>{inner}</div></div>"])
+        if kind < 0.6:
+            return head + own(rng.choice(["<br><br>", "<br/>\n<br/>", "<br>"]).join(self.prose(1, 4) for _ in range(rng.randint(1, 5)))) + "<hr>"
+        text = own(rng.choice([self.fragment(), self.prose(1, 1), self.prose(1, 3)]))
+        inner = head + rng.choice([text, f"<p>{text}</p>"])
+        tag = rng.choice(["main", "article", "main", "article", "div class='content'", "body"])
+        return f"<{tag}>{inner}</{tag.split()[0]}>"
+
     def build(self) -> str:
         rng = self.rng
-        article = self.article()
+        article = self.article() if rng.random() < 0.7 else self.plain_article()
+        if rng.random() < 0.06:
+            return article
         out = [f"<html><head><title>{self.pick(TITLES)}</title><style>p{{}}</style><script>var a='<p>x</p>';</script></head><body>" if rng.random() < 0.8 else "<body>"]
         if rng.random() < 0.4:
             out.append(self.box("notice", f"<p>{self.other(NOTICES)}</p>" + ("<button>OK</button>" if rng.random() < 0.5 else "")))
