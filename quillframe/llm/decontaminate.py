@@ -11,10 +11,15 @@ a hash collision is no hit.
 Items shorter than ``SPAN`` words are one window each; for every such length that the items
 have, all runs of that many words are joined too.
 
-The documents are read once, and their words never cross a shuffle. A fingerprint with equal words
-around it is one row, whatever the number of items that have it: hits carry the digest of that set of
-items, and the sets are joined to the rows that have hits at the end. The fingerprints are broadcast if
-they take at most ``BROADCAST_BYTES``; otherwise the join is Spark's choice.
+A fingerprint with equal words around it is one row, whatever the number of items that have it:
+hits carry a digest of that set of items (a bundle). Rows of a document with the same bundles share
+one list of items, which is made once for all such documents.
+
+The fingerprints are broadcast if they take at most ``BROADCAST_BYTES``: then the documents are read
+once, and their words never cross a shuffle. Otherwise a first pass sends a hash and a place for each
+fingerprint of a document to where the items' hashes are, and a second sends, for those that
+met, the few words that a window around them can reach: so what is shuffled grows with a
+document's length, and only with it.
 """
 
 from __future__ import annotations
@@ -109,7 +114,8 @@ def item_fingerprints(items: DataFrame, item_id_col: str, text_col: str) -> tupl
     core, before, after = _around(F.col("words"), F.col("place"), F.col("run"))
     whole = F.col("need") < SPAN
     nothing = F.array().cast("array<string>")
-    prints = written(
+    own_columns = ["hash", "need", "run", "core", "before", "after"]
+    each = written(
         rows.select(
             "hash",
             "item",
@@ -118,13 +124,55 @@ def item_fingerprints(items: DataFrame, item_id_col: str, text_col: str) -> tupl
             core.alias("core"),
             F.when(whole, nothing).otherwise(before).alias("before"),
             F.when(whole, nothing).otherwise(after).alias("after"),
-        )
-        .groupBy("hash", "need", "run", "core", "before", "after")
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
-        .withColumn("bundle", F.sha2(F.to_json("items"), 256))
+        ).distinct()
     )
-    bundles = prints.select("bundle", "items").distinct()
-    return prints.drop("items"), bundles, short
+    # The sum of the items' digests names their set, so no fingerprint holds a list of them.
+    sums = [F.sum(F.conv(F.substring(F.sha2("item", 256), 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).cast("string") for k in range(3)]
+    prints = written(each.groupBy(*own_columns).agg(F.concat_ws(" ", F.count("item").cast("string"), *sums).alias("bundle")))
+    named = each.where("item is not null")
+    same = [named[c] == prints[c] for c in own_columns]
+    bundles = written(named.join(prints, same).select("bundle", "item").distinct())
+    return prints, bundles, short
+
+
+def _looked_up(docs: DataFrame, prints: DataFrame, short: list[int], kept: list[str]) -> DataFrame:
+    """Rows of ``docs`` (id, row, kept columns, t) for each fingerprint of theirs that items have, and one without: n_words,
+    k, the words before its place (nearest first) and from there on, and the columns of ``prints``."""
+    reach = SPAN - GRAM
+    h, place = _hash_and_place(F.col("k"))
+    nothing = F.array(F.lit(None).cast("bigint"))
+    # The null that each row begins with matches nothing and keeps rows without hits.
+    if _broadcast_bytes(prints) <= BROADCAST_BYTES:
+        base = _with_fingerprints(_once(docs, "words", words_of(F.col("t"))).drop("t"), short)
+        sides = F.broadcast(prints)
+    else:
+        docs = written(docs)
+        all_places = _with_fingerprints(_once(docs.select("row", "t"), "words", words_of(F.col("t"))).drop("t"), short).select("row", F.explode("kept").alias("k"))
+        met = all_places.withColumn("hash", h).join(prints.select("hash").distinct(), "hash", "left_semi")
+        places = written(met.groupBy(F.col("row").alias("row_")).agg(F.collect_list("k").alias("kept")))  # of one document
+        base = docs.join(places, F.col("row") == F.col("row_"), "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<bigint>")))
+        base = _once(base, "words", words_of(F.col("t"))).drop("t")
+        sides = prints
+    rows = base.select("id", "row", *kept, "words", F.explode(F.concat(nothing, F.col("kept"))).alias("k")).select(
+        "id", "row", *kept, F.size("words").cast("long").alias("n_words"), "k", h.alias("hash_"), place.alias("place"), "words"
+    )
+    if sides is prints:
+        rows = rows.select("*", *(x.alias(c) for x, c in zip(_near(F.col("words"), F.col("place"), max([GRAM, *short]) + reach), ("left_words", "right_words"), strict=True))).drop("words")
+    found = rows.join(sides, F.col("hash_") == F.col("hash"), "left").where("k is null or hash is not null")
+    if sides is not prints:
+        found = found.select("*", *(x.alias(c) for x, c in zip(_near(F.col("words"), F.col("place"), F.col("run") + reach), ("left_words", "right_words"), strict=True))).drop("words")
+    return found
+
+
+def _near(words: Column, place: Column, ahead: Column | int) -> tuple[Column, Column]:
+    """The words before a place, nearest first, and ``ahead`` words from there on."""
+    reach = SPAN - GRAM
+    before = F.reverse(F.slice(words, F.greatest(place - (reach - 1), F.lit(1)), F.least(place, F.lit(reach))))
+    return before, F.slice(words, place + 1, ahead)
+
+
+def _broadcast_bytes(prints: DataFrame) -> int:
+    return prints.agg(F.sum(64 + F.octet_length(F.concat_ws(" ", "core", "before", "after")))).first()[0] or 0
 
 
 def contamination(
@@ -147,23 +195,14 @@ def contamination(
     rows. Without items, nothing is hit; without rows, nothing is returned.
     """
     prints, bundles, short = item_fingerprints(items, item_id_col, item_text_col)
-    size = prints.agg(F.sum(64 + F.octet_length(F.concat_ws(" ", "core", "before", "after")))).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        prints = F.broadcast(prints)
     own = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep or [])]
-    base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), *own, F.col(text_col).alias("t"))
-    base = _with_fingerprints(_once(base, "words", words_of(F.col("t"))).drop("t"), short)
+    base = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), *own, F.col(text_col).cast("string").alias("t"))
     kept = [f"keep_{k}" for k in range(len(own))]
-    # The null that each row begins with matches nothing and keeps rows without hits.
-    rows = base.select(
-        "id", "row", *kept, "words", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), F.col("kept"))).alias("k")
-    )
-    h, place = _hash_and_place(F.col("k"))
-    found = rows.withColumn("hash_", h).join(prints, F.col("hash_") == F.col("hash"), "left").where("k is null or hash is not null")
-    core, before, after = _around(F.col("words"), place, F.col("run"))
+    found = _looked_up(base, prints, short, kept)
+    after = F.slice("right_words", F.col("run") + 1, SPAN - GRAM)
     found = found.select(
-        "id", "row", *kept, F.size("words").cast("long").alias("n_words"), "bundle", "need", "run", place.alias("place"),
-        (core == F.col("core")).alias("same"), F.struct(before.alias("x"), F.col("before").alias("y")).alias("left"),
+        "id", "row", *kept, "n_words", "bundle", "need", "run", "place",
+        (F.slice("right_words", 1, F.col("run")) == F.col("core")).alias("same"), F.struct(F.col("left_words").alias("x"), F.col("before").alias("y")).alias("left"),
         F.struct(after.alias("x"), F.col("after").alias("y")).alias("right"),
     )
     left, right = _equal_start(F.col("left.x"), F.col("left.y")), _equal_start(F.col("right.x"), F.col("right.y"))
@@ -187,13 +226,18 @@ def contamination(
         lambda acc: acc["n"].cast("long"),
     )
     per_row = written(per_row.withColumn("n_hit", covered))
+    # One list of items for all rows that have the same bundles.
+    sets = per_row.where(F.size("bundles") > 0).select(F.array_sort("bundles").alias("bundles")).distinct()
     listed = (
-        per_row.select(F.col("row").alias("row_"), F.explode("bundles").alias("bundle"))
+        sets.select(F.sha2(F.concat_ws(",", "bundles"), 256).alias("set_"), F.explode("bundles").alias("bundle"))
         .join(bundles, "bundle")
-        .groupBy("row_")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        .select("set_", "item")
+        .distinct()
+        .groupBy("set_")
+        .agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    per_row = per_row.join(listed, F.col("row") == F.col("row_"), "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    set_of = F.sha2(F.concat_ws(",", F.array_sort("bundles")), 256)
+    per_row = per_row.withColumn("set", set_of).join(listed, F.col("set") == F.col("set_"), "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return per_row.select(
         F.col("id").alias(id_col),
         "n_words",

@@ -43,7 +43,9 @@ def hits_by_brute_force(text, items):
     return len(words), len(hit), sorted(found)
 
 
-def test_contamination_against_brute_force(spark, words):
+@pytest.mark.parametrize("broadcast_bytes", [decontaminate.BROADCAST_BYTES, -1])
+def test_contamination_against_brute_force(spark, words, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", broadcast_bytes)
     rng = random.Random(8)
 
     def text(n):
@@ -71,6 +73,25 @@ def test_contamination_against_brute_force(spark, words):
     assert decontaminate.contamination(d, i.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_words_shuffled_follow_the_length_of_a_document(spark, monkeypatch):
+    """Without a broadcast, what a text of ten times the words sends is about ten times as much."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    item = " ".join(f"w{k}" for k in range(30))
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+
+    def sent(n):
+        text = " ".join(item if k % 100 == 0 else f"v{k}" for k in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        prints, _, short = decontaminate.item_fingerprints(items, "item_id", "text")
+        base = df.select(F.col("doc_id").alias("id"), F.lit(1).alias("row"), F.col("text").alias("t"))
+        rows = decontaminate._looked_up(base, prints, short, []).where("hash is not null")
+        assert "words" not in rows.columns
+        return rows.agg(F.sum(F.length(F.concat_ws(" ", "left_words", "right_words")))).first()[0], decontaminate.contamination(df, items).first()["n_hit"]
+
+    (few, few_hit), (many, many_hit) = sent(2_000), sent(20_000)
+    assert many_hit == 10 * few_hit == 6000 and many <= 12 * few
+
+
 def test_contamination_joins_when_items_are_many(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     text = " ".join(f"w{k}" for k in range(30))
