@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from quillframe.functions import columns as C
 from quillframe.operators import checks, classify, evidence, reports, search
-from quillframe.plans.lens import ORDER, Lens, with_views
+from quillframe.operators.evidence_store import EvidenceStore
+from quillframe.plans.lens import ORDER, SAME_KEY_SQL, Lens, with_views
 from quillframe.sources import readers
+from quillframe.sources.shared import scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -256,6 +258,31 @@ def merged_evidence_summary(lens: Lens) -> DataFrame:
     return evidence.merged_summary(batches, evidence.merge_evidence(batches), [20, 30])
 
 
+def _store(lens: Lens) -> EvidenceStore:
+    """The batches of ``merged_evidence``, each merged into a store of its own name."""
+    path = scratch_path(lens.spark)
+    store = EvidenceStore(lens.spark, f"evidence_{path.rpartition('-')[2]}", path, buckets=16, parts=8)
+    for k, batch in enumerate(_batches(lens)):
+        store.merge(batch, k)
+    return store
+
+
+@query(_MERGED + "SELECT status, batch, count(*) AS n FROM m WHERE rn = 1 GROUP BY 1, 2")
+def stored_evidence(lens: Lens) -> DataFrame:
+    """U1 in buckets: what is kept after two batches."""
+    return _store(lens).rows().groupBy("status", "batch").agg(F.count("*").alias("n"))
+
+
+@query(_MERGED + f"""SELECT d.dependency_class, count(*) AS operations, count(*) FILTER (e.dataset_id IS NULL) AS uncovered, count(*) FILTER (e.status = 'verified') AS verified
+FROM deps d LEFT JOIN (SELECT * FROM m WHERE rn = 1) e ON {SAME_KEY_SQL} GROUP BY 1""")
+def stored_evidence_use(lens: Lens) -> DataFrame:
+    """J1, J6 against the store: operations by class with and without evidence."""
+    attached = _store(lens).attach(lens.deps(), ["status"])
+    return attached.groupBy("dependency_class").agg(
+        F.count("*").alias("operations"), F.count_if(F.col("evidence").isNull()).alias("uncovered"), F.count_if(F.col("evidence.status") == "verified").alias("verified")
+    )
+
+
 @query("SELECT source_id, count(*) AS specs, count(region) AS with_region FROM (SELECT 'a' AS source_id, NULL AS region FROM specs UNION ALL SELECT 'b', r_name FROM nation JOIN region ON n_regionkey = r_regionkey) GROUP BY 1")
 def united_sources(lens: Lens) -> DataFrame:
     """Two registries with different columns in one release."""
