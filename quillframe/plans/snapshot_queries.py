@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.canonical import nested_digest
-from quillframe.operators import snapshots
+from quillframe.operators import nested_checks, snapshots
 from quillframe.plans.lens import Lens
 from quillframe.plans.report_queries import query
 from quillframe.sources.shared import scratch_path
@@ -97,3 +97,56 @@ def nested_snapshot_diff(lens: Lens) -> DataFrame:
 def nested_snapshot_counts(lens: Lens) -> DataFrame:
     """J4's totals; stable specs are counted, not read."""
     return snapshots.diff_counts(lens.spark, *_indexes(lens), _COLUMNS, buckets=_BUCKETS)
+
+
+# Constraints on nested specs.
+
+_CONSTRAINTS = [
+    ("", "closed", '["id", "title", "provider", "organization", "source_category", "updated_at", "url", "operations"]'),
+    ("title", "required", None),
+    ("organization", "min_length", "1"),
+    ("operations", "required", None),
+    ("operations", "min_items", "2"),
+    ("operations[]", "closed", '["name", "endpoint", "default_params", "request_params", "response_params"]'),
+    ("operations[].name", "min_length", "1"),
+    ("operations[].endpoint", "required", None),
+    ("operations[].endpoint", "matches", "^https?://"),
+    ("operations[].default_params{}", "min_length", "1"),
+    ("operations[].default_params", "closed", '["pageNo", "region"]'),
+    ("operations[].request_params", "min_items", "1"),
+    ("operations[].response_params[].name", "one_of", '["resultCode", "resultMsg", "returnAuthMsg", "errMsg"]'),
+]
+
+
+@query(f"""
+, o AS (SELECT dataset_id AS id, CAST(substr(dataset_id, 3) AS BIGINT) AS k, row_number() OVER (PARTITION BY dataset_id ORDER BY {_FORWARD}) - 1 AS i, * EXCLUDE (dataset_id) FROM raw_deps
+  WHERE dataset_id <> '' AND dataset_id IN (SELECT id FROM specs)),
+n AS (SELECT id, count(*) AS n FROM o GROUP BY 1),
+s AS (SELECT specs.*, CAST(substr(specs.id, 3) AS BIGINT) AS k, n FROM specs LEFT JOIN n USING (id)),
+v AS (
+  SELECT id, 'title' AS path, 'required' AS rule, NULL AS detail FROM s WHERE k % 17 = 0
+  UNION ALL SELECT id, 'organization', 'min_length', '' FROM s WHERE organization = ''
+  UNION ALL SELECT id, 'operations', 'required', NULL FROM s WHERE n IS NULL
+  UNION ALL SELECT id, 'operations', 'min_items', '1' FROM s WHERE n = 1
+  UNION ALL SELECT id, 'operations[' || i || ']', 'closed', 'hint' FROM o WHERE k % 23 = 0
+  UNION ALL SELECT id, 'operations[' || i || '].name', 'min_length', '' FROM o WHERE k % 19 = 0
+  UNION ALL SELECT id, 'operations[' || i || '].endpoint', 'required', NULL FROM o WHERE endpoint IS NULL
+  UNION ALL SELECT id, 'operations[' || i || '].endpoint', 'matches', endpoint FROM o WHERE NOT regexp_matches(endpoint, '^https?://')
+  UNION ALL SELECT id, 'operations[' || i || '].default_params{{region}}', 'min_length', '' FROM o WHERE part_key % 2 = 0
+  UNION ALL SELECT id, 'operations[' || i || '].default_params', 'closed', 'odd' FROM o WHERE k % 13 = 0
+  UNION ALL SELECT id, 'operations[' || i || '].request_params', 'min_items', '0' FROM o WHERE request_params_count = 0
+  UNION ALL SELECT id, 'operations[' || i || '].response_params[0].name', 'one_of', 'total' FROM o WHERE part_key % 5 = 4)
+SELECT id AS row_key, path, rule, detail FROM v""")
+def nested_violations(lens: Lens) -> DataFrame:
+    """C1-C4, C6, C7 at any depth: specs with unnamed operations, fields that the contract doesn't have and the rest that the views hold."""
+    specs = lens.nested_specs()
+    k = F.substring("id", 3, 20).cast("long")
+
+    def odd(op):
+        op = op.withField("name", F.when(k % 19 == 0, F.lit("")).otherwise(op["name"])).withField("hint", F.when(k % 23 == 0, F.lit("a hint")))
+        more = F.map_concat(op["default_params"], F.create_map(F.lit("odd"), F.lit("1")))
+        return op.withField("default_params", F.when(k % 13 == 0, more).otherwise(op["default_params"]))
+
+    changed = specs.withColumns({"title": F.when(k % 17 != 0, F.col("title")), "operations": F.transform("operations", odd)})
+    constraints = lens.spark.createDataFrame(_CONSTRAINTS, "path string, rule string, argument string")
+    return nested_checks.check_nested(changed, F.col("id"), constraints)
