@@ -236,7 +236,8 @@ def contamination(
         .groupBy("set_")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    set_of = F.sha2(F.concat_ws(",", F.array_sort("bundles")), 256)
+    # Rows without a bundle are of no set, and each of its own, so that they aren't dealt to one task.
+    set_of = F.when(F.size("bundles") > 0, F.sha2(F.concat_ws(",", F.array_sort("bundles")), 256)).otherwise(F.col("row").cast("string"))
     per_row = per_row.withColumn("set", set_of).join(listed, F.col("set") == F.col("set_"), "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return per_row.select(
         F.col("id").alias(id_col),
