@@ -109,10 +109,15 @@ def _rule_keys(results: DataFrame, rules: DataFrame, kind: Column, rule: dict[st
     letter = F.create_map(*(F.lit(x) for kv in PART_KINDS.items() for x in kv))[kind]
     needle = F.when(exact, rule["contains"]).otherwise(F.lower(rule["contains"]))
     size = F.least(F.length(needle), F.lit(GRAM))
-    parts = rules.where(letter.isNotNull() & needle.isNotNull()).select("rule_rule_id", "rule_row", F.when(exact, F.upper(letter)).otherwise(letter).alias("letter"), size.alias("q"), needle.alias("needle"))
-    used: dict[str, list[int]] = {}
-    for r in parts.select("letter", "q").distinct().collect():  # four letters, four sizes
-        used.setdefault(r["letter"], []).append(r["q"])
+    every_rule = rules.select("rule_row", F.when(exact, F.upper(letter)).otherwise(letter).alias("letter"), size.alias("q"), needle.alias("needle"))
+    rows = every_rule.select("letter", "q").limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    used: dict[str, set[int]] = {}
+    for r in rows:
+        if r["letter"] is not None and r["q"] is not None:
+            used.setdefault(r["letter"], set()).add(r["q"])
+    parts = every_rule.where("letter is not null and q is not null")
     own = [_result_parts(x, sorted(sizes)) for x, sizes in sorted(used.items())]
     named = (kind == "field_equals") & rule["field"].isNotNull()
     other = first_true(
@@ -154,8 +159,6 @@ def match_error_rules(results: DataFrame, rules: DataFrame) -> DataFrame:
     value, or three characters of a text (fewer, where a rule looks for fewer). A rule that looks for
     a part of a text has the rarest three of it as its key; what meets there is tested in full.
     """
-    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     r = rules.select(*(F.col(c).alias(f"rule_{c}") for c in rules.columns)).withColumn("rule_row", F.monotonically_increasing_id())
     result = {c: F.col(c) for c in (*SCOPES, "message", "fields")}
     rule = {c: F.col(f"rule_{c}") for c in rules.columns}

@@ -117,7 +117,7 @@ UNION ALL SELECT result_id, 'other', 'unknown' FROM r WHERE host = 'api4.example
 
 def _results(lens: Lens) -> DataFrame:
     fields = F.map_filter(F.create_map(F.lit("resultCode"), F.col("code"), F.lit("note"), F.col("note")), lambda k, v: v.isNotNull())
-    return lens.spark.sql(_RESULTS, events=lens.table("events")).withColumn("fields", fields)
+    return lens.spark.sql(_RESULTS, events=lens.spread("events", "event_id")).withColumn("fields", fields)
 
 
 def _rules(lens: Lens) -> DataFrame:
