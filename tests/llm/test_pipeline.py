@@ -94,6 +94,7 @@ CONTRACTS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op10_decontaminate": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op13_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
 }
 
 
