@@ -9,6 +9,7 @@ from quillframe.functions.canonical import nested_digest
 from quillframe.operators import nested_checks, snapshots
 from quillframe.plans.lens import Lens
 from quillframe.plans.report_queries import query
+from quillframe.sources.json_arrays import CORRUPT, read_json_array, write_json_arrays
 from quillframe.sources.shared import scratch_path
 
 _COLUMNS = ["operations", "organization", "provider", "source_category", "title", "updated_at", "url"]
@@ -80,6 +81,15 @@ def nested_digests(lens: Lens) -> DataFrame:
     return specs.select("id", nested_digest(specs, _COLUMNS).alias("digest"))
 
 
+@query(_NESTED + f"""d AS (SELECT id, {_OLD_DIGEST} AS digest FROM nested)\nSELECT *, false AS quarantined FROM d""")
+def specs_from_arrays(lens: Lens) -> DataFrame:
+    """Specs written as JSON arrays and read back in byte ranges, by their digests."""
+    specs, path = lens.nested_specs().select("id", *_COLUMNS), scratch_path(lens.spark)
+    write_json_arrays(specs, path, ["id"])
+    back = read_json_array(lens.spark, f"{path}/*", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in specs.schema))
+    return back.select("id", nested_digest(back, _COLUMNS).alias("digest"), F.col(CORRUPT).isNotNull().alias("quarantined"))
+
+
 def _indexes(lens: Lens) -> tuple[str, str]:
     paths = scratch_path(lens.spark), scratch_path(lens.spark)
     for side, path in zip(_sides(lens), paths, strict=True):
