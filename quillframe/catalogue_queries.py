@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillframe.plans import change_queries, report_queries, snapshot_queries  # all register with report_queries
+from quillframe.plans import change_queries, release_queries, report_queries, snapshot_queries  # all register with report_queries
 
-__all__ = ["change_queries", "oracle_sql", "queries", "snapshot_queries"]
+__all__ = ["change_queries", "oracle_sql", "queries", "release_queries", "snapshot_queries"]
 
 
 def queries() -> dict:
