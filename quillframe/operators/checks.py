@@ -138,20 +138,32 @@ def readiness(gates: DataFrame) -> DataFrame:
     )
 
 
-def missing_actions(changes: DataFrame, name: str, required_actions: dict[str, str], grew: Column) -> DataFrame:
-    """(row_key, rule) where a growth needs exactly one change ``name`` with an action for each target."""
-    counts = changes.where(F.col("change_id") == name).agg(
-        F.count("*").alias("n"),
-        *(
-            F.coalesce(F.bool_or(_has(t, v)), F.lit(False)).alias(f"has_{k}")
-            for k, (t, v) in enumerate(sorted(required_actions.items()))
-        ),
-    )
-    rules = [business("exactly one change", F.col("n") != 1)] + [
-        business(f"action for {t}", ~F.col(f"has_{k}")) for k, t in enumerate(sorted(required_actions))
-    ]
-    return check(counts.where(grew), F.lit(name), rules)
-
-
-def _has(target: str, action: str) -> Column:
-    return F.exists("actions", lambda a: (a["target"] == target) & (a["action"] == action))
+def missing_actions(
+    changes: DataFrame,
+    name: str,
+    required_actions: dict[str, str],
+    grew: Column,
+    category: str | None = None,
+    automation: dict[str, str] | None = None,
+    registry_only: bool = False,
+    idle: tuple[str, ...] = (),
+) -> DataFrame:
+    """(row_key, rule) where a growth needs exactly one change ``name`` with an action for each target.
+
+    Further rules, each where it is asked for: the change's ``category``; the ``automation`` of a target's
+    action; ``registry_only``: neither promoted nor served (nulls are neither false nor true, so they
+    break the rule); ``idle`` targets, whose action must be ``no_action``. Of several actions of one
+    target the last counts. Without the change, only its being missing is reported beside its actions.
+    """
+    own = changes.where(F.col("change_id") == name)
+    last = lambda t: F.try_element_at(F.filter("actions", lambda a: a["target"] == t), F.lit(-1))
+    rules = {f"action for {t}": F.coalesce(last(t)["action"] == a, F.lit(False)) for t, a in sorted(required_actions.items())}
+    rules |= {f"automation of {t}": F.coalesce(last(t)["automation"] == a, F.lit(False)) for t, a in sorted((automation or {}).items())}
+    rules |= {f"no action for {t}": F.coalesce(last(t)["action"] == "no_action", F.lit(False)) for t in sorted(idle)}
+    if category is not None:
+        rules["category"] = F.col("category").eqNullSafe(F.lit(category))
+    if registry_only:
+        rules["registry only"] = F.coalesce(~F.col("promoted") & ~F.col("served"), F.lit(False))
+    counts = own.agg(F.count("*").alias("n"), *(F.coalesce(F.bool_or(met), F.lit(False)).alias(f"has_{k}") for k, met in enumerate(rules.values())))
+    found = [business("exactly one change", F.col("n") != 1)] + [business(rule, ~F.col(f"has_{k}")) for k, rule in enumerate(rules)]
+    return check(counts.where(grew), F.lit(name), found)

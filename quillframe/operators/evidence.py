@@ -142,3 +142,16 @@ def rollup_index(sources: DataFrame) -> DataFrame:
     return sides[0].unionAll(sides[1]).groupBy("kind", "id").agg(
         F.count("*").alias("n"), F.array_sort(F.collect_list("source_id")).alias("source_ids")
     )
+
+
+def rollup_warning_gaps(index: DataFrame, warnings: DataFrame) -> DataFrame:
+    """(id, problem): warnings of the plans (``rollup_index``) that a rollup's ``warnings`` (warning_id, affected_sources)
+    lack or give other sources, and those that no plan has. Sources are compared row by row, in any
+    order; a warning listed twice has the sources of both."""
+    planned = index.where(F.col("kind") == "warning").select(F.col("id"), F.explode("source_ids").alias("source_id")).distinct()
+    listed = warnings.select(F.col("warning_id").alias("id"), F.explode_outer("affected_sources").alias("source_id")).distinct()
+    sides = planned.withColumn("p", F.lit(1)).unionByName(listed.withColumn("l", F.lit(1)), allowMissingColumns=True)
+    per_source = sides.groupBy("id", "source_id").agg(F.count("p").alias("p"), F.count("l").alias("l"))
+    counts = per_source.groupBy("id").agg(F.sum("p").alias("p"), F.sum("l").alias("l"), F.bool_or((F.col("p") != F.col("l")) & F.col("source_id").isNotNull()).alias("differ"))
+    problem = F.when(F.col("l") == 0, "missing").when(F.col("p") == 0, "unknown").when(F.col("differ"), "affected_sources")
+    return counts.select("id", problem.alias("problem")).where("problem IS NOT NULL")

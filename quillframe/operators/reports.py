@@ -362,7 +362,24 @@ def external_coverage(figures: DataFrame, route_rows: DataFrame) -> DataFrame:
     )
     kept = ("external_endpoint_operations", "registered_adapter_operations", "missing_adapter_operations", "registered_adapter_hosts", "missing_adapter_hosts")
     raw = figures.select(*kept, F.col("external_adapter_coverage_percent").alias("raw_external_adapter_coverage_percent"))
-    return raw.join(routed).withColumn("gate", F.when(F.col("without_probe_evidence") == 0, "passing").otherwise("action_required"))
+    return raw.join(routed).withColumns(
+        {
+            "route_evidence_covered_operations": F.col("with_probe_evidence"),
+            "evidence_adjusted_adapter_candidate_operations": F.col("adapter_candidates"),
+            "gate": F.when(F.col("without_probe_evidence") == 0, "passing").otherwise("action_required"),
+        }
+    )
+
+
+def external_cross_checks(figures: DataFrame, targets: DataFrame, index: DataFrame) -> DataFrame:
+    """(check, expected, actual, same): the figures of ``coverage`` against those of ``adapter_targets`` and against the
+    hosts of the index of adapters (name, hosts). One row a check, whether it holds or not."""
+    found = targets.agg(F.coalesce(F.sum("operations"), F.lit(0)).alias("target_operations"), F.count("*").alias("target_hosts"))
+    hosts = index.select(F.explode("hosts").alias("host")).agg(F.count_distinct("host").alias("index_hosts"))
+    pairs = (("target_operations", "missing_adapter_operations"), ("target_hosts", "missing_adapter_hosts"), ("index_hosts", "registered_adapter_hosts"))
+    one = figures.select(*(e for _, e in pairs)).join(found).join(hosts)
+    rows = F.array(*(F.struct(F.lit(a).alias("check"), F.col(e).alias("expected"), F.col(a).alias("actual"), F.col(e).eqNullSafe(F.col(a)).alias("same")) for a, e in pairs))
+    return one.select(F.explode(rows).alias("c")).select("c.*")
 
 
 #: What a split needs, and the reason given where it isn't reached.

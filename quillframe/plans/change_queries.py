@@ -264,6 +264,24 @@ def required_change_actions(lens: Lens) -> DataFrame:
     return checks.missing_actions(_changes(lens), "c10", {"mcp": "review", "sdk": "regenerate"}, F.lit(True))
 
 
+@query(_CHANGE_VIEWS + """, one AS (SELECT k, category, promoted, served FROM c WHERE change_id = 'c30'), last AS (SELECT target, arg_max(action, place) AS action, arg_max(automation, place) AS automation FROM (
+  SELECT CASE k % 4 WHEN 0 THEN 'sdk' WHEN 1 THEN 'docs' WHEN 2 THEN 'mcp' ELSE 'dataset-api' END AS target, CASE k % 3 WHEN 0 THEN 'regenerate' WHEN 1 THEN 'review' ELSE 'db_migration_review' END AS action,
+    CASE WHEN k % 5 = 0 THEN 'manual_review' WHEN k % 11 = 0 THEN 'blocked' ELSE 'automatic' END AS automation, 1 AS place FROM one
+  UNION ALL SELECT 'sdk', 'regenerate', 'blocked', 2 FROM one WHERE k % 6 = 0 UNION ALL SELECT 'registry', 'record', 'automatic', 3 FROM one WHERE k % 2 = 0) GROUP BY 1),
+r AS (SELECT 'exactly one change' AS rule, (SELECT count(*) FROM one) = 1 AS met UNION ALL SELECT 'action for mcp', EXISTS (FROM last WHERE target = 'mcp' AND action = 'investigate')
+  UNION ALL SELECT 'action for registry', EXISTS (FROM last WHERE target = 'registry' AND action = 'record') UNION ALL SELECT 'automation of mcp', EXISTS (FROM last WHERE target = 'mcp' AND automation = 'manual_review')
+  UNION ALL SELECT 'automation of registry', EXISTS (FROM last WHERE target = 'registry' AND automation = 'manual_review') UNION ALL SELECT 'no action for docs', EXISTS (FROM last WHERE target = 'docs' AND action = 'no_action')
+  UNION ALL SELECT 'no action for sdk', EXISTS (FROM last WHERE target = 'sdk' AND action = 'no_action')
+  UNION ALL SELECT 'category', EXISTS (FROM one WHERE category = 'release_schema_changed') UNION ALL SELECT 'registry only', EXISTS (FROM one WHERE NOT promoted AND NOT served))
+SELECT 'c30' AS row_key, rule FROM r WHERE NOT met""", views=False)
+def schema_growth_gate(lens: Lens) -> DataFrame:
+    """All that a grown set of schemas asks of its change."""
+    return checks.missing_actions(
+        _changes(lens), "c30", {"mcp": "investigate", "registry": "record"}, F.lit(True), category="release_schema_changed",
+        automation={"mcp": "manual_review", "registry": "manual_review"}, registry_only=True, idle=("docs", "sdk"),
+    )
+
+
 # Drift and sources: suppliers as source profiles.
 
 _S = "CAST(s_suppkey AS STRING)"
@@ -410,6 +428,18 @@ def evidence_rollup(lens: Lens) -> DataFrame:
     return evidence.rollup_index(_rolled(lens)).withColumn("source_ids", F.array_join("source_ids", ","))
 
 
+@query(_DRIFT + _BLOCKERS + """, i AS (SELECT warning AS id, array_to_string(list_sort(list(source_id)), ',') AS expected, array_to_string(list_sort(list(source_id) FILTER (source_id NOT LIKE '%7')), ',') AS actual FROM w GROUP BY 1)
+SELECT id, 'missing' AS problem FROM i WHERE id = 'non_data_runtime_evidence_not_collected' UNION ALL SELECT id, 'affected_sources' FROM i WHERE id <> 'non_data_runtime_evidence_not_collected' AND expected <> coalesce(actual, '')
+UNION ALL SELECT id, 'unknown' FROM (SELECT 'made_up' AS id)""", views=False)
+def rollup_warning_gaps(lens: Lens) -> DataFrame:
+    """A rollup that lacks one warning, has one that no plan has, and forgets sources."""
+    index = evidence.rollup_index(_rolled(lens))
+    kept = F.filter("source_ids", lambda s: ~F.endswith(s, F.lit("7")))
+    given = index.where((F.col("kind") == "warning") & (F.col("id") != changes.NO_EVIDENCE_WARNING)).select(F.col("id").alias("warning_id"), kept.alias("affected_sources"))
+    more = lens.spark.createDataFrame([("made_up", ["s1"])], "warning_id string, affected_sources array<string>")
+    return evidence.rollup_warning_gaps(index, given.unionAll(more))
+
+
 _CANDIDATES = """SELECT 's' || CAST(l_suppkey AS STRING) AS source_id, 'provider' || CAST(CASE WHEN l_suppkey % 19 = 0 THEN -1 ELSE s_nationkey END AS STRING) AS provider, l_suppkey % 2 = 0 AND l_linenumber = 1 AS has_evidence,
   l_orderkey AS k, l_linenumber AS n, l_partkey AS part, l_suppkey AS supp FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey"""
 

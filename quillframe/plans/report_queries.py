@@ -561,12 +561,25 @@ def coverage(lens: Lens) -> DataFrame:
 
 @query(_COVERAGE + _ROUTES + f"""SELECT external_endpoint_operations, registered_adapter_operations, missing_adapter_operations, registered_adapter_hosts, missing_adapter_hosts,
   external_adapter_coverage_percent AS raw_external_adapter_coverage_percent, routes_total, with_probe_evidence, without_probe_evidence, dead_route_candidates, transient_failures, adapter_candidates,
+  with_probe_evidence AS route_evidence_covered_operations, adapter_candidates AS evidence_adjusted_adapter_candidate_operations,
   CASE WHEN without_probe_evidence = 0 THEN 'passing' ELSE 'action_required' END AS gate FROM f, {_ROUTE_TOTALS}""")
 def external_coverage(lens: Lens) -> DataFrame:
     """A22, C17."""
     return reports.external_coverage(_coverage(lens), _routes(lens))
 
 
+@query(_COVERAGE + """, x AS (SELECT host FROM adapter_hosts WHERE name IN (SELECT name FROM adapters WHERE ordinal % 3 <> 0)),
+m AS (SELECT route_host FROM deps WHERE adapter_status = 'missing' AND route_host IS NOT NULL)
+SELECT *, expected IS NOT DISTINCT FROM actual AS same FROM (
+  SELECT 'target_operations' AS "check", missing_adapter_operations AS expected, (SELECT count(*) FROM m) AS actual FROM f
+  UNION ALL SELECT 'target_hosts', missing_adapter_hosts, (SELECT count(DISTINCT route_host) FROM m) FROM f
+  UNION ALL SELECT 'index_hosts', registered_adapter_hosts, (SELECT count(DISTINCT host) FROM x) FROM f)""")
+def external_cross_checks(lens: Lens) -> DataFrame:
+    """Targets and an index that lacks adapters against the coverage report."""
+    index = lens.adapters().where("ordinal % 3 <> 0")
+    return reports.external_cross_checks(_coverage(lens), reports.adapter_targets(lens.deps()), index)
+
+
 @query(_ROUTES + """, e AS (SELECT route_host AS host, count(*) AS n FROM probed WHERE route_host IS NOT NULL GROUP BY 1),
 r AS (SELECT 'portal' || CAST(s_suppkey % 9 AS VARCHAR) || '.example' AS host, count(*) AS operations FROM supplier GROUP BY 1)
 SELECT coalesce(e.host, r.host) AS host, e.n AS expected, r.operations AS actual FROM e FULL JOIN r ON e.host = r.host WHERE e.n IS DISTINCT FROM r.operations""")

@@ -13,7 +13,7 @@ from quillframe.sources import model
 def read_specs(spark: SparkSession, path: str, schema: str = model.SPECS) -> DataFrame:
     """A JSON array of nested specs. What is no object becomes a row with ``_corrupt_record``.
 
-    A multi-line JSON file is one task: write the result to Parquet once and read that afterwards.
+    A multi-line JSON file is one task; ``json_arrays.read_json_array`` reads large ones in several.
     """
     return spark.read.schema(f"{schema}, _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
 
@@ -41,8 +41,11 @@ def _struct(ddl: str) -> str:
 
 
 def read_source_reports(spark: SparkSession, pattern: str, array_field: str, record: str, own_output: str = "") -> DataFrame:
-    """The records of every source's report but ``own_output``; an error if there is no report."""
+    """The records of every source's report but ``own_output``; an error if there is no other report. Reports
+    without records are reports."""
     rows = read_report(spark, pattern, array_field, record)
+    if own_output and all(f.endswith(own_output) for f in rows.inputFiles()):
+        raise ValueError(f"no report but the output matches {pattern}")
     return rows.where(~F.endswith("report_path", F.lit(own_output))) if own_output else rows
 
 
