@@ -50,38 +50,46 @@ def _external_guide() -> Column:
 
 
 def catalog_audit(specs: DataFrame, deps: DataFrame) -> DataFrame:
-    """Quality counts of specs and operations as (metric, value): one aggregate over the specs and
-    their operations, one over the operations. ``specs_without_operations`` are those that no
-    operation names; an endpoint of spaces counts as none."""
+    """Quality counts of specs and operations as (metric, value). ``specs_without_operations`` are those that no
+    operation names; an endpoint of spaces counts as none.
+
+    The operations are read once: counted per spec, where all counts of operations are sums, and joined with
+    the specs counted per id, so that an id of several specs doesn't count its operations twice."""
     cls = F.col("dependency_class")
     guided = (cls == "gateway") & _external_guide().isNotNull()
+    classes = ("gateway", "external_endpoint", "service_root", "soap", "wms")
+    counted = {
+        "callable_operations": F.col("callable"),
+        "operations_without_endpoint": _blank("endpoint"),
+        "operations_without_request_params": F.col("request_params_count") == 0,
+        "operations_without_response_params": F.col("response_params_count") == 0,
+        **{f"{c}_operations": cls == c for c in classes},
+        "dev_approval_required_operations": F.col("dev_approval") == "manual",
+        "prod_approval_required_operations": F.col("prod_approval") == "manual",
+        "malformed_endpoint_url_count": cls == "malformed_endpoint",
+        "malformed_guide_url_count": ~_blank("guide_url") & F.col("guide_host").isNull(),
+    }
     per_spec = deps.groupBy("dataset_id").agg(
-        F.count_if("callable").alias("n_callable"), F.count_if(guided).alias("n_guided"), F.count_if(cls == "external_endpoint").alias("n_external")
-    )
-    joined = specs.join(per_spec, specs["id"] == per_spec["dataset_id"], "left")
-    left = joined.agg(
-        F.count("*").alias("specs_total"),
-        F.count_if(F.col("dataset_id").isNull()).alias("specs_without_operations"),
-        F.count_if(F.coalesce("n_callable", F.lit(0)) == 0).alias("specs_without_callable_operation"),
-        F.count_if(_blank("organization")).alias("specs_missing_organization"),
-        F.count_if(_blank("url")).alias("specs_missing_source_url"),
-        F.count_if(_blank("updated_at")).alias("specs_missing_updated_at"),
-        F.count_if(F.col("n_guided") > 0).alias("gateway_with_external_guide_specs"),
-        F.count_if(F.col("n_external") > 0).alias("external_endpoint_specs"),
-    )
-    right = deps.agg(
-        F.count("*").alias("operations_total"),
-        F.count_if("callable").alias("callable_operations"),
-        F.count_if(_blank("endpoint")).alias("operations_without_endpoint"),
-        F.count_if(F.col("request_params_count") == 0).alias("operations_without_request_params"),
-        F.count_if(F.col("response_params_count") == 0).alias("operations_without_response_params"),
-        *(F.count_if(cls == c).alias(f"{c}_operations") for c in ("gateway", "external_endpoint", "service_root", "soap", "wms")),
-        F.count_if(F.col("dev_approval") == "manual").alias("dev_approval_required_operations"),
-        F.count_if(F.col("prod_approval") == "manual").alias("prod_approval_required_operations"),
-        F.count_if(cls == "malformed_endpoint").alias("malformed_endpoint_url_count"),
-        F.count_if(~_blank("guide_url") & F.col("guide_host").isNull()).alias("malformed_guide_url_count"),
+        F.lit(True).alias("has_operations"), F.count("*").alias("operations_total"), F.count_if(guided).alias("n_guided"), *(F.count_if(c).alias(n) for n, c in counted.items())
     )
-    return long_form(left, left.columns).unionAll(long_form(right, right.columns))
+    blanks = {"specs_missing_organization": "organization", "specs_missing_source_url": "url", "specs_missing_updated_at": "updated_at"}
+    per_id = specs.groupBy("id").agg(F.count("*").alias("n_specs"), *(F.count_if(_blank(c)).alias(n) for n, c in blanks.items()))
+    joined = per_id.join(per_spec, per_id["id"] == per_spec["dataset_id"], "full_outer")
+
+    def specs_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n_specs")))
+
+    sums = {
+        "specs_total": F.sum("n_specs"),
+        "specs_without_operations": specs_where(F.col("has_operations").isNull()),
+        "specs_without_callable_operation": specs_where(F.coalesce("callable_operations", F.lit(0)) == 0),
+        **{n: F.sum(n) for n in blanks},
+        "gateway_with_external_guide_specs": specs_where(F.col("n_guided") > 0),
+        "external_endpoint_specs": specs_where(F.col("external_endpoint_operations") > 0),
+        **{n: F.sum(n) for n in ("operations_total", *counted)},
+    }
+    totals = joined.agg(*(F.coalesce(c, F.lit(0)).alias(n) for n, c in sums.items()))
+    return long_form(totals, totals.columns)
 
 
 def audit_hosts(deps: DataFrame, n: int = 20) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.operators.classify import classify, operations
+from quillframe.sources.shared import stored
 
 _ORG = "CASE WHEN c_custkey % 53 = 0 THEN NULL WHEN c_custkey % 47 = 0 THEN '' ELSE n_name END"
 _KEY = "CASE WHEN l_orderkey % 211 = 0 THEN '' ELSE 'ds' || CAST(l_orderkey AS STRING) END"
@@ -115,6 +116,7 @@ class Lens:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._kept: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
@@ -146,6 +148,12 @@ class Lens:
         names = F.when(F.col("request_params_count") == 1, F.array(F.lit("q1"))).otherwise(F.array().cast("array<string>"))
         return classify(self.sql(RAW_DEPENDENCIES), self.adapters()).withColumn("missing_params", names)
 
+    def kept(self) -> DataFrame:
+        """``deps`` written once a job, for reports that read them several times."""
+        if self._kept is None:
+            self._kept = stored(self.deps())
+        return self._kept
+
     def evidence(self, deps: DataFrame | None = None) -> DataFrame:
         return self.sql(EVIDENCE, deps=self.deps() if deps is None else deps)
 

@@ -54,7 +54,7 @@ SELECT coalesce(a.organization, o.organization) AS organization, coalesce(api_co
 FROM a FULL JOIN o ON a.organization = o.organization""")
 def institution_overview(lens: Lens) -> DataFrame:
     """A1, J1, J3, W1, T1."""
-    deps = lens.deps()
+    deps = lens.kept()
     return reports.institution_overview(lens.specs(), deps, lens.evidence(deps), ORDER)
 
 
@@ -90,7 +90,7 @@ def institution_top_categories(lens: Lens) -> DataFrame:
   {pct("(SELECT count(*) FROM evidence)", "(SELECT count(*) FROM deps)")} AS evidence_percent""")
 def overview_summary(lens: Lens) -> DataFrame:
     """A3."""
-    deps = lens.deps()
+    deps = lens.kept()
     return reports.overview_summary(lens.specs(), deps, lens.evidence(deps))
 
 
@@ -118,7 +118,7 @@ SELECT organization, coalesce(api_count, 0) AS api_count, coalesce(operation_cou
 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 30""")
 def institutions_by_apis(lens: Lens) -> DataFrame:
     """T3."""
-    deps = lens.deps()
+    deps = lens.kept()
     overview = reports.institution_overview(lens.specs(), deps, lens.evidence(deps), ORDER)
     return reports.ranking_by_apis(overview).select("organization", "api_count", "operation_count")
 
@@ -220,7 +220,7 @@ def preflight(lens: Lens) -> DataFrame:
 @query(f"SELECT dataset_id, operation, part_key, supp_key, price, has_evidence, status, reason FROM attached")
 def operations_with_evidence(lens: Lens) -> DataFrame:
     """J1, W1."""
-    deps = lens.deps()
+    deps = lens.kept()
     own = deps.select("dataset_id", "operation", "endpoint_host", "dependency_class", "part_key", "supp_key", "price")
     out = evidence.attach_evidence(own, lens.evidence(deps), ORDER, keep=["status", "reason"])
     return out.select("dataset_id", "operation", "part_key", "supp_key", "price", F.col("evidence").isNotNull().alias("has_evidence"), "evidence.status", "evidence.reason")
@@ -434,7 +434,7 @@ p AS (SELECT host, count(DISTINCT nullif(dataset_id, '')) AS specs, count(*) FIL
 @query(_BACKLOG + "SELECT * FROM p")
 def provider_backlog(lens: Lens) -> DataFrame:
     """A7."""
-    return reports.provider_backlog(lens.deps()).withColumn("sample_ids", F.array_join("sample_ids", ","))
+    return reports.provider_backlog(lens.kept()).withColumn("sample_ids", F.array_join("sample_ids", ","))
 
 
 @query(_BACKLOG + """
@@ -447,7 +447,7 @@ b AS (SELECT count(*) FILTER (adapter_status = 'missing') AS needs_adapter_opera
 SELECT metric, CAST(value AS DOUBLE) AS value FROM (UNPIVOT a ON COLUMNS(*) INTO NAME metric VALUE value) UNION ALL SELECT metric, CAST(value AS DOUBLE) FROM (UNPIVOT b ON COLUMNS(*) INTO NAME metric VALUE value)""")
 def backlog_summary(lens: Lens) -> DataFrame:
     """The hosts' summary."""
-    deps = lens.deps()
+    deps = lens.kept()
     return reports.backlog_summary(reports.provider_backlog(deps), deps)
 
 
@@ -480,7 +480,7 @@ def target_samples(lens: Lens) -> DataFrame:
   UNION ALL SELECT 'service_root_operations', (SELECT count(*) FROM m WHERE dependency_class = 'service_root'))""")
 def targets_summary(lens: Lens) -> DataFrame:
     """The totals."""
-    deps = lens.deps()
+    deps = lens.kept()
     return reports.targets_summary(reports.adapter_targets(deps), deps)
 
 
@@ -491,7 +491,7 @@ _ROUTES = """
 
 
 def _routes(lens: Lens) -> DataFrame:
-    deps = lens.deps()
+    deps = lens.kept()
     return reports.routes(deps, lens.evidence(deps), ORDER)
 
 
@@ -549,7 +549,7 @@ f AS (SELECT *, adapter_count >= 2 AND call_capable_adapters >= 1 AS provider_sp
 
 
 def _coverage(lens: Lens) -> DataFrame:
-    deps = lens.deps()
+    deps = lens.kept()
     return reports.coverage(deps, lens.specs(), lens.adapters(), lens.evidence(deps))
 
 
@@ -577,7 +577,7 @@ SELECT *, expected IS NOT DISTINCT FROM actual AS same FROM (
 def external_cross_checks(lens: Lens) -> DataFrame:
     """Targets and an index that lacks adapters against the coverage report."""
     index = lens.adapters().where("ordinal % 3 <> 0")
-    return reports.external_cross_checks(_coverage(lens), reports.adapter_targets(lens.deps()), index)
+    return reports.external_cross_checks(_coverage(lens), reports.adapter_targets(lens.kept()), index)
 
 
 @query(_ROUTES + """, e AS (SELECT route_host AS host, count(*) AS n FROM probed WHERE route_host IS NOT NULL GROUP BY 1),
