@@ -3,7 +3,8 @@ near duplicates stays, contaminated texts go, secrets are cut out, and what is l
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept, and returns the
 columns of ``docs``; the last returns pieces. Rows with null ids or texts, empty and very long
-texts, repeated rows, empty tables and further columns are all allowed; see each stage.
+texts, repeated rows, empty tables and further columns are all allowed; see each stage. Stages with Python workers make the
+session's Arrow batches small (``small_batches``), so that one stage's workers leave room for the next.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.llm import decontaminate, language, secret_scan, sentence_pieces, simhash_texts
-from quillframe.llm.common import is_held_out, table, written
+from quillframe.llm.common import is_held_out, small_batches, table, written
 
 #: Calibrated probability below which a text counts as of no known language.
 LEAST_LANGUAGE_SCORE = 0.35
@@ -27,6 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts of no known language: null texts, texts without a letter, and those whose most
     likely language has a probability below ``LEAST_LANGUAGE_SCORE``. Where no row has a label,
     nothing can be learned and only texts without a letter go."""
+    small_batches(spark)
     text = F.col("text").cast("string")
     docs_with_letters = docs.where(text.rlike(r"\p{L}"))
     model = language.fit(docs.where(~is_held_out(F.col("doc_id"), 4, 2)))
@@ -62,6 +64,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     the smallest doc_id, of several the one whose text has the least hash, of equal ones any. Rows are compared
     by their texts alone, so different texts under one id (or none) stay, and repeated rows become
     one; a row without an id stays only if no row with one is in its group."""
+    small_batches(spark)
     numbered, at = _numbered(docs)
     found = written(simhash_texts.near_duplicates(numbered, "row", at["text"], shingle=SHINGLE, similarity=SIMILARITY))
     # Only groups of several rows need a choice; texts go no further than their digests.
@@ -83,6 +86,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts ``[secret]`` in place of every secret, and the new length in n_chars; all rows stay."""
+    small_batches(spark)
     clean = secret_scan.redacted(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
@@ -91,6 +95,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of every text: doc_id, ids, n_tokens, n_byte_tokens, ids_sha256 and round_trip."""
+    small_batches(spark)
     return sentence_pieces.encode(docs)
 
 

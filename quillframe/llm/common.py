@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of rows in one Arrow batch, about, where ``small_batches`` was called.
+BATCH_BYTES = 2 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
@@ -59,6 +63,18 @@ def forget(spark: SparkSession, paths: list) -> None:
         files.delete(at, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session send Python workers ``BATCH_BYTES`` or so at once (passed by one row at most).
+
+    By default that is 10,000 rows or 64 MB. Such a batch of texts takes several times its bytes, in the JVM and
+    in the worker, and neither gives back what it once took. The setting stays, since frames run later than
+    they are made; a smaller one is left as it is. Results don't depend on it.
+    """
+    now = spark.conf.get(_BATCH_SETTING, None)
+    if not now or not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def is_held_out(id_col: Column, mod: int, held: int) -> Column:
     """Whether crc32 of the id as text leaves the remainder ``held``; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % mod == held, F.lit(False))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from quillframe.llm import queries
-from quillframe.llm.common import written
+from quillframe.llm.common import BATCH_BYTES, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,6 +80,41 @@ def test_rows_that_share_an_id_are_compared_by_text(spark, words, bench_dir):
     assert sorted((r["doc_id"], r["text"]) for r in out) == sorted([(1, a), (1, b), (3, c + " more")])
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def batch_setting(spark):
+    """Puts the session's bound on Arrow batches back as it was, before a test and after it."""
+    spark.conf.unset(BATCH_SETTING)
+    yield
+    spark.conf.unset(BATCH_SETTING)
+
+
+@pytest.mark.parametrize("name", ["language_id", "near_duplicates", "secret_scans", "pieces"])
+def test_stages_send_texts_to_python_in_small_batches(spark, odd_docs, bench_dir, batch_setting, name):
+    """5,000 texts of 2,000 bytes went as one batch of 10 MB; a batch passes the bound by one row at most."""
+
+    def batch_sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    text = spark.range(0, 5000, 1, 1).selectExpr("repeat('ab cd ef ', 222) t")
+    sent = text.unionAll(spark.range(0, 1, 1, 1).selectExpr(f"repeat('a', {2 * BATCH_BYTES}) t"))
+    written(dict(corpus_pipeline.STAGES)[name](spark, odd_docs, bench_dir[0]))
+    found = sent.mapInArrow(batch_sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 5001
+    sizes = sorted(r["size"] for r in found)
+    assert sizes[-1] < 1.1 * 3 * BATCH_BYTES and sizes[-2] < 1.1 * BATCH_BYTES
+
+
+def test_a_smaller_bound_on_batches_stays(spark, odd_docs, bench_dir, batch_setting):
+    for given, kept in (("64k", "64k"), ("1g", str(BATCH_BYTES))):
+        spark.conf.set(BATCH_SETTING, given)
+        corpus_pipeline.secret_scans(spark, odd_docs, bench_dir[0])
+        assert spark.conf.get(BATCH_SETTING) == kept
+
+
 def test_no_stages_shape():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontamination", "secret_scans", "pieces"]
 
