@@ -2,18 +2,41 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: The column of ``read_json_array`` that holds what is no record.
 CORRUPT = "_corrupt_record"
+#: Bytes from which a line is not looked at: its file is cut at braces.
+LONG_LINE = 16 << 20
+#: Objects and arrays inside each other, up to which a line is told to be one record.
+NESTED = 16
+
+
+def _one_record() -> str:
+    """A pattern of one object with all brackets inside it paired, up to ``NESTED`` levels; it never goes back."""
+    plain, string = r'[^"\\{}\[\]]++', r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    inner = f"(?:{plain}|{string})*+"
+    for _ in range(NESTED):
+        inner = rf"(?:{plain}|{string}|[{{\[]{inner}[}}\]])*+"
+    return rf"\{{{inner}\}}"
+
+
+#: A line of an array with a record a line: brackets and commas around one object, or around none.
+_LINE = rf"(?s)^\s*+\[?\s*+,?\s*+(?:{_one_record()})?\s*+,?\s*+\]?\s*+$"
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The objects of files that hold a JSON array each, in rows of ``schema`` (DDL) and ``_corrupt_record``.
 
-    Files are cut at every closing brace, so blocks of one file are read by several tasks. Which braces
+    A first pass tells the files that hold one record on each line, as ``write_json_arrays`` writes them (names and a
+    flag a file come to the driver); those are read line by line, without a shuffle.
+    All others are cut at every closing brace, so blocks of one file are read by several tasks. Which braces
     end a record depends on the strings and brackets before them: each block is reduced to what it does to
     both possible states at its start, the states of all blocks follow from these few rows, and the pieces
     are joined with the state of their block. Texts are shuffled once, by file and block; a record that
@@ -24,12 +47,15 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     that doesn't end with its bracket, as it may be cut (its text stands there without a last brace). A record must fit into a row, and so must all that
     follows a quote that is never closed. The order of the rows is not that of the file.
     """
-    cut = spark.read.option("lineSep", "}").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"), F.col("value").alias("piece"),
-    )
-    pieces = _with_effects(cut)
-    found = _records(_with_ends(pieces, _block_states(pieces)))
+    files = [(re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(f)), lines) for f, lines in _by_lines(spark, path).collect()]
+    found = [read(spark, own) for read, own in ((_line_records, [f for f, lines in files if lines]), (_cut_records, [f for f, lines in files if not lines])) if own]
+    if not found:
+        found = [spark.createDataFrame([], "text string, odd boolean")]
+    return reduce(DataFrame.unionAll, (_parsed(df, schema) for df in found))
+
+
+def _parsed(found: DataFrame, schema: str) -> DataFrame:
+    """Rows of ``schema`` from the texts of records."""
     text = F.regexp_replace("text", r"^[\s,\[]+", "")
     fields = StructType.fromDDL(schema).fields
     parsed = F.from_json(text, StructType.fromDDL(f"{schema}, {CORRUPT} string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
@@ -38,6 +64,45 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.select(F.when(F.startswith(text, F.lit("{")) & ~F.col("odd"), parsed).otherwise(corrupt).alias("r")).select("r.*")
 
 
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of files; those of ``LONG_LINE`` bytes and more are left out, as they may be whole files."""
+    return spark.read.option("lineSep", "\n").option("mapreduce.input.linerecordreader.line.maxlength", str(LONG_LINE)).text(paths)
+
+
+def _by_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, lines) of each file that isn't empty: whether it is an array whose every line is a record. Then no string
+    goes over the end of a line, and the depth is one there."""
+    line, size, name = F.col("value"), F.col("_metadata.file_size"), F.col("_metadata.file_path")
+    blank = ~line.rlike(r"\S")
+    at = F.when(~blank, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+    opens, closes = line.rlike(r"^\s*+\["), line.rlike(r"\]\s*$")
+    rows = _lines(spark, [path]).select(
+        name.alias("file"), size.alias("size"), (F.octet_length(line) + 1).alias("bytes"), at.alias("at"), line.rlike(_LINE).alias("fits"), opens.alias("opens"), closes.alias("closes")
+    )
+    one = lambda c, first: (F.count_if(c) == 1) & first(F.when(F.col(c), F.col("at"))).eqNullSafe(first("at"))
+    seen = F.sum("bytes").isin(F.max("size"), F.max("size") + 1)  # no line was left out; the last may lack its end
+    read = rows.groupBy("file").agg((seen & F.bool_and("fits") & one("opens", F.min) & one("closes", F.max)).alias("lines"))
+    # A file of one long line has no rows here.
+    named = spark.read.format("binaryFile").load(path).where("length > 0").select(F.col("_metadata.file_path").alias("file"))
+    return named.join(read, "file", "left").select("file", F.coalesce("lines", F.lit(False)).alias("lines"))
+
+
+def _line_records(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(text, odd) of each record of files with a record a line."""
+    text = F.rtrim(F.col("value"), F.lit("], \t\r\v\f"))
+    return _lines(spark, files).select(text.alias("text"), F.lit(False).alias("odd"))
+
+
+def _cut_records(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(text, odd) of each record of any files."""
+    cut = spark.read.option("lineSep", "}").text(files).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), F.col("value").alias("piece"),
+    )
+    pieces = _with_effects(cut)
+    return _records(_with_ends(pieces, _block_states(pieces)))
+
+
 def _less(text: Column, characters: str) -> Column:
     """How many of the characters a text has."""
     return F.length(text) - F.length(F.translate(text, characters, ""))
@@ -103,10 +168,11 @@ def _records(pieces: DataFrame) -> DataFrame:
 
 
 def write_json_arrays(df: DataFrame, path: str, order_by: list[str], files: int = 8) -> None:
-    """``df`` as ``files`` JSON arrays, written in parallel; the rows of each are in the order of ``order_by``,
-    which must tell rows apart and deals them to the files by hash."""
-    w = Window.partitionBy("bucket").orderBy(*order_by)
-    rows = df.select(F.pmod(F.xxhash64(*order_by), F.lit(files)).alias("bucket"), *order_by, F.to_json(F.struct("*")).alias("record"))
-    first, last = F.lag("bucket").over(w).isNull(), F.lead("bucket").over(w).isNull()
-    lines = F.concat(F.when(first, "[").otherwise(","), "record", F.when(last, "]").otherwise(""))
-    rows.select("bucket", lines.alias("value")).write.partitionBy("bucket").text(path)
+    """``df`` as ``files`` JSON arrays with a record a line, written in parallel; the rows of each are in the order of
+    ``order_by``, which must tell rows apart and deals them to the files by hash."""
+    rows = df.select(F.pmod(F.xxhash64(*order_by), F.lit(files)).cast("int").alias("bucket"), F.lit(0).alias("end"), F.struct(*order_by).alias("at"), F.to_json(F.struct("*")).alias("record"))
+    ends = df.sparkSession.range(files).select(F.col("id").cast("int").alias("bucket"), F.lit(1).alias("end"), F.lit(None).cast(rows.schema["at"].dataType).alias("at"), F.lit("]").alias("record"))
+    # A running number needs the row before only, so that no file is held in memory.
+    first = F.row_number().over(Window.partitionBy("bucket").orderBy("end", "at")) == 1
+    before = F.when(first, "[").when(F.col("end") == 0, ",").otherwise("")
+    rows.unionAll(ends).select("bucket", F.concat(before, "record").alias("value")).write.partitionBy("bucket").text(path)

@@ -8,7 +8,7 @@ import re
 
 import pytest
 
-from quillframe.sources import readers
+from quillframe.sources import json_arrays, readers
 from quillframe.sources.json_arrays import read_json_array, write_json_arrays
 
 SCHEMA = "id long, name string, tags array<string>, inner array<struct<a:string,b:array<long>>>, open map<string,string>"
@@ -93,3 +93,42 @@ def test_arrays_written_and_read_back(spark, tmp_path):
     assert sorted(r["id"] for f in files for r in json.loads(f.read_text())) == list(range(50))
     back = read_json_array(spark, str(tmp_path / "out" / "*"), "id long, name string, tags array<string>").where("_corrupt_record IS NULL").drop("_corrupt_record")
     assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_a_record_a_line_is_read_without_a_shuffle(small_blocks, tmp_path):
+    want = records(120, 8)
+    small_blocks.createDataFrame(want, SCHEMA).createOrReplaceTempView("own_records")
+    write_json_arrays(small_blocks.table("own_records"), str(tmp_path / "out"), ["id"], files=3)
+    read = read_json_array(small_blocks, str(tmp_path / "out" / "*"), SCHEMA)
+    assert "Exchange" not in read._jdf.queryExecution().executedPlan().toString()
+    rows = read.collect()
+    assert all(r["_corrupt_record"] is None for r in rows)
+    assert [{k: v for k, v in r.items() if k != "_corrupt_record"} for r in plain(rows)] == want
+
+
+@pytest.mark.parametrize(
+    ("text", "by_lines", "ids", "corrupt"),
+    [
+        ('[\n{"id":1},\r\n\n {"id":2, "inner":[{"a":"}],[{"}]}\n]\n', True, [1, 2], []),
+        ('[{"id":1}\n,{"id":2}]', True, [1, 2], []),
+        ('[{"id":1}\n,{"id":"no number"}]', True, [1], ['{"id":"no number"}']),
+        ('[{"id":1},{"id":2}\n,{"id":3}]', False, [1, 2, 3], []),
+        ('[\n{"id":1,"inner":[\n{"a":"x"}\n]}\n]', False, [1], []),
+        ('[{"id":1}\n,{"id":2}', False, [1], ['{"id":2']),
+        ('{"id":1}\n,{"id":2}]', False, [], ['{"id":1}', '{"id":2}']),
+        ('[{"id":1}\n]{"id":2}\n', False, [1], None),
+        ('[{"id":1}\n,5\n,{"id":2}]', False, [1], None),
+        ('[{"id":1,"name":"a\n,{"}\n,{"id":2}]', False, [2], None),
+        ('[' + '{"id":1},' * 20 + '{"id":1,"name":"' + "x" * 50 + '"}]', False, [1] * 21, []),
+    ],
+)
+def test_lines_that_are_no_records(spark, tmp_path, text, by_lines, ids, corrupt, monkeypatch):
+    monkeypatch.setattr(json_arrays, "LONG_LINE", 60)
+    at = tmp_path / "a b%20[c]{d}*.json"
+    at.write_bytes(text.encode())
+    (tmp_path / "empty.json").write_text("")
+    assert [r["lines"] for r in json_arrays._by_lines(spark, str(tmp_path)).collect()] == [by_lines]
+    rows = read_json_array(spark, str(tmp_path), SCHEMA).collect()
+    assert sorted(r["id"] for r in rows if r["_corrupt_record"] is None) == ids
+    if corrupt is not None:
+        assert sorted(r["_corrupt_record"] for r in rows if r["_corrupt_record"] is not None) == corrupt
