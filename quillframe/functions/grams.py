@@ -11,13 +11,9 @@ GRAM = 3
 def grams(text: Column, q: int = GRAM) -> Column:
     """The distinct runs of ``q`` code points of a text, in linear time; none of null or a shorter text."""
 
-    def runs(chars: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(chars) - q)
-        return F.transform(at, lambda i: F.concat(*(F.get(chars, i + k) for k in range(q))))
-
-    # As an element of a list the characters are made once, and not for each run.
-    whole = F.when(F.length(text) >= q, F.array(F.split(text, "")))
-    return F.coalesce(F.array_distinct(F.flatten(F.transform(whole, runs))), F.array().cast("array<string>"))
+    # Each code point with those behind it, looked at and not taken.
+    runs = F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * q}))."), F.lit(1))
+    return F.coalesce(F.array_distinct(runs), F.array().cast("array<string>"))
 
 
 def grams_or_whole(text: Column, q: int = GRAM) -> Column:

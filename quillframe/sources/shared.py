@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,21 @@ def scratch_path(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: object) -> Iterator[None]:
+    """Settings of the session by their names below ``spark.sql`` (``__`` for a dot), as they were afterwards. For writes: frames
+    made meanwhile shouldn't be handed out."""
+    names = {f"spark.sql.{k.replace('__', '.')}": str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once, for several readers."""
     path = scratch_path(df.sparkSession)

@@ -59,6 +59,24 @@ def test_index_covers_every_row_and_reads_what_it_needs(spark, indexed):
     assert "PartitionFilters: [bucket" in plan.replace("isnotnull(", "")
 
 
+def test_postings_stay_where_the_texts_are(spark, indexed, tmp_path):
+    """Those of keys that aren't repeated; files are sorted, so that a search reads few of their pages."""
+    df, _ = indexed
+    names = df.where("k is not null").dropDuplicates(["k"])
+    path = str(tmp_path / "at")
+    text_index.write_text_index(names, path, "k", ["t", "s"], buckets=8)
+    texts = spark.read.parquet(f"{path}/texts")
+    assert "Exchange" not in text_index._postings(texts)._jdf.queryExecution().executedPlan().toString()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    files = list((tmp_path / "at" / "postings").glob("*.parquet"))
+    assert files and kept == spark.conf.get("spark.sql.files.maxPartitionBytes") != str(text_index.SEGMENT)
+    for f in files:
+        codes = [r["code"] for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+        assert codes == sorted(codes)
+    twice = spark.createDataFrame([("a", "abcd"), ("a", "bcde"), ("b", "abc")], "key string, text string")
+    assert sorted(map(tuple, text_index._postings(twice).collect())) == [("a", "abc"), ("a", "bcd"), ("a", "cde"), ("b", "abc")]
+
+
 RULE = "rule_id kind classification http_status field value contains case_sensitive hosts dataset_ids operation_ids dependency_classes".split()
 RULES = "rule_id string, kind string, classification string, http_status int, field string, value string, contains string, case_sensitive boolean, hosts array<string>, dataset_ids array<string>, operation_ids array<string>, dependency_classes array<string>"
 RESULTS = "result_id long, host string, dataset_id string, operation string, cls string, http_status int, reason string, message string, fields map<string,string>"
