@@ -161,27 +161,20 @@ class Lens:
         """Specs with their operations and parameters as nested arrays, in a fixed order."""
         raw = self.sql(RAW_DEPENDENCIES).where("dataset_id <> ''")
 
-        def fields(prefix: str, n: str):
-            numbers = F.when(F.col(n) > 0, F.sequence(F.lit(1), F.col(n).cast("int"))).otherwise(F.array().cast("array<int>"))
+        def fields(prefix: str, n):
+            numbers = F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>"))
             return F.transform(numbers, lambda k: F.struct(F.concat(F.lit(prefix), k.cast("string")).alias("name"), F.lit("a label").alias("label")))
 
-        code = F.element_at(F.array(*map(F.lit, ("resultCode", "resultMsg", "returnAuthMsg", "errMsg", "total"))), (F.col("part_key") % 5 + 1).cast("int"))
-        op = F.struct(
-            "part_key",
-            "supp_key",
-            "price",
-            F.col("operation").alias("name"),
-            "endpoint",
-            fields("q", "request_params_count").alias("request_params"),
-            F.array(F.struct(code.alias("name"), F.lit("a label").alias("label"))).alias("response_params"),
-        )
-        def with_defaults(x):  # a map can't be ordered, so it joins the sorted operations
+        def nested_op(x):  # made of the sorted rows, so that these alone are shuffled
+            code = F.element_at(F.array(*map(F.lit, ("resultCode", "resultMsg", "returnAuthMsg", "errMsg", "total"))), (x["part_key"] % 5 + 1).cast("int"))
             region = F.when(x["part_key"] % 2 == 0, "").otherwise("x")
             defaults = F.create_map(F.lit("pageNo"), F.lit("1"), F.lit("region"), region)
-            return F.struct(x["name"].alias("name"), x["endpoint"].alias("endpoint"), defaults.alias("default_params"), x["request_params"].alias("request_params"), x["response_params"].alias("response_params"))
+            response = F.array(F.struct(code.alias("name"), F.lit("a label").alias("label")))
+            return F.struct(x["operation"].alias("name"), x["endpoint"].alias("endpoint"), defaults.alias("default_params"), fields("q", x["request_params_count"]).alias("request_params"), response.alias("response_params"))
 
         # The operations of one spec: an order has a few lines.
-        nested = raw.groupBy("dataset_id").agg(F.transform(F.array_sort(F.collect_list(op)), with_defaults).alias("operations"))
+        op = F.struct("part_key", "supp_key", "price", "operation", "endpoint", "request_params_count")
+        nested = raw.repartition("dataset_id").groupBy("dataset_id").agg(F.transform(F.array_sort(F.collect_list(op)), nested_op).alias("operations"))
         specs = self.specs()
         return specs.join(nested, specs["id"] == nested["dataset_id"], "left").drop("dataset_id")
 
