@@ -79,3 +79,27 @@ def test_joins_leave_the_store_where_it_is(spark, store):
     assert sorted(map(repr, gaps.collect())) == sorted(map(repr, evidence.uncovered(deps, merged).collect()))
     want = evidence.attach_evidence(deps, merged, ["verified_at", "batch", "ordinal"], keep=["status", "verified_at"])
     assert sorted(map(repr, attached.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_a_batch_is_read_and_shuffled_once(spark, store):
+    """Nothing but the store's own table is left of a merge; columns that can't be compared are kept too."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        seen.add(1)
+        return row
+
+    schema = f"{SCHEMA}, more map<string,int>"
+    rows = [(f"d{k % 20}", None if k % 3 else "", "h", "soap", "verified", "2026-01-01", k, {"a": k}) for k in range(60)]
+    names = ("spark.sql.shuffle.partitions", "spark.sql.sources.partitionOverwriteMode", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(c) for c in names], spark.catalog.listTables()
+    for number in (0, 1):
+        store.merge(spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(counted), schema), number)
+        assert seen.value == 60 * (number + 1)
+    assert [spark.conf.get(c) for c in names] == before[0]
+    assert {t.name for t in spark.catalog.listTables()} - {t.name for t in before[1]} == {store.name}
+    got = sorted((r["dataset_id"], r["operation"], r["ordinal"], r["more"]["a"], r["batch"]) for r in store.rows().collect())
+    last = {r[0]: r for r in rows}
+    assert got == sorted((r[0], r[1], r[6], r[6], 1) for r in last.values())
+    plan = store._last(spark.createDataFrame(rows, schema).drop("more").selectExpr("*", "0 AS batch"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "max_by" not in plan
