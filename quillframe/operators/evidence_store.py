@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from quillframe.operators.evidence import with_key
 from quillframe.sources.model import EVIDENCE_KEY
-from quillframe.sources.shared import settings
+from quillframe.sources.shared import FREED, settings
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -74,8 +74,7 @@ class EvidenceStore:
         """Adds a batch: of each key the last row by ``order`` stays, of equal ones the later batch's. Batches
         have the same columns; ``number`` says which comes later. Returns the partitions that were written, ``parts`` at most."""
         # As many partitions as buckets: what groups the batch by key also deals it to the buckets.
-        once = {"shuffle__partitions": self.buckets, "classic__shuffleDependency__fileCleanup__enabled": "true"}
-        with settings(self.spark, sources__partitionOverwriteMode="dynamic", **once):
+        with settings(self.spark, sources__partitionOverwriteMode="dynamic", shuffle__partitions=self.buckets, **FREED):
             new = self._last(batch.withColumn("batch", F.lit(number)))
             if not self.exists():
                 self._create(new, self.name, path=self.path)

@@ -1,7 +1,7 @@
 """Differences of large snapshots by digests of blocks.
 
-A snapshot's index has a row for each record: its key, the digest of its canonical form and one of
-each field. Rows lie in buckets by the hash of their key, a Parquet partition each. Above them is a
+A snapshot's index has a row for each record: its key, the digest of its canonical form and half of one of
+each field, which tells what has changed in a record that did. Rows lie in buckets by the hash of their key, a Parquet partition each. Above them is a
 tree of nodes: how many records a bucket has and the sum of their digests, then the same for every
 ``FANOUT`` buckets, up to one root. Two indexes are compared from the root: below a node that is
 equal on both sides nothing is read. Only the buckets that differ are joined, so a difference costs
@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 
 from quillframe.functions.canonical import canonical_column, column_text, nested_digest
 from quillframe.functions.columns import first_true
+from quillframe.sources.shared import FREED, settings
 
 BUCKETS = 4096
 FANOUT = 16
+#: Bytes of a field's digest that are kept.
+FIELD_BYTES = 16
 #: Bits of a digest that are summed in one column: 60, so that sums of 10^20 records are exact.
 _PIECES = 3
 
@@ -52,16 +55,17 @@ def write_index(records: DataFrame, path: str, columns: list[str], key: str = "i
 
     ``columns`` may be nested to any depth. Records without a key are left out; keys should be unique.
     """
-    fields = F.array(*(F.unhex(F.sha2(column_text(records, c, json_columns), 256)) for c in sorted(columns)))
+    fields = F.concat(*(F.unhex(F.substring(F.sha2(column_text(records, c, json_columns), 256), 1, 2 * FIELD_BYTES)) for c in sorted(columns)))
     rows = records.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("key"), nested_digest(records, columns, json_columns).alias("digest"), fields.alias("fields"),
+        F.col(key).alias("key"), F.unhex(nested_digest(records, columns, json_columns)).alias("digest"), fields.alias("fields"),
         F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int").alias("bucket"),
     )
-    rows.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(f"{path}/rows")
-    kept = records.sparkSession.read.schema(rows.schema).parquet(f"{path}/rows")
-    whole = F.sha2(F.concat(canonical_column(kept, "key"), "digest"), 256)
-    leaves = kept.groupBy("bucket").agg(F.count("*").alias("n"), *(F.sum(p).alias(p_) for p, p_ in zip(_pieces(whole), _NODE[1:], strict=True)))
-    _tree(leaves, buckets).write.partitionBy("level").parquet(f"{path}/tree")
+    with settings(records.sparkSession, **FREED):
+        rows.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(f"{path}/rows")
+        kept = records.sparkSession.read.schema(rows.schema).parquet(f"{path}/rows")
+        whole = F.sha2(F.concat(canonical_column(kept, "key"), F.hex("digest")), 256)
+        leaves = kept.groupBy("bucket").agg(F.count("*").alias("n"), *(F.sum(p).alias(p_) for p, p_ in zip(_pieces(whole), _NODE[1:], strict=True)))
+        _tree(leaves, buckets).write.partitionBy("level").parquet(f"{path}/tree")
 
 
 def _read_tree(spark: SparkSession, path: str) -> DataFrame:
@@ -84,32 +88,40 @@ def changed_buckets(spark: SparkSession, old: str, new: str, buckets: int = BUCK
 
 
 def index_rows(spark: SparkSession, path: str, key_type: str = "string") -> DataFrame:
-    """(key, digest, fields, bucket) of an index; a filter on ``bucket`` leaves out whole files."""
-    return spark.read.schema(f"key {key_type}, digest string, fields array<binary>, bucket int").parquet(f"{path}/rows")
+    """(key, digest, fields, bucket) of an index, ``fields`` with the digests of all columns one behind the other; a filter on ``bucket`` leaves out whole files."""
+    return spark.read.schema(f"key {key_type}, digest binary, fields binary, bucket int").parquet(f"{path}/rows")
 
 
 def diff_indexes(spark: SparkSession, old: str, new: str, columns: list[str], key: str = "id", buckets: int = BUCKETS, stable: bool = True, key_type: str = "string") -> DataFrame:
     """(``key``, change, old_digest, new_digest, fields) of two indexes of the same ``columns``: added, removed, changed and,
     if asked for, stable records; those of equal buckets are listed from one side, without a join."""
-    differ = F.col("bucket").isin(changed_buckets(spark, old, new, buckets))
-    names = F.array(*map(F.lit, sorted(columns)))
-    a, b = index_rows(spark, old, key_type), index_rows(spark, new, key_type)
-    x = a.where(differ).select(F.col("bucket"), "key", F.struct("digest", "fields").alias("o"))
-    y = b.where(differ).select(F.col("bucket"), "key", F.struct("digest", "fields").alias("n"))
-    both = x.join(y, ["bucket", "key"], "full_outer")
-    change = first_true((F.col("o").isNull(), "added"), (F.col("n").isNull(), "removed"), (F.col("o.digest") != F.col("n.digest"), "changed"), otherwise="stable")
-    changed = F.array_join(F.array_compact(F.zip_with(names, F.zip_with("o.fields", "n.fields", lambda p, q: p != q), lambda c, d: F.when(d, c))), ",")
-    out = both.select("key", change.alias("change"), F.col("o.digest").alias("old_digest"), F.col("n.digest").alias("new_digest"), changed.alias("fields"))
+    differ = changed_buckets(spark, old, new, buckets)
+    both = _both(spark, old, new, differ, key_type, "digest", "fields")
+    part = lambda side, k: F.substring(f"{side}.fields", FIELD_BYTES * k + 1, FIELD_BYTES)
+    changed = F.concat_ws(",", *(F.when(part("o", k) != part("n", k), c) for k, c in enumerate(sorted(columns))))
+    text = lambda digest: F.lower(F.hex(digest))
+    out = both.select("key", _change().alias("change"), text("o.digest").alias("old_digest"), text("n.digest").alias("new_digest"), changed.alias("fields"))
     if stable:
-        out = out.unionAll(a.where(~differ).select("key", F.lit("stable"), "digest", "digest", F.lit("")))
+        rest = index_rows(spark, old, key_type).where(~F.col("bucket").isin(differ))
+        out = out.unionAll(rest.select("key", F.lit("stable"), text("digest"), text("digest"), F.lit("")))
     else:
         out = out.where("change <> 'stable'")
     return out.select(F.col("key").alias(key), "change", "old_digest", "new_digest", F.when(F.col("change") == "changed", F.col("fields")).otherwise("").alias("fields"))
 
 
+def _change() -> Column:
+    return first_true((F.col("o").isNull(), "added"), (F.col("n").isNull(), "removed"), (F.col("o.digest") != F.col("n.digest"), "changed"), otherwise="stable")
+
+
+def _both(spark: SparkSession, old: str, new: str, differ: list[int], key_type: str, *columns: str) -> DataFrame:
+    """(key, o, n) of the buckets ``differ``: the ``columns`` of each side, null where it has no such record."""
+    x, y = (index_rows(spark, p, key_type).where(F.col("bucket").isin(differ)).select("bucket", "key", F.struct(*columns).alias(side)) for p, side in ((old, "o"), (new, "n")))
+    return x.join(y, ["bucket", "key"], "full_outer")
+
+
 def diff_counts(spark: SparkSession, old: str, new: str, columns: list[str], buckets: int = BUCKETS, key_type: str = "string") -> DataFrame:
-    """One row: added, removed, changed and stable records. Stable ones are counted by the roots, not read."""
-    found = diff_indexes(spark, old, new, columns, buckets=buckets, stable=False, key_type=key_type)
+    """One row: added, removed, changed and stable records. Stable ones are counted by the roots, not read; of the others keys and digests are."""
+    found = _both(spark, old, new, changed_buckets(spark, old, new, buckets), key_type, "digest").select(_change().alias("change"))
     counts = found.agg(*(F.count_if(F.col("change") == c).alias(c) for c in ("added", "removed", "changed")))
     total = _read_tree(spark, old).where("level = 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     return counts.join(total).select("added", "removed", "changed", (F.col("n") - F.col("removed") - F.col("changed")).alias("stable"))

@@ -10,7 +10,7 @@ from quillframe.operators import nested_checks, snapshots
 from quillframe.plans.lens import Lens
 from quillframe.plans.report_queries import query
 from quillframe.sources.json_arrays import CORRUPT, read_json_array, write_json_arrays
-from quillframe.sources.shared import scratch_path
+from quillframe.sources.shared import FREED, scratch_path, settings, stored
 
 _COLUMNS = ["operations", "organization", "provider", "source_category", "title", "updated_at", "url"]
 #: Fewer buckets than in production, as the given tables are small.
@@ -62,7 +62,8 @@ d AS (SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'added' WHE
 def _sides(lens: Lens) -> tuple[DataFrame, DataFrame]:
     """Specs with nested operations as two snapshots: names and titles that change, operations in another order
     (a change), and maps whose keys were put in another order (none)."""
-    specs = lens.nested_specs()
+    with settings(lens.spark, **FREED):
+        specs = stored(lens.nested_specs())  # for both sides
     k = F.substring("id", 3, 20).cast("long")
 
     def changed(op):

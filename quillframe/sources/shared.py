@@ -30,6 +30,10 @@ def scratch_path(spark: SparkSession) -> str:
     return path
 
 
+#: For ``settings``: shuffle files go when the write that made them is done, and not when the driver happens to collect its garbage.
+FREED = {"classic__shuffleDependency__fileCleanup__enabled": "true"}
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: object) -> Iterator[None]:
     """Settings of the session by their names below ``spark.sql`` (``__`` for a dot), as they were afterwards. For writes: frames

@@ -145,6 +145,19 @@ def test_indexes_of_nothing(spark, tmp_path):
     assert tuple(snapshots.diff_counts(spark, str(tmp_path / "a"), str(tmp_path / "b"), ["size"], 8).first()) == (0, 0, 0, 0)
 
 
+def test_counts_leave_the_fields_where_they_are(spark, tmp_path):
+    """Keys and digests are shuffled, a digest as its bytes; settings are as before."""
+    old, new = records(9, 60, 20)
+    columns, kept = ["size", "params", "defaults"], spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    for name, x in (("old", old), ("new", new)):
+        snapshots.write_index(spark.createDataFrame([(k, *v) for k, v in x.items()], SCHEMA), str(tmp_path / name), columns, buckets=8)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+    row = snapshots.index_rows(spark, str(tmp_path / "old")).first()
+    assert len(row["digest"]) == 32 and len(row["fields"]) == 16 * len(columns)
+    plan = snapshots.diff_counts(spark, str(tmp_path / "old"), str(tmp_path / "new"), columns, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "digest#" in plan and "fields#" not in plan
+
+
 def test_stale_rows_count_repeats(spark):
     a = [(1, "x", None), (1, "x", None), (2, None, [1]), (3, "y", [2, 1])] + [(k, "z", [k]) for k in range(10, 400)]
     b = [(1, "x", None), (2, None, [1]), (3, "y", [1, 2]), (None, None, None), (None, None, None)] + [(k, "z", [k]) for k in range(10, 400)]
